@@ -1,0 +1,159 @@
+"""``flatten_json``: JSON payload column -> wide all-string table.
+
+Plan shape (one narrow stage, no shuffle, no Python)::
+
+    Project   leaves(w) ..., keys            <- one try_variant_get per column
+    Generate  explode(CASE WHEN valid(w) THEN array(w) END)
+    Project   keys, try_parse_json('[' || payload || ']') AS w
+    Scan      (payload and key columns only)
+
+The ``Generate`` is the row filter. A plain ``Filter`` on ``valid(w)`` would
+be pushed below the projection that defines ``w`` and the document would be
+parsed twice (once in the filter, once for the leaves); ``explode`` of a
+zero-or-one element array drops the row without that rewrite.
+"""
+
+from __future__ import annotations
+
+import contextlib
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import variant as V
+from ..plans.spec import FlattenSpec, Node
+
+_W = "__doc"
+_DUP_KEYS_CONF = "spark.sql.variant.allowDuplicateKeys"
+
+
+@contextlib.contextmanager
+def duplicate_keys_last(spark, enabled: bool = True):
+    """Parse with "last duplicate key wins" while a plan is being built.
+
+    The setting is read when the parse expression is analysed and then kept
+    inside the plan, so it is enough to hold it while the DataFrame is built;
+    the session is restored afterwards.
+    """
+    if not enabled:
+        yield
+        return
+    old = spark.conf.get(_DUP_KEYS_CONF, "false")
+    spark.conf.set(_DUP_KEYS_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DUP_KEYS_CONF, old)
+
+
+def _node_check(node: Node, legs: dict) -> Column:
+    steps = node.steps
+    if node.kind == "object":
+        return V.object_or_missing(_W, V.vpath(steps))
+    if node.kind == "first":
+        array_path = V.vpath(steps[:-1]) + V._quote(steps[-1].key)
+        return V.first_or_missing(_W, array_path)
+    return V.legs_ok(_W, V.vpath(steps), legs[steps])
+
+
+def _legs_per_node(spec: FlattenSpec) -> dict:
+    out: dict = {}
+    for g in spec.groups:
+        if g.mode == "legs":
+            out[g.steps] = max(out.get(g.steps, 0), g.legs)
+    return out
+
+
+def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, Column]]:
+    """(label, boolean column) in evaluation order; a row is kept when all hold."""
+    checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
+    if strict:
+        legs = _legs_per_node(spec)
+        for node in spec.nodes():
+            checks.append((f"node:{node.label}", _node_check(node, legs)))
+    return [(label, F.coalesce(c, F.lit(False))) for label, c in checks]
+
+
+def _all(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out & c
+    return out
+
+
+def leaf_columns(spec: FlattenSpec) -> list[Column]:
+    cols = []
+    for g, name, fld, leg in spec.payload_leaves():
+        path = V.vpath(g.steps, leaf=fld, index=leg)
+        cols.append(V.leaf(_W, path).alias(name))
+    return cols
+
+
+def _key_cols(keys) -> list[Column]:
+    return [F.col(k).cast("string").alias(k) for k in keys]
+
+
+def _parsed(df: DataFrame, payload: str, keys) -> DataFrame:
+    return df.select(*_key_cols(keys), V.parse_strict(F.col(payload)).alias(_W))
+
+
+def flatten_json(
+    df: DataFrame,
+    payload: str,
+    spec: FlattenSpec,
+    *,
+    keys: tuple[str, ...] | None = None,
+    strict: bool = True,
+    duplicate_keys: str = "last",
+) -> DataFrame:
+    """Flatten JSON text in column ``payload`` per ``spec``.
+
+    Output: ``spec.columns()`` (payload leaves in spec order, then ``keys``,
+    then the spec's constant-NULL columns), all strings.
+
+    Rows are dropped when the payload is NULL, not exactly one JSON value, or
+    not an object. With ``strict=True`` (default) a row is also dropped when
+    any intermediate node on a spec path is present but of the wrong kind
+    (explicit null, scalar, array where an object is read, empty array where
+    a first element is read, ...); a *missing* node only yields NULL leaves.
+    ``strict=False`` turns those wrong-kind nodes into NULL leaves instead.
+    """
+    keys = tuple(spec.key_columns if keys is None else keys)
+    spark = df.sparkSession
+    with duplicate_keys_last(spark, duplicate_keys == "last"):
+        parsed = _parsed(df, payload, keys)
+        ok = _all([c for _, c in validity_checks(spec, strict)])
+        kept = parsed.select(*[F.col(k) for k in keys], F.explode(F.when(ok, F.array(_W))).alias(_W))
+        payload_cols = set(spec.payload_columns())
+        out = kept.select(
+            *leaf_columns(spec),
+            *[F.col(k) for k in keys if k not in payload_cols],
+            *[F.lit(None).cast("string").alias(c) for c in spec.null_columns],
+        )
+    return out
+
+
+def json_rejects(
+    df: DataFrame,
+    payload: str,
+    spec: FlattenSpec,
+    *,
+    keys: tuple[str, ...] | None = None,
+    strict: bool = True,
+    duplicate_keys: str = "last",
+) -> DataFrame:
+    """Rows ``flatten_json`` drops: keys, the payload text and the first failed check."""
+    keys = tuple(spec.key_columns if keys is None else keys)
+    spark = df.sparkSession
+    with duplicate_keys_last(spark, duplicate_keys == "last"):
+        parsed = df.select(*_key_cols(keys), F.col(payload).alias("payload"), V.parse_strict(F.col(payload)).alias(_W))
+        checks = validity_checks(spec, strict)
+        reason = F.when(F.col("payload").isNull(), F.lit("null_payload")).otherwise(
+            F.coalesce(*[F.when(~c, F.lit(label)) for label, c in checks])
+        )
+        # explode instead of a filter, so the document is parsed once (see module doc)
+        return parsed.select(
+            *[F.col(k) for k in keys],
+            "payload",
+            F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reject_reason"),
+        )
