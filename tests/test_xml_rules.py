@@ -1,0 +1,143 @@
+"""Row rules of the XML flatten (FIXTURES.md section 4)."""
+
+import json
+
+from unfurl.operators.flatten_xml import flatten_xml, xml_rejects
+from unfurl.plans.catalog import BM_XML, CEP_XML
+
+
+def wrap(xml):
+    return json.dumps({"text": xml})
+
+
+def run(spark, xmls, spec=CEP_XML, raw=False, **kw):
+    payloads = [x if raw else wrap(x) for x in xmls]
+    rows = [(f"p{i}", f"s{i}", p, "t") for i, p in enumerate(payloads)]
+    df = spark.createDataFrame(rows, "pk string, sk string, cepPayload string, upsertTimestamp string")
+    out = flatten_xml(df, "cepPayload", spec, **kw)
+    got = {r["pk"]: r.asDict() for r in out.collect()}
+    return [got.get(f"p{i}") for i in range(len(xmls))]
+
+
+def kept(res):
+    return [r is not None for r in res]
+
+
+def env(body="", header=""):
+    return f"<Envelope>{header}<Body><bagDetails>{body}</bagDetails></Body></Envelope>"
+
+
+def test_x1_x3_unknown_children_and_other_root_kept(spark):
+    res = run(spark, ["<Envelope><Other>1</Other></Envelope>", "<Other>1</Other>", "<Other/>"])
+    assert kept(res) == [True, True, True]
+    assert all(v is None for k, v in res[0].items() if k not in ("pk", "sk", "upsertTimestamp"))
+    assert list(res[0].keys()) == CEP_XML.columns()
+
+
+def test_x2_envelope_without_children_dropped(spark):
+    res = run(spark, ["<Envelope/>", "<Envelope>t</Envelope>", "<Envelope><Body/></Envelope>"])
+    assert kept(res) == [False, False, False]
+
+
+def test_x4_x5_x6_pax_info(spark):
+    res = run(spark, [
+        env("<paxInfo/>"), env("<paxInfo>text</paxInfo>"), env('<paxInfo a="1"/>'),
+        env("<paxInfo><z>1</z></paxInfo>"),
+        env("<paxInfo><psgrPnr>A</psgrPnr></paxInfo><paxInfo><psgrPnr>B</psgrPnr></paxInfo>"),
+        env("<paxInfo><psgrPnr>A</psgrPnr></paxInfo>"),
+    ])
+    assert kept(res) == [False, False, False, True, False, True]
+    assert res[3]["psgrPnr"] is None
+    assert res[5]["psgrPnr"] == "A"
+
+
+def legs(n, first_empty=False):
+    out = []
+    for i in range(n):
+        out.append("<bagItineraryDtl/>" if (i == 0 and first_empty) else f"<bagItineraryDtl><fltNbr>{i}</fltNbr></bagItineraryDtl>")
+    # a wrapper with no leg still needs a child element, else it is an empty node (dropped)
+    inner = "".join(out) or "<note>none</note>"
+    return env(f"<bagCurrentItineraries>{inner}</bagCurrentItineraries>")
+
+
+def test_x7_x8_leg_counts(spark):
+    res = run(spark, [legs(0), legs(1), legs(2), legs(3), legs(2, first_empty=True)])
+    assert kept(res) == [True, False, True, True, False]
+    assert res[0]["curr_itne_0_fltNbr"] is None
+    assert res[2]["curr_itne_0_fltNbr"] == "0" and res[3]["curr_itne_0_fltNbr"] == "0"
+
+
+def test_k2_single_leg_keep(spark):
+    res = run(spark, [legs(1), legs(2)], single_leg="keep")
+    assert kept(res) == [True, True]
+    assert res[0]["curr_itne_0_fltNbr"] == "0"
+
+
+def test_x9_scan_detail(spark):
+    scans = ["", "<bagScanDtl/>", "<bagScanDtl><fltNbr>1</fltNbr></bagScanDtl>", "<bagScanDtl> </bagScanDtl>",
+             "<bagScanDtl><fltNbr>1</fltNbr></bagScanDtl><bagScanDtl><fltNbr>2</fltNbr></bagScanDtl>",
+             "<bagScanDtl>t</bagScanDtl>"]
+    res = run(spark, [env(f"<bagScans>{s}</bagScans>") if s else env("<tagNbr>1</tagNbr>") for s in scans])
+    assert kept(res) == [True, True, True, False, False, False]
+    assert "fltNbr" not in res[2]
+
+
+def test_k3_emit_scan_detail(spark):
+    (r,) = run(spark, [env("<bagScans><bagScanDtl><fltNbr>7</fltNbr></bagScanDtl></bagScans>")], emit_scan_detail=True)
+    assert r["fltNbr"] == "7" and r["carrIataCd"] is None
+
+
+def test_x10_leaf_text(spark):
+    (r,) = run(spark, [env("<tagNbr>007</tagNbr><tagUniqKey> k </tagUniqKey><tagIssDtm></tagIssDtm>")])
+    assert (r["tagNbr"], r["tagUniqKey"], r["tagIssDtm"]) == ("007", " k ", None)
+
+
+def test_x11_x12_attributes(spark):
+    hdr = '<eventHeader version="9"><version>2</version><eventName k="v">E</eventName></eventHeader>'
+    (r,) = run(spark, [f"<Envelope>{hdr}</Envelope>"])
+    assert r["version"] == "9" and r["eventName"] == "E"
+
+
+def test_x13_namespaces_and_declaration(spark):
+    plain = "<Envelope><eventHeader><eventName>E</eventName></eventHeader></Envelope>"
+    ns = '<s:Envelope xmlns:s="urn:s"><s:eventHeader><s:eventName>E</s:eventName></s:eventHeader></s:Envelope>'
+    dflt = '<Envelope xmlns="urn:d"><eventHeader><eventName>E</eventName></eventHeader></Envelope>'
+    decl = '<?xml version="1.0" encoding="UTF-8"?>' + plain
+    res = run(spark, [plain, ns, dflt, decl])
+    assert [r["eventName"] for r in res] == ["E"] * 4
+
+
+def test_x14_bad_documents_dropped(spark):
+    bad_xml = ["<Envelope>", "<Envelope></Envelope> junk", "<Envelope></Envelope><Envelope/>",
+               "<Envelope>&foo;</Envelope>", "", " <?xml version='1.0'?><Envelope/>"]
+    bad_wrappers = ['{"other":"<Envelope/>"}', '{"text":null}', '{"text":5}', "[1]", "nope", None]
+    res = run(spark, bad_xml) + run(spark, bad_wrappers, raw=True)
+    assert kept(res) == [False] * (len(bad_xml) + len(bad_wrappers))
+
+
+def test_x15_comment_and_cdata(spark):
+    (r,) = run(spark, ["<Envelope><eventHeader><eventName>a<!-- c -->b</eventName>"
+                       "<version><![CDATA[x<y]]></version></eventHeader></Envelope>"])
+    assert r["eventName"] == "ab" and r["version"] == "x<y"
+
+
+def test_bm_xml_tag_bag_type_rename(spark):
+    body = "<bagInfo><isRush>Y</isRush><tagBagType><BagTypeCd>T</BagTypeCd><Priority>1</Priority></tagBagType></bagInfo>"
+    (r,) = run(spark, [env(body)], spec=BM_XML)
+    assert (r["TagTypeCd"], r["Priority"], r["isRush"]) == ("T", "1", "Y")
+    assert list(r.keys()) == BM_XML.columns()
+
+
+def test_lenient_takes_first(spark):
+    res = run(spark, [legs(1), env("<paxInfo/>"), "<Envelope>"], strict=False)
+    assert kept(res) == [True, True, False]
+    assert res[0]["curr_itne_0_fltNbr"] == "0"
+
+
+def test_xml_rejects(spark):
+    rows = [("p0", "s", None, "t"), ("p1", "s", wrap("<Envelope>"), "t"), ("p2", "s", wrap(legs(1)), "t"),
+            ("p3", "s", wrap(legs(2)), "t")]
+    df = spark.createDataFrame(rows, "pk string, sk string, cepPayload string, upsertTimestamp string")
+    got = {r.pk: r.reject_reason for r in xml_rejects(df, "cepPayload", CEP_XML).collect()}
+    assert got == {"p0": "null_payload", "p1": "malformed_xml",
+                   "p2": "node:Envelope/Body/bagDetails/bagCurrentItineraries/bagItineraryDtl"}

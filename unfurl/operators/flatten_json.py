@@ -17,8 +17,7 @@ from __future__ import annotations
 
 import contextlib
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import variant as V
 from ..plans.spec import FlattenSpec, Node
@@ -46,7 +45,7 @@ def duplicate_keys_last(spark, enabled: bool = True):
         spark.conf.set(_DUP_KEYS_CONF, old)
 
 
-def _node_check(node: Node, legs: dict) -> Column:
+def _node_check(node: Node, legs: dict) -> str:
     steps = node.steps
     if node.kind == "object":
         return V.object_or_missing(_W, V.vpath(steps))
@@ -64,37 +63,38 @@ def _legs_per_node(spec: FlattenSpec) -> dict:
     return out
 
 
-def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, Column]]:
-    """(label, boolean column) in evaluation order; a row is kept when all hold."""
+def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, str]]:
+    """(label, SQL boolean) in evaluation order; a row is kept when all hold."""
     checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
     if strict:
         legs = _legs_per_node(spec)
         for node in spec.nodes():
             checks.append((f"node:{node.label}", _node_check(node, legs)))
-    return [(label, F.coalesce(c, F.lit(False))) for label, c in checks]
+    return [(label, f"coalesce({c}, false)") for label, c in checks]
 
 
-def _all(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out & c
-    return out
-
-
-def leaf_columns(spec: FlattenSpec) -> list[Column]:
-    cols = []
-    for g, name, fld, leg in spec.payload_leaves():
-        path = V.vpath(g.steps, leaf=fld, index=leg)
-        cols.append(V.leaf(_W, path).alias(name))
-    return cols
+def leaf_exprs(spec: FlattenSpec) -> list[str]:
+    return [
+        f"{V.leaf(_W, V.vpath(g.steps, leaf=fld, index=leg))} AS {V.ident(name)}"
+        for g, name, fld, leg in spec.payload_leaves()
+    ]
 
 
-def _key_cols(keys) -> list[Column]:
-    return [F.col(k).cast("string").alias(k) for k in keys]
+def _parsed(df: DataFrame, payload: str, keys, extra: tuple[str, ...] = ()) -> DataFrame:
+    return df.selectExpr(
+        *[f"CAST({V.ident(k)} AS STRING) AS {V.ident(k)}" for k in keys],
+        *extra,
+        f"{V.parse_strict(V.ident(payload))} AS {_W}",
+    )
 
 
-def _parsed(df: DataFrame, payload: str, keys) -> DataFrame:
-    return df.select(*_key_cols(keys), V.parse_strict(F.col(payload)).alias(_W))
+def output_exprs(spec: FlattenSpec, keys) -> list[str]:
+    payload_cols = set(spec.payload_columns())
+    return [
+        *leaf_exprs(spec),
+        *[V.ident(k) for k in keys if k not in payload_cols],
+        *[f"CAST(NULL AS STRING) AS {V.ident(c)}" for c in spec.null_columns],
+    ]
 
 
 def flatten_json(
@@ -122,15 +122,11 @@ def flatten_json(
     spark = df.sparkSession
     with duplicate_keys_last(spark, duplicate_keys == "last"):
         parsed = _parsed(df, payload, keys)
-        ok = _all([c for _, c in validity_checks(spec, strict)])
-        kept = parsed.select(*[F.col(k) for k in keys], F.explode(F.when(ok, F.array(_W))).alias(_W))
-        payload_cols = set(spec.payload_columns())
-        out = kept.select(
-            *leaf_columns(spec),
-            *[F.col(k) for k in keys if k not in payload_cols],
-            *[F.lit(None).cast("string").alias(c) for c in spec.null_columns],
+        ok = " AND ".join(c for _, c in validity_checks(spec, strict))
+        kept = parsed.selectExpr(
+            *[V.ident(k) for k in keys], f"explode(CASE WHEN {ok} THEN array({_W}) END) AS {_W}"
         )
-    return out
+        return kept.selectExpr(*output_exprs(spec, keys))
 
 
 def json_rejects(
@@ -146,14 +142,12 @@ def json_rejects(
     keys = tuple(spec.key_columns if keys is None else keys)
     spark = df.sparkSession
     with duplicate_keys_last(spark, duplicate_keys == "last"):
-        parsed = df.select(*_key_cols(keys), F.col(payload).alias("payload"), V.parse_strict(F.col(payload)).alias(_W))
-        checks = validity_checks(spec, strict)
-        reason = F.when(F.col("payload").isNull(), F.lit("null_payload")).otherwise(
-            F.coalesce(*[F.when(~c, F.lit(label)) for label, c in checks])
-        )
+        parsed = _parsed(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS payload",))
+        whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in validity_checks(spec, strict))
+        reason = f"CASE WHEN payload IS NULL THEN 'null_payload' {whens} END"
         # explode instead of a filter, so the document is parsed once (see module doc)
-        return parsed.select(
-            *[F.col(k) for k in keys],
+        return parsed.selectExpr(
+            *[V.ident(k) for k in keys],
             "payload",
-            F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reject_reason"),
+            f"explode(CASE WHEN ({reason}) IS NOT NULL THEN array({reason}) END) AS reject_reason",
         )
