@@ -95,14 +95,15 @@ def first_or_missing(w: str, path_of_array: str) -> str:
     return f"(CASE WHEN {is_object(w, path_of_array + '[0]')} THEN true ELSE {is_missing(w, path_of_array)} END)"
 
 
-def legs_ok(w: str, path: str, legs: int) -> str:
+def legs_ok(w: str, path: str, legs: int, arr: str | None = None) -> str:
     """Leg array usable for slots ``0..legs-1``.
 
     Fine: missing, an empty object, an empty string, or an array whose first
     ``legs`` elements are each absent or an object. Anything else (null,
     number, bool, non-empty string or object, non-object element) fails.
     """
-    arr = vget(w, path, "array<struct<>>")
+    # ``arr``: the node cast to an array of structs, when the caller has one
+    arr = arr or vget(w, path, "array<struct<>>")
     slots = " AND ".join(f"(size({arr}) <= {i} OR get({arr}, {i}) IS NOT NULL)" for i in range(legs))
     text = vget(w, path, "string")
     return (

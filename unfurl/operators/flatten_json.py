@@ -2,15 +2,17 @@
 
 Plan shape (one narrow stage, no shuffle, no Python)::
 
-    Project   leaves(w) ..., keys            <- one try_variant_get per column
-    Generate  explode(CASE WHEN valid(w) THEN array(w) END)
-    Project   keys, try_parse_json('[' || payload || ']') AS w
+    Project   g_i.field AS column ...             <- plain struct field reads
+    Generate  explode(CASE WHEN valid(w, g) THEN array(true) END)
+    Project   keys, w, g_i = node_i cast to struct<fields> (one per spec group)
+    Project   keys, w = try_parse_json('[' || payload || ']')
     Scan      (payload and key columns only)
 
-The ``Generate`` is the row filter. A plain ``Filter`` on ``valid(w)`` would
-be pushed below the projection that defines ``w`` and the document would be
-parsed twice (once in the filter, once for the leaves); ``explode`` of a
-zero-or-one element array drops the row without that rewrite.
+The ``Generate`` is the row filter. A plain ``Filter`` on ``valid(...)``
+would be pushed below the projections it reads and their expressions
+(parse, casts) would be computed twice, once in the filter and once for the
+output; ``explode`` of a zero-or-one element array drops the row without
+that rewrite.
 """
 
 from __future__ import annotations
@@ -45,16 +47,6 @@ def duplicate_keys_last(spark, enabled: bool = True):
         spark.conf.set(_DUP_KEYS_CONF, old)
 
 
-def _node_check(node: Node, legs: dict) -> str:
-    steps = node.steps
-    if node.kind == "object":
-        return V.object_or_missing(_W, V.vpath(steps))
-    if node.kind == "first":
-        array_path = V.vpath(steps[:-1]) + V._quote(steps[-1].key)
-        return V.first_or_missing(_W, array_path)
-    return V.legs_ok(_W, V.vpath(steps), legs[steps])
-
-
 def _legs_per_node(spec: FlattenSpec) -> dict:
     out: dict = {}
     for g in spec.groups:
@@ -63,38 +55,87 @@ def _legs_per_node(spec: FlattenSpec) -> dict:
     return out
 
 
-def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, str]]:
-    """(label, SQL boolean) in evaluation order; a row is kept when all hold."""
-    checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
-    if strict:
-        legs = _legs_per_node(spec)
-        for node in spec.nodes():
-            checks.append((f"node:{node.label}", _node_check(node, legs)))
-    return [(label, f"coalesce({c}, false)") for label, c in checks]
-
-
-def leaf_exprs(spec: FlattenSpec) -> list[str]:
-    return [
-        f"{V.leaf(_W, V.vpath(g.steps, leaf=fld, index=leg))} AS {V.ident(name)}"
-        for g, name, fld, leg in spec.payload_leaves()
-    ]
-
-
-def _parsed(df: DataFrame, payload: str, keys, extra: tuple[str, ...] = ()) -> DataFrame:
-    return df.selectExpr(
-        *[f"CAST({V.ident(k)} AS STRING) AS {V.ident(k)}" for k in keys],
-        *extra,
-        f"{V.parse_strict(V.ident(payload))} AS {_W}",
-    )
+def _struct_ddl(fields) -> str:
+    return "struct<" + ", ".join(f"{V.ident(f)}: string" for f in dict.fromkeys(fields)) + ">"
 
 
-def output_exprs(spec: FlattenSpec, keys) -> list[str]:
-    payload_cols = set(spec.payload_columns())
-    return [
-        *leaf_exprs(spec),
-        *[V.ident(k) for k in keys if k not in payload_cols],
-        *[f"CAST(NULL AS STRING) AS {V.ident(c)}" for c in spec.null_columns],
-    ]
+class _Plan:
+    """Column names and SQL for one spec: group structs and row checks.
+
+    Each group's node is cast once to ``struct<field: string, ...>`` (or
+    ``array<struct<...>>`` for legs): one pass over the node's members
+    instead of one path lookup per output column. The same cast doubles as
+    the node's "is an object" test; other intermediate nodes are probed by
+    path, and "is it missing" is only asked once a node is not an object.
+    """
+
+    def __init__(self, spec: FlattenSpec, strict: bool):
+        self.spec = spec
+        self.strict = strict
+        self.nodes = spec.nodes()
+        self.legs = _legs_per_node(spec)
+        # one struct per (node, mode); groups on the same node share it
+        self.group_col: dict = {}
+        self.group_fields: dict = {}
+        for g in spec.groups:
+            key = (g.steps, g.mode)
+            self.group_fields.setdefault(key, []).extend(g.fields)
+            self.group_col.setdefault(key, f"__g{len(self.group_col)}")
+
+    def group_exprs(self) -> list[str]:
+        out = []
+        for (steps, mode), col in self.group_col.items():
+            ddl = _struct_ddl(self.group_fields[(steps, mode)])
+            if mode == "legs":
+                ddl = f"array<{ddl}>"
+            out.append(f"{V.vget(_W, V.vpath(steps), ddl)} AS {col}")
+        return out
+
+    def _is_object(self, steps) -> str:
+        col = self.group_col.get((steps, "object"))
+        if col:
+            return f"({col} IS NOT NULL)"
+        return V.is_object(_W, V.vpath(steps))
+
+    def checks(self) -> list[tuple[str, str]]:
+        checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
+        if self.strict:
+            for n in self.nodes:
+                steps = n.steps
+                if n.kind == "object":
+                    missing = V.is_missing(_W, V.vpath(steps))
+                elif n.kind == "first":
+                    # steps end in key[0]: the array itself may be missing
+                    missing = V.is_missing(_W, V.vpath(steps[:-1]) + V._quote(steps[-1].key))
+                else:
+                    arr = self.group_col.get((steps, "legs"))
+                    checks.append((f"node:{n.label}", V.legs_ok(_W, V.vpath(steps), self.legs[steps], arr)))
+                    continue
+                checks.append((f"node:{n.label}", f"(CASE WHEN {self._is_object(steps)} THEN true ELSE {missing} END)"))
+        return [(label, f"coalesce({c}, false)") for label, c in checks]
+
+    def leaf_exprs(self) -> list[str]:
+        out = []
+        for g, name, fld, leg in self.spec.payload_leaves():
+            col = self.group_col[(g.steps, g.mode)]
+            src = col if leg is None else f"get({col}, {leg})"
+            out.append(f"{src}.{V.ident(fld)} AS {V.ident(name)}")
+        return out
+
+    def build(self, df: DataFrame, payload: str, keys, extra: tuple[str, ...] = ()) -> DataFrame:
+        """Keys (+ extra), the parsed document and the group structs."""
+        carry = [*keys, *[e.rsplit(" AS ", 1)[-1] for e in extra]]
+        parsed = df.selectExpr(
+            *[f"CAST({V.ident(k)} AS STRING) AS {V.ident(k)}" for k in keys],
+            *extra,
+            f"{V.parse_strict(V.ident(payload))} AS {_W}",
+        )
+        return parsed.selectExpr(*[V.ident(c) for c in carry], _W, *self.group_exprs())
+
+
+def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, str]]:
+    """(label, SQL boolean) in evaluation order, over the columns of ``_Plan.build``."""
+    return _Plan(spec, strict).checks()
 
 
 def flatten_json(
@@ -119,14 +160,18 @@ def flatten_json(
     ``strict=False`` turns those wrong-kind nodes into NULL leaves instead.
     """
     keys = tuple(spec.key_columns if keys is None else keys)
-    spark = df.sparkSession
-    with duplicate_keys_last(spark, duplicate_keys == "last"):
-        parsed = _parsed(df, payload, keys)
-        ok = " AND ".join(c for _, c in validity_checks(spec, strict))
-        kept = parsed.selectExpr(
-            *[V.ident(k) for k in keys], f"explode(CASE WHEN {ok} THEN array({_W}) END) AS {_W}"
-        )
-        return kept.selectExpr(*output_exprs(spec, keys))
+    plan = _Plan(spec, strict)
+    with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
+        cols = plan.build(df, payload, keys)
+    ok = " AND ".join(c for _, c in plan.checks())
+    groups = list(plan.group_col.values())
+    kept = cols.selectExpr(*[V.ident(k) for k in keys], *groups, f"explode(CASE WHEN {ok} THEN array(true) END) AS __keep")
+    payload_cols = set(spec.payload_columns())
+    return kept.selectExpr(
+        *plan.leaf_exprs(),
+        *[V.ident(k) for k in keys if k not in payload_cols],
+        *[f"CAST(NULL AS STRING) AS {V.ident(c)}" for c in spec.null_columns],
+    )
 
 
 def json_rejects(
@@ -140,14 +185,14 @@ def json_rejects(
 ) -> DataFrame:
     """Rows ``flatten_json`` drops: keys, the payload text and the first failed check."""
     keys = tuple(spec.key_columns if keys is None else keys)
-    spark = df.sparkSession
-    with duplicate_keys_last(spark, duplicate_keys == "last"):
-        parsed = _parsed(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS payload",))
-        whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in validity_checks(spec, strict))
-        reason = f"CASE WHEN payload IS NULL THEN 'null_payload' {whens} END"
-        # explode instead of a filter, so the document is parsed once (see module doc)
-        return parsed.selectExpr(
-            *[V.ident(k) for k in keys],
-            "payload",
-            f"explode(CASE WHEN ({reason}) IS NOT NULL THEN array({reason}) END) AS reject_reason",
-        )
+    plan = _Plan(spec, strict)
+    with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
+        cols = plan.build(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS payload",))
+    whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in plan.checks())
+    reason = f"CASE WHEN payload IS NULL THEN 'null_payload' {whens} END"
+    # explode instead of a filter, so the document is parsed once (see module doc)
+    return cols.selectExpr(
+        *[V.ident(k) for k in keys],
+        "payload",
+        f"explode(CASE WHEN ({reason}) IS NOT NULL THEN array({reason}) END) AS reject_reason",
+    )

@@ -18,10 +18,20 @@ DEFAULTS = {
 }
 
 
-def get_session(app: str = "unfurl", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    app: str = "unfurl",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
+) -> SparkSession:
+    """Session with the defaults above. In local mode the driver JVM is the only
+    executor, so its heap is sized here (``driver_memory``, default 8g); on a
+    cluster memory comes from the submitter, not from code."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", driver_memory or "8g")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
