@@ -21,7 +21,7 @@ def leaf_text(v):
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, (dict, list)):
-        return json.dumps(v, separators=(",", ":"), sort_keys=True)
+        return json.dumps(v, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
     return str(v)
 
 

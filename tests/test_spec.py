@@ -1,0 +1,54 @@
+"""Spec shape: widths, order, names."""
+
+import pytest
+
+from unfurl.plans.catalog import BM, BM_XML, CEP_XML, SCAN
+from unfurl.plans.spec import FlattenSpec, Group, parse_path
+
+
+@pytest.mark.parametrize("spec,width", [(SCAN, 315), (BM, 413), (CEP_XML, 75), (BM_XML, 61)])
+def test_widths_and_unique_names(spec, width):
+    cols = spec.columns()
+    assert len(cols) == width
+    assert len({c.lower() for c in cols}) == width
+    spec.check_names()
+
+
+def test_order_edges():
+    assert SCAN.columns()[:4] == ["dev_id", "mac_id", "ver", "serial_nbr"]
+    assert SCAN.columns()[-4:] == ["pk", "sk", "upsertTimestamp", "error"]
+    assert BM.columns()[:5] == ["scannerMACAddress", "scannerID", "scannerSerialNumber", "version", "storageLocation"]
+    assert BM.columns()[-3:] == ["pk", "sk", "upsertTimestamp"]
+    assert CEP_XML.columns()[:6] == ["eventName", "eventCreationSys", "eventCreationDtm", "eventActionCd", "eventID", "version"]
+    assert BM_XML.columns()[19:21] == ["TagTypeCd", "Priority"]
+
+
+def test_legs_are_field_major():
+    cols = SCAN.columns()
+    i = cols.index("resp_curritnr_0_flt_nbr")
+    assert cols[i:i + 6] == [f"resp_curritnr_{k}_flt_nbr" for k in range(5)] + ["resp_curritnr_0_carr_cd"]
+    assert "curr_itne_0_isBM" in CEP_XML.columns() and "curr_itne_1_isBM" not in CEP_XML.columns()
+
+
+def test_repeated_field_kept_once_at_first_position():
+    cols = BM.columns()
+    assert cols.count("lastAction1_legSequenceNumber") == 1
+    assert cols.index("lastAction1_legSequenceNumber") == cols.index("lastAction1_remark") + 1
+
+
+def test_trailing_space_key_kept_verbatim():
+    steps = [g for g in SCAN.groups if g.prefix == "br_trans_res_flt_info_"][0].steps
+    assert steps[-1].key == "flt_info "
+
+
+def test_path_parsing_and_nodes():
+    assert [(s.key, s.first) for s in parse_path("a/b[0]/c")] == [("a", False), ("b", True), ("c", False)]
+    spec = FlattenSpec("t", (Group("a/b[0]", ("x",)), Group("a/legs", ("y",), mode="legs")))
+    kinds = {n.label: n.kind for n in spec.nodes()}
+    assert kinds == {"a": "object", "a/b[0]": "first", "a/legs": "legs"}
+
+
+def test_conflicting_node_kinds_rejected():
+    spec = FlattenSpec("t", (Group("a/b", ("x",)), Group("a/b", ("y",), mode="legs")))
+    with pytest.raises(ValueError):
+        spec.nodes()

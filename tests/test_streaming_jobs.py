@@ -1,0 +1,82 @@
+"""Streaming input, the three daily jobs, and the driver entry points."""
+
+import gzip
+import json
+import os
+
+from unfurl import SCAN
+from unfurl.jobs import extract_previous_day, flatten_payloads, flatten_responses
+from unfurl.streaming import flatten_new_files, flatten_stream
+
+SCHEMA = "pk string, sk string, scanResponse string, upsertTimestamp string"
+
+
+def test_streaming_flatten_memory_sink(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    rows = [("p1", "s", '{"bag_resp":{"ret_code":1}}', "t"), ("p2", "s", '{"bag_resp":null}', "t")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    q = flatten_stream(stream, "scanResponse", SCAN).writeStream.format("memory").queryName("flat_mem").start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.sql("SELECT pk, ret_code FROM flat_mem").collect()
+    assert [(r.pk, r.ret_code) for r in got] == [("p1", "1")]
+
+
+def test_incremental_files_only_new(spark, tmp_dir):
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
+    spark.createDataFrame([("p1", "s", '{"bag_resp":{"ret_code":1}}', "t")], SCHEMA).write.parquet(src)
+    flatten_new_files(spark, src, SCHEMA, "scanResponse", SCAN, out, checkpoint=ckpt).awaitTermination()
+    spark.createDataFrame([("p2", "s", '{"bag_resp":{"ret_code":2}}', "t")], SCHEMA).write.mode("append").parquet(src)
+    flatten_new_files(spark, src, SCHEMA, "scanResponse", SCAN, out, checkpoint=ckpt).awaitTermination()
+    got = sorted((r.pk, r.ret_code) for r in spark.read.parquet(out).collect())
+    assert got == [("p1", "1"), ("p2", "2")]
+
+
+def _export(tmp_dir, items):
+    path = os.path.join(tmp_dir, "export")
+    os.makedirs(path)
+    with gzip.open(os.path.join(path, "part-0.json.gz"), "wt") as f:
+        for it in items:
+            f.write(json.dumps({"Item": {k: {"S": v} for k, v in it.items()}}) + "\n")
+    return path
+
+
+def test_daily_jobs_end_to_end(spark, tmp_dir):
+    env = '{"text":"<Envelope><eventHeader><eventName>E</eventName></eventHeader></Envelope>"}'
+    items = [
+        {"pk": "p1", "sk": "s1", "upsertTimestamp": "2024-01-01T10:00:00",
+         "scanResponse": '{"bag_resp":{"ret_code":"0"}}', "bmResponse": '{"bagResp":{"responseCode":"OK"}}',
+         "cepPayload": env, "bmPayload": env},
+        {"pk": "p2", "sk": "s2", "upsertTimestamp": "2024-01-05T10:00:00",
+         "scanResponse": "{}", "bmResponse": "{}", "cepPayload": env, "bmPayload": env},
+    ]
+    export = _export(tmp_dir, items)
+    day = os.path.join(tmp_dir, "day")
+    assert extract_previous_day(spark, export, day, run_date="2024-01-02") == 1
+
+    table = spark.read.parquet(day)
+    query = os.path.join(tmp_dir, "compare.sql")
+    with open(query, "w") as f:
+        f.write("SELECT s.pk, s.ret_code, b.responseCode\nFROM scan s JOIN bm b ON s.pk = b.pk\n")
+    counts, result = flatten_responses(spark, table, os.path.join(tmp_dir, "scan"), os.path.join(tmp_dir, "bm"),
+                                       query_path=query)
+    assert counts == {"scan": 1, "bm": 1}
+    assert [tuple(r) for r in result.collect()] == [("p1", "0", "OK")]
+    assert len(spark.read.parquet(os.path.join(tmp_dir, "scan")).columns) == 315
+
+    xml_counts = flatten_payloads(spark, table, os.path.join(tmp_dir, "cep.csv"), os.path.join(tmp_dir, "bmx.csv"))
+    assert xml_counts == {"cep": 1, "bm": 1}
+    part = [p for p in os.listdir(os.path.join(tmp_dir, "cep.csv")) if p.startswith("part-")]
+    assert len(part) == 1
+    lines = open(os.path.join(tmp_dir, "cep.csv", part[0])).read().splitlines()
+    assert lines[0].split(",")[0] == "eventName" and lines[1].startswith("E,")
+
+
+def test_entry_contract(spark):
+    import __spark_entry__ as E
+
+    assert set(E.queries()) == set(E.oracle_sql())
+    df = E.entry(spark)
+    assert len(df.columns) == 315
+    assert df.count() > 0
