@@ -86,3 +86,102 @@ def flatten_json_py(text, spec, strict=True):
     except Drop:
         return None
     return out
+
+
+# ---------------------------------------------------------------------------
+# XML rules (X-a .. X-f), per element of the spec's paths
+# ---------------------------------------------------------------------------
+def _local(tag: str) -> str:
+    return tag.split("}", 1)[1] if "}" in tag else tag
+
+
+def _kids(el, name):
+    return [c for c in el if _local(c.tag) == name]
+
+
+def _has_children(el) -> bool:
+    return len(el) > 0
+
+
+def _xml_leaf(el, name):
+    if name in el.attrib:
+        return el.attrib[name]
+    kids = _kids(el, name)
+    if not kids:
+        return None
+    if len(kids) > 1:
+        return json.dumps([k.text or "" for k in kids], separators=(",", ":"), ensure_ascii=False)
+    return kids[0].text or None
+
+
+def _xml_node(root, keys, *, legs=False, single_leg="drop"):
+    """Element for ``keys`` (leg 0 for legs), None when missing; raises Drop on a bad node."""
+    if _local(root.tag) != keys[0]:
+        return None
+    if not _has_children(root):
+        raise Drop
+    el = root
+    for i, k in enumerate(keys[1:], start=1):
+        last = i == len(keys) - 1
+        if k in el.attrib:
+            raise Drop
+        kids = _kids(el, k)
+        if not kids:
+            return None
+        if last and legs:
+            if len(kids) == 1 and single_leg != "keep":
+                raise Drop
+            if not _has_children(kids[0]):
+                raise Drop
+            return kids[0]
+        if len(kids) > 1 or not _has_children(kids[0]):
+            raise Drop
+        el = kids[0]
+    return el
+
+
+def _scan_detail_ok(root, path):
+    keys = path.split("/")
+    parent = _xml_node(root, keys[:-1])
+    if parent is None:
+        return
+    name = keys[-1]
+    if name in parent.attrib:
+        if parent.attrib[name] != "":
+            raise Drop
+        return
+    kids = _kids(parent, name)
+    if len(kids) > 1:
+        raise Drop
+    if kids and not _has_children(kids[0]) and kids[0].text:
+        raise Drop
+
+
+def flatten_xml_py(payload, spec, single_leg="drop"):
+    import xml.etree.ElementTree as ET
+
+    if payload is None:
+        return None
+    try:
+        data = json.loads(payload)
+    except ValueError:
+        return None
+    if not isinstance(data, dict) or not isinstance(data.get("text"), str):
+        return None
+    try:
+        root = ET.fromstring(data["text"])
+    except ET.ParseError:
+        return None
+    out = {}
+    try:
+        detail = spec.extra.get("scan_detail")
+        if detail:
+            _scan_detail_ok(root, detail[0])
+        for g in spec.groups:
+            keys = [s.key for s in g.steps]
+            node = _xml_node(root, keys, legs=g.mode == "legs", single_leg=single_leg)
+            for name, fld, _ in g.leaves():
+                out.setdefault(name, _xml_leaf(node, fld) if node is not None else None)
+    except Drop:
+        return None
+    return out
