@@ -8,10 +8,15 @@ written once to parquet (as the production input table would exist). Timed:
 
 * ``flatten_*``    the four flattens over the written payload table, all
                    columns computed (``noop`` sink), best of ``BENCH_REPEAT``;
+* ``*_lenient``    the same with ``strict=False`` (cost of the row rules);
 * ``q_*``          registered queries end to end (payload building included);
-* ``udf_scan``     the same scan flatten as a row-at-a-time Python UDF
-                   returning ``map<string,string>`` (the execution model being
-                   replaced), for comparison only; not part of ``value``.
+* ``udf_*``        the scan / cep flattens as row-at-a-time Python UDFs
+                   returning ``map<string,string>`` with the same rules (the
+                   execution model being replaced), for comparison only; not
+                   part of ``value``.
+
+Also reported: rows/s per flatten and the plan shape of each flatten (Python
+nodes and exchanges, want 0; JSON parses, want 1).
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ from workloads import registry as R  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+QUICK = os.environ.get("BENCH_QUICK", "") not in ("", "0")  # flattens only
 
 
 def sf_of(path: str) -> float | str:
@@ -73,44 +79,60 @@ def main() -> None:
     cep = R.cep_payloads(spark, SF_DIR).select("pk", "cepPayload")
     bmx = R.bm_xml_payloads(spark, SF_DIR).select("pk", "bmPayload")
     table = scan.join(bm, "pk").join(cep, "pk").join(bmx, "pk")
-    table.write.mode("overwrite").parquet(os.path.join(root, "payloads"))
+    # several files per core, as a large table would have splits: a CPU-bound
+    # flatten on fewer, uneven parts would measure scheduling, not the operator
+    table.repartition(CPUS * 4).write.mode("overwrite").parquet(os.path.join(root, "payloads"))
     setup_sec = round(time.perf_counter() - t0, 3)
     payloads = spark.read.parquet(os.path.join(root, "payloads"))
     n_rows = payloads.count()
 
     queries: dict[str, float] = {}
     flattens = {
-        "flatten_scan": lambda: run_noop(flatten_json(payloads, "scanResponse", SCAN)),
-        "flatten_bm": lambda: run_noop(flatten_json(payloads, "bmResponse", BM)),
-        "flatten_cep_xml": lambda: run_noop(flatten_xml(payloads, "cepPayload", CEP_XML)),
-        "flatten_bm_xml": lambda: run_noop(flatten_xml(payloads, "bmPayload", BM_XML)),
+        "flatten_scan": lambda strict=True: flatten_json(payloads, "scanResponse", SCAN, strict=strict),
+        "flatten_bm": lambda strict=True: flatten_json(payloads, "bmResponse", BM, strict=strict),
+        "flatten_cep_xml": lambda strict=True: flatten_xml(payloads, "cepPayload", CEP_XML, strict=strict),
+        "flatten_bm_xml": lambda strict=True: flatten_xml(payloads, "bmPayload", BM_XML, strict=strict),
     }
-    for name, fn in flattens.items():
-        queries[name] = timed(fn, REPEAT)
+    plan_shape = {}
+    for name, build in flattens.items():
+        queries[name] = timed(lambda b=build: run_noop(b()), REPEAT)
+        plan = build()._jdf.queryExecution().executedPlan().toString()
+        plan_shape[name] = {
+            "python_nodes": plan.count("EvalPython"),
+            "exchanges": plan.count("Exchange"),
+            "json_parses": plan.count("parseJson"),
+            "codegen_stages": plan.count("*("),
+        }
+    for name in ("flatten_scan", "flatten_cep_xml"):
+        queries[f"{name}_lenient"] = timed(lambda b=flattens[name]: run_noop(b(strict=False)), REPEAT)
 
     end_to_end = ["scan_flat", "bm_flat", "json_strict_drop", "cep_xml_flat", "bm_xml_flat",
                   "prev_day_inclusive", "apply_mapping", "map_to_columns", "unnest_typed", "sql_over"]
-    for name in end_to_end:
+    for name in [] if QUICK else end_to_end:
         queries[f"q_{name}"] = timed(lambda n=name: run_noop(R.QUERIES[n](spark, SF_DIR)))
 
-    # ---- comparison: row-at-a-time Python UDF, same rules ------------------
-    from pyoracle import flatten_json_py
+    # ---- comparison: row-at-a-time Python UDFs, same rules ------------------
+    from pyoracle import flatten_json_py, flatten_xml_py
+
+    def udf_flatten(fn, spec, col):
+        cols = spec.columns()
 
-    cols = SCAN.columns()
+        def row(text, pk, sk, ts):
+            out = fn(text, spec)
+            if out is None:
+                return None
+            out.update({"pk": pk, "sk": sk, "upsertTimestamp": ts})
+            return out
 
-    def scan_udf(text, pk, sk, ts):
-        out = flatten_json_py(text, SCAN)
-        if out is None:
-            return None
-        out.update({"pk": pk, "sk": sk, "upsertTimestamp": ts})
-        return out
+        udf = F.udf(row, T.MapType(T.StringType(), T.StringType()))
+        mapped = payloads.select(udf(col, "pk", "sk", "upsertTimestamp").alias("m")).where("m IS NOT NULL")
+        return mapped.select(*[F.col("m").getItem(c).alias(c) for c in cols])
 
-    udf = F.udf(scan_udf, T.MapType(T.StringType(), T.StringType()))
-    src = payloads.where(F.col("scanResponse").isNotNull())
-    mapped = src.select(udf("scanResponse", "pk", "sk", "upsertTimestamp").alias("m")).where("m IS NOT NULL")
-    udf_sec = timed(lambda: run_noop(mapped.select(*[F.col("m").getItem(c).alias(c) for c in cols])))
+    if not QUICK:
+        queries["udf_scan"] = timed(lambda: run_noop(udf_flatten(flatten_json_py, SCAN, "scanResponse")))
+        queries["udf_cep_xml"] = timed(lambda: run_noop(udf_flatten(flatten_xml_py, CEP_XML, "cepPayload")))
 
-    total = round(sum(v for k, v in queries.items() if k.startswith("flatten_")), 3)
+    total = round(sum(queries[k] for k in flattens), 3)
     print(json.dumps({
         "metric": "flatten_total_sec",
         "value": total,
@@ -118,8 +140,12 @@ def main() -> None:
         "queries": queries,
         "sf": sf_of(SF_DIR),
         "rows": n_rows,
-        "rows_per_sec_scan": round(n_rows / queries["flatten_scan"], 1) if queries["flatten_scan"] else None,
-        "udf_scan_sec": udf_sec,
+        "rows_per_sec": {k: round(n_rows / queries[k], 1) for k in flattens},
+        "speedup_vs_python_udf": {} if QUICK else {
+            "scan": round(queries["udf_scan"] / queries["flatten_scan"], 1),
+            "cep_xml": round(queries["udf_cep_xml"] / queries["flatten_cep_xml"], 1),
+        },
+        "plan_shape": plan_shape,
         "setup_sec": setup_sec,
         "cpus": CPUS,
     }))

@@ -38,3 +38,27 @@ def test_projection_prunes_scan(spark, tmp_dir):
     plan = _plan(flatten_json(spark.read.parquet(path), "scanResponse", SCAN))
     scan_line = [line for line in plan.split("\n") if "FileScan" in line][0]
     assert "cepPayload" not in scan_line and "bmResponse" not in scan_line
+
+
+def test_strict_parse_function(spark):
+    from pyspark.sql import functions as F
+
+    from unfurl import json_leaf_text, parse_json_strict
+
+    df = spark.createDataFrame([('{"a":{"b":1.50}}',), ('{"a":1} x',), ("nope",), (None,)], "t string")
+    got = [r.v for r in df.select(json_leaf_text(parse_json_strict("t"), "$.a.b").alias("v")).collect()]
+    assert got == ["1.5", None, None, None]
+    assert df.select(parse_json_strict(F.col("t")).isNull().alias("n")).where("n").count() == 3
+
+
+def test_registered_query_plans(spark):
+    """Document building: partial per-key limit before the shuffle, no Python anywhere."""
+    import __spark_entry__ as E
+
+    from conftest import SF_SMALL
+
+    for name in ("scan_flat", "cep_xml_flat", "json_strict_drop"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert "EvalPython" not in plan
+        assert plan.count("WindowGroupLimit") >= 2, name  # partial (map side) and final
+        assert plan.count("parseJson") == 1, name

@@ -4,6 +4,7 @@ A flatten is declared as data (:mod:`unfurl.plans.spec`) and compiled to
 built-in Spark expressions (Variant for JSON, ``from_xml`` for XML).
 """
 
+from .functions import json_leaf_text, parse_json_strict
 from .operators.flatten_json import flatten_json, json_rejects
 from .operators.flatten_xml import flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, map_to_columns, previous_day, sql_file, sql_over
@@ -14,7 +15,7 @@ from .sources.export import read_export, read_table, unnest_typed
 
 __all__ = [
     "BM", "BM_XML", "CEP_XML", "SCAN", "SPECS", "FlattenSpec", "Group",
-    "apply_mapping", "flatten_json", "flatten_xml", "json_rejects", "map_to_columns", "previous_day",
+    "apply_mapping", "flatten_json", "json_leaf_text", "parse_json_strict", "flatten_xml", "json_rejects", "map_to_columns", "previous_day",
     "read_export", "read_table", "sql_file", "sql_over", "unnest_typed", "write_csv", "write_parquet",
     "write_single_csv", "xml_rejects",
 ]
