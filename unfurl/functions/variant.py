@@ -85,16 +85,6 @@ def is_string(w: str, path: str) -> str:
     return f"(schema_of_variant({vget(w, path, 'variant')}) = 'STRING')"
 
 
-def object_or_missing(w: str, path: str) -> str:
-    # object test first: it is the common case and copies nothing
-    return f"(CASE WHEN {is_object(w, path)} THEN true ELSE {is_missing(w, path)} END)"
-
-
-def first_or_missing(w: str, path_of_array: str) -> str:
-    """``node[0]`` usable: node missing, or an array whose element 0 is an object."""
-    return f"(CASE WHEN {is_object(w, path_of_array + '[0]')} THEN true ELSE {is_missing(w, path_of_array)} END)"
-
-
 def legs_ok(w: str, path: str, legs: int, arr: str | None = None) -> str:
     """Leg array usable for slots ``0..legs-1``.
 
@@ -112,8 +102,3 @@ def legs_ok(w: str, path: str, legs: int, arr: str | None = None) -> str:
         f"WHEN {is_object(w, path)} THEN {text} = '{{}}' "
         f"ELSE coalesce({text} = '', false) END)"
     )
-
-
-def leaf(w: str, path: str) -> str:
-    """Leaf as text: scalars as their JSON text, objects/arrays as JSON, null as NULL."""
-    return vget(w, path, "string")

@@ -114,6 +114,33 @@ class _Plan:
                 checks.append((f"node:{n.label}", f"(CASE WHEN {self._is_object(steps)} THEN true ELSE {missing} END)"))
         return [(label, f"coalesce({c}, false)") for label, c in checks]
 
+    def keep_condition(self) -> str:
+        """The AND of ``checks()``, nested along the node tree: a node's
+        descendants are only tested when the node is present (a missing subtree
+        costs one probe, not one per node below it)."""
+        base = [c for label, c in self.checks()[:2]]
+        if not self.strict:
+            return " AND ".join(base)
+        children: dict = {}
+        for n in self.nodes:
+            children.setdefault(n.steps[:-1], []).append(n)
+
+        def subtree(n) -> str:
+            steps = n.steps
+            if n.kind == "legs":
+                arr = self.group_col.get((steps, "legs"))
+                own = f"coalesce({V.legs_ok(_W, V.vpath(steps), self.legs[steps], arr)}, false)"
+                kids = [subtree(c) for c in children.get(steps, [])]
+                return "(" + " AND ".join([own, *kids]) + ")"
+            if n.kind == "first":
+                missing = V.is_missing(_W, V.vpath(steps[:-1]) + V._quote(steps[-1].key))
+            else:
+                missing = V.is_missing(_W, V.vpath(steps))
+            body = " AND ".join(subtree(c) for c in children.get(steps, [])) or "true"
+            return f"(CASE WHEN {self._is_object(steps)} THEN ({body}) WHEN {missing} THEN true ELSE false END)"
+
+        return " AND ".join(base + [subtree(n) for n in children.get((), [])])
+
     def leaf_exprs(self) -> list[str]:
         out = []
         for g, name, fld, leg in self.spec.payload_leaves():
@@ -133,11 +160,6 @@ class _Plan:
         return parsed.selectExpr(*[V.ident(c) for c in carry], _W, *self.group_exprs())
 
 
-def validity_checks(spec: FlattenSpec, strict: bool = True) -> list[tuple[str, str]]:
-    """(label, SQL boolean) in evaluation order, over the columns of ``_Plan.build``."""
-    return _Plan(spec, strict).checks()
-
-
 def flatten_json(
     df: DataFrame,
     payload: str,
@@ -163,7 +185,7 @@ def flatten_json(
     plan = _Plan(spec, strict)
     with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
         cols = plan.build(df, payload, keys)
-    ok = " AND ".join(c for _, c in plan.checks())
+    ok = plan.keep_condition()
     groups = list(plan.group_col.values())
     kept = cols.selectExpr(*[V.ident(k) for k in keys], *groups, f"explode(CASE WHEN {ok} THEN array(true) END) AS __keep")
     payload_cols = set(spec.payload_columns())
