@@ -65,7 +65,8 @@ def test_daily_jobs_end_to_end(spark, tmp_dir):
     assert [tuple(r) for r in result.collect()] == [("p1", "0", "OK")]
     assert len(spark.read.parquet(os.path.join(tmp_dir, "scan")).columns) == 315
 
-    xml_counts = flatten_payloads(spark, table, os.path.join(tmp_dir, "cep.csv"), os.path.join(tmp_dir, "bmx.csv"))
+    xml_counts = flatten_payloads(spark, table, os.path.join(tmp_dir, "cep.csv"), os.path.join(tmp_dir, "bmx.csv"),
+                                  single_file=True)
     assert xml_counts == {"cep": 1, "bm": 1}
     part = [p for p in os.listdir(os.path.join(tmp_dir, "cep.csv")) if p.startswith("part-")]
     assert len(part) == 1

@@ -4,6 +4,7 @@
 2. ``flatten_responses``     JSON responses -> scan + bm wide tables -> parquet,
                               then optional stored SQL over the *written* tables
 3. ``flatten_payloads``      JSON-wrapped XML -> cep + bm wide tables -> CSV
+                              (distributed parts, or one file on request)
 
 Each output is one lazy plan and one write action. Row counts come from
 ``observe`` on the write itself, not from extra ``count()`` jobs that would
@@ -57,7 +58,10 @@ def flatten_responses(spark: SparkSession, table: DataFrame, scan_out: str, bm_o
 
 
 def flatten_payloads(spark: SparkSession, table: DataFrame, cep_out: str, bm_out: str, *, strict: bool = True,
-                     single_leg: str = "drop", single_file: bool = True) -> dict:
+                     single_leg: str = "drop", single_file: bool = False) -> dict:
+    """CSV with a header per output. ``single_file=True`` gives exactly one CSV
+    file (one writer task by definition, for small outputs); the default writes
+    one part file per task so no single task receives the whole table."""
     from .sinks.files import write_csv
 
     src = apply_mapping(table, XML_MAPPING)

@@ -29,9 +29,9 @@ from unfurl import (
     sql_over,
     unnest_typed,
     write_parquet,
-    write_single_csv,
     xml_rejects,
 )
+from unfurl.sinks.files import write_csv
 from unfurl.plans.spec import FlattenSpec, Group
 from unfurl.session import ensure_checkpoint_dir
 from unfurl.sinks.files import CSV_OPTIONS
@@ -476,9 +476,11 @@ def q_parquet_round_trip(spark, sf_dir):
 
 
 def q_csv_round_trip(spark, sf_dir):
+    # distributed CSV parts (the single-file form is one writer task; its text is
+    # checked against pandas in tests/test_relational.py)
     path = _scratch(spark, "csv")
     flat = q_bm_xml_flat(spark, sf_dir)
-    write_single_csv(flat, path)
+    write_csv(flat, path)
     return spark.read.options(**CSV_OPTIONS).schema(flat.schema).csv(path)
 
 
