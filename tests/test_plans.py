@@ -62,3 +62,16 @@ def test_registered_query_plans(spark):
         assert "EvalPython" not in plan
         assert plan.count("WindowGroupLimit") >= 2, name  # partial (map side) and final
         assert plan.count("parseJson") == 1, name
+
+
+def test_key_filter_reaches_scan(spark, tmp_dir):
+    """A filter on a lineage key is pushed through the row filter into the parquet scan."""
+    import os
+
+    path = os.path.join(tmp_dir, "k")
+    _src(spark).write.parquet(path)
+    out = flatten_json(spark.read.parquet(path), "scanResponse", SCAN).where("pk = 'p'").select("pk", "ret_code")
+    plan = _plan(out)
+    scan_line = [line for line in plan.split("\n") if "FileScan" in line][0]
+    assert "PushedFilters: [IsNotNull(pk), EqualTo(pk,p)]" in scan_line
+    assert out.count() == 1
