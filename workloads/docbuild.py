@@ -174,8 +174,10 @@ class XmlDoc(Doc):
     raw: dict = field(default_factory=dict)  # element path -> SQL of extra XML appended inside it
 
 
-def spark_xml_doc(doc: XmlDoc, legs_col: str = "legs") -> str:
-    """Spark SQL text of the XML document (a STRING), elements in spec order."""
+def spark_xml_doc(doc: XmlDoc, legs_col: str = "legs", damage=None) -> str:
+    """Spark SQL text of the JSON-wrapped XML document (a STRING).
+
+    ``damage``: optional function from the XML text SQL to a changed one."""
     tree: dict = {}
     idx = doc.leaf_index()
 
@@ -221,4 +223,7 @@ def spark_xml_doc(doc: XmlDoc, legs_col: str = "legs") -> str:
 
     env = tree.pop("Envelope")
     inner, _ = render(env, "Envelope")
-    return f"to_json(named_struct('text', concat({sq(doc.root_open)}, {inner}, '</Envelope>')))"
+    xml = f"concat({sq(doc.root_open)}, {inner}, '</Envelope>')"
+    if damage:
+        xml = damage(xml)
+    return f"to_json(named_struct('text', {xml}))"

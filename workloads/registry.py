@@ -166,7 +166,10 @@ BM_DOC = Doc(
 )
 
 _D = "Envelope/Body/bagDetails"
-_XML_SCANS = "'<bagScans><bagScanDtl><fltNbr>1</fltNbr><scanType>S</scanType></bagScanDtl></bagScans>'"
+_XML_SCANS = (
+    "concat('<bagScans><bagScanDtl><fltNbr>', CAST(o.o_orderkey AS STRING), '</fltNbr><scanType>', "
+    "o.o_orderstatus, '</scanType></bagScanDtl></bagScans>')"
+)
 
 
 def _xml_doc(spec, extra_fill, leg_fields):
@@ -269,6 +272,27 @@ def cep_payloads(spark, sf_dir):
     return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC), "cepPayload", 3)
 
 
+# damaged XML documents, by order priority:
+#   1-URGENT: <paxInfo/> (intermediate element without children)
+#   2-HIGH:   a second bagScanDtl (repeated scan detail)
+#   3-MEDIUM: text after the root element
+#   4-NOT SPECIFIED: truncated document (malformed)
+#   5-LOW:    intact (still subject to the leg-count rule)
+def _damage_xml(xml: str) -> str:
+    return (
+        "CASE o.o_orderpriority "
+        f"WHEN '1-URGENT' THEN regexp_replace({xml}, '<paxInfo>.*</paxInfo>', '<paxInfo/>') "
+        f"WHEN '2-HIGH' THEN replace({xml}, '</bagScans>', '<bagScanDtl><x>1</x></bagScanDtl></bagScans>') "
+        f"WHEN '3-MEDIUM' THEN concat({xml}, ' tail') "
+        f"WHEN '4-NOT SPECIFIED' THEN substring({xml}, 1, length({xml}) - 3) "
+        f"ELSE {xml} END"
+    )
+
+
+def damaged_cep_payloads(spark, sf_dir):
+    return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC, damage=_damage_xml), "cepPayload", 3)
+
+
 def bm_xml_payloads(spark, sf_dir):
     return payload_table(spark, sf_dir, spark_xml_doc(BM_XML_DOC), "bmPayload", 3)
 
@@ -386,6 +410,18 @@ def q_xml_single_leg_keep(spark, sf_dir):
     return flatten_xml(cep_payloads(spark, sf_dir), "cepPayload", CEP_XML, single_leg="keep")
 
 
+def q_xml_strict_drop(spark, sf_dir):
+    return flatten_xml(damaged_cep_payloads(spark, sf_dir), "cepPayload", CEP_XML)
+
+
+def q_xml_lenient(spark, sf_dir):
+    return flatten_xml(damaged_cep_payloads(spark, sf_dir), "cepPayload", CEP_XML, strict=False)
+
+
+def q_cep_scan_detail(spark, sf_dir):
+    return flatten_xml(cep_payloads(spark, sf_dir), "cepPayload", CEP_XML, emit_scan_detail=True)
+
+
 def q_xml_reject_count(spark, sf_dir):
     rej = xml_rejects(cep_payloads(spark, sf_dir), "cepPayload", CEP_XML)
     return rej.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
@@ -510,6 +546,9 @@ QUERIES = {
     "bm_xml_flat": q_bm_xml_flat,
     "xml_single_leg_keep": q_xml_single_leg_keep,
     "xml_reject_count": q_xml_reject_count,
+    "xml_strict_drop": q_xml_strict_drop,
+    "xml_lenient": q_xml_lenient,
+    "cep_scan_detail": q_cep_scan_detail,
     "prev_day_inclusive": q_prev_day_inclusive,
     "prev_day_half_open": q_prev_day_half_open,
     "apply_mapping": q_apply_mapping,
@@ -537,6 +576,20 @@ _COMPARE_ORACLE = (
     "(o.o_orderstatus = o.o_orderstatus) AS same_status FROM orders o"
 )
 _XML_WHERE = "WHERE coalesce(lc.n, 0) <> 1"
+_PAX = ("psgrLastName", "psgrFirstName", "psgrPnr")
+CEP_LENIENT_DOC = XmlDoc(
+    CEP_XML, CEP_DOC.fill, CEP_DOC.legs, KEYS,
+    visible=[(lambda c: c in _PAX, "o.o_orderpriority <> '1-URGENT'")],
+    oracle_override=CEP_DOC.oracle_override,
+)
+_SCAN_DETAIL = [f for f in CEP_XML.extra["scan_detail"][1]]
+
+
+def _oracle_scan_detail() -> str:
+    base = _oracle_xml(CEP_DOC, _XML_WHERE)
+    detail = {"fltNbr": "CAST(o.o_orderkey AS VARCHAR)", "scanType": "o.o_orderstatus"}
+    extra = ", ".join(f"{detail.get(f, 'CAST(NULL AS VARCHAR)')} AS {dq(f)}" for f in _SCAN_DETAIL)
+    return base.replace(" FROM orders o LEFT JOIN customer c", f", {extra} FROM orders o LEFT JOIN customer c", 1)
 _XML_REJECTS = (
     "SELECT 'node:Envelope/Body/bagDetails/bagCurrentItineraries/bagItineraryDtl' AS reject_reason, count(*) AS n "
     "FROM orders o JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) lc "
@@ -559,6 +612,9 @@ ORACLE = {
     "bm_xml_flat": _oracle_xml(BM_XML_DOC, _XML_WHERE),
     "xml_single_leg_keep": _oracle_xml(CEP_DOC, ""),
     "xml_reject_count": _XML_REJECTS,
+    "xml_strict_drop": _oracle_xml(CEP_DOC, _XML_WHERE + " AND o.o_orderpriority = '5-LOW'"),
+    "xml_lenient": _oracle_xml(CEP_LENIENT_DOC, "WHERE o.o_orderpriority NOT IN ('3-MEDIUM', '4-NOT SPECIFIED')"),
+    "cep_scan_detail": _oracle_scan_detail(),
     "prev_day_inclusive": (
         f"SELECT * FROM {_PREV_SRC} WHERE {_PREV_TS} BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-01-02'"
     ),
