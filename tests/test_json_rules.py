@@ -139,3 +139,14 @@ def test_rejects_reason(spark):
     df = spark.createDataFrame(rows, "pk string, sk string, scanResponse string, upsertTimestamp string")
     got = {r.pk: r.reject_reason for r in json_rejects(df, "scanResponse", SCAN).collect()}
     assert got == {"p0": "null_payload", "p1": "malformed", "p2": "not_object", "p3": "node:bag_resp"}
+
+
+def test_k4_corrected_key_option(spark):
+    from unfurl.plans.catalog import SCAN as S
+
+    old = "bag_resp/resp_info[0]/br_trans_res/scanned_flt_info/flt_info "
+    fixed = S.with_path(old, old.rstrip())
+    assert fixed.columns() == S.columns()
+    doc = '{"bag_resp":{"resp_info":[{"br_trans_res":{"scanned_flt_info":{"flt_info":{"flt_nbr":"1"}}}}]}}'
+    (r,) = run(spark, [doc], spec=fixed)
+    assert r["br_trans_res_flt_info_flt_nbr"] == "1"

@@ -148,6 +148,24 @@ class FlattenSpec:
                 kinds[prefix] = kind
         return [Node(s, k) for s, k in sorted(kinds.items(), key=lambda kv: len(kv[0]))]
 
+    def with_path(self, old: str, new: str) -> "FlattenSpec":
+        """The same spec reading ``new`` where it read ``old`` (and below it);
+        output column names are unchanged. E.g. read a misspelt source key
+        under its corrected name: ``SCAN.with_path(".../flt_info ", ".../flt_info")``."""
+        from dataclasses import replace
+
+        def moved(path: str) -> str:
+            if path == old:
+                return new
+            if path.startswith(old + "/"):
+                return new + path[len(old):]
+            return path
+
+        groups = tuple(replace(g, path=moved(g.path)) for g in self.groups)
+        if groups == self.groups:
+            raise ValueError(f"no group path starts with {old!r}")
+        return replace(self, groups=groups)
+
     def check_names(self) -> None:
         cols = self.columns()
         lowered = [c.lower() for c in cols]
