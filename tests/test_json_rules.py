@@ -2,7 +2,6 @@
 
 import json
 
-import pytest
 
 from unfurl.operators.flatten_json import flatten_json, json_rejects
 from unfurl.plans.catalog import BM, SCAN

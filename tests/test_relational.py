@@ -6,7 +6,7 @@ import os
 
 import pandas as pd
 
-from unfurl import apply_mapping, map_to_columns, previous_day, read_export, sql_file, sql_over, unnest_typed
+from unfurl import apply_mapping, map_to_columns, previous_day, read_export, sql_file, sql_over
 from unfurl.sinks.files import CSV_OPTIONS, write_parquet, write_single_csv
 
 

@@ -49,8 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     here (with a scratch folder) when unset, as in local tests.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="unfurl-ckpt-", dir="/tmp")
+    existing = sc.getCheckpointDir()  # set at start-up from spark.checkpoint.dir
+    if existing:
+        return existing
+    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="unfurl-ckpt-", dir="/tmp")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -15,17 +15,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from unfurl.plans.spec import FlattenSpec, Group, parse_path
+from unfurl.plans.spec import FlattenSpec, parse_path
 
 
 def dq(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def bq(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def sq(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

@@ -31,10 +31,9 @@ from unfurl import (
     write_parquet,
     xml_rejects,
 )
-from unfurl.sinks.files import write_csv
 from unfurl.plans.spec import FlattenSpec, Group
 from unfurl.session import ensure_checkpoint_dir
-from unfurl.sinks.files import CSV_OPTIONS
+from unfurl.sinks.files import CSV_OPTIONS, write_csv
 
 from .docbuild import (
     Doc,
