@@ -149,3 +149,8 @@ def test_k4_corrected_key_option(spark):
     doc = '{"bag_resp":{"resp_info":[{"br_trans_res":{"scanned_flt_info":{"flt_info":{"flt_nbr":"1"}}}}]}}'
     (r,) = run(spark, [doc], spec=fixed)
     assert r["br_trans_res_flt_info_flt_nbr"] == "1"
+
+
+def test_keys_match_case_sensitively(spark):
+    (r,) = run(spark, ['{"bag_resp":{"RET_CODE":"x","error_msg":"e"}}'])
+    assert r["ret_code"] is None and r["error_msg"] == "e"
