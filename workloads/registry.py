@@ -247,13 +247,14 @@ def _source_sql(doc_sql: str, payload: str, slots: int) -> str:
 def payload_table(spark: SparkSession, sf_dir: str, doc_sql: str, payload: str, slots: int) -> DataFrame:
     """One payload document per order.
 
-    Orders are hash-partitioned by key into ``spark.sql.shuffle.partitions``
-    parts: the same partitioning the per-order legs aggregate has, so at scale
-    this is the join's own shuffle, and the CPU-heavy build and flatten that
-    follow run on that many tasks even when the orders input is one file (a
-    fixed count is not coalesced away by AQE, which sizes parts by bytes).
+    Orders are hash-partitioned by key: the same partitioning the per-order
+    legs aggregate has, so at scale this is the join's own shuffle, and the
+    CPU-heavy build and flatten that follow run on every core even when the
+    orders input is one file (a fixed count is not coalesced away by AQE, which
+    sizes parts by bytes). The count is the shuffle setting, capped at four
+    parts per core so a small input is not cut into hundreds of tiny tasks.
     """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     frames = {n_: _t(spark, sf_dir, n_) for n_ in ("customer", "lineitem")}
     frames["orders"] = _t(spark, sf_dir, "orders").repartition(n, "o_orderkey")
     return sql_over(spark, _source_sql(doc_sql, payload, slots), frames)
