@@ -62,6 +62,14 @@ def test_unnest_typed_and_read_export(spark, tmp_dir):
         for it in items:
             f.write(json.dumps(it) + "\n")
     rows = sorted(read_export(spark, path, ["pk", "n", "b", "z", "m", "absent"]).collect())
+    # nested data folder next to a manifest: recursive scan, manifest filtered out
+    nested = os.path.join(tmp_dir, "root")
+    os.makedirs(os.path.join(nested, "data"))
+    os.rename(os.path.join(path, "part-0.json.gz"), os.path.join(nested, "data", "part-0.json.gz"))
+    with open(os.path.join(nested, "manifest-summary.json"), "w") as f:
+        f.write('{"itemCount": 2}\n')
+    again = read_export(spark, nested, ["pk"], recursive=True, file_glob="*.json.gz")
+    assert sorted(r.pk for r in again.collect()) == ["p1", "p2"]
     assert rows[0].asDict() == {"pk": "p1", "n": "5", "b": "true", "z": None, "m": '{"M":{"k":{"S":"v"}}}', "absent": None}
     assert rows[1].asDict() == {"pk": "p2", "n": None, "b": None, "z": None, "m": None, "absent": None}
 

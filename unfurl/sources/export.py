@@ -41,9 +41,19 @@ def unnest_typed(df: DataFrame, value_col: str, attributes: Iterable[str], *, it
     return parsed.selectExpr(*[ident(k) for k in keep], *cols)
 
 
-def read_export(spark: SparkSession, path: str, attributes: Iterable[str], *, item_key: str = "Item") -> DataFrame:
-    """Scan an export folder (JSON lines, ``.gz`` read transparently) and unnest ``attributes``."""
-    raw = spark.read.text(path)
+def read_export(spark: SparkSession, path: str, attributes: Iterable[str], *, item_key: str = "Item",
+                recursive: bool = False, file_glob: str | None = None) -> DataFrame:
+    """Scan an export folder (JSON lines, ``.gz`` read transparently) and unnest ``attributes``.
+
+    ``recursive`` reads data files in nested folders; ``file_glob`` (e.g.
+    ``"*.json.gz"``) keeps manifest or marker files next to them out of the scan.
+    """
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    raw = reader.text(path)
     return unnest_typed(raw, "value", attributes, item_key=item_key)
 
 
