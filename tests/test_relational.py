@@ -65,7 +65,9 @@ def test_unnest_typed_and_read_export(spark, tmp_dir):
     # nested data folder next to a manifest: recursive scan, manifest filtered out
     nested = os.path.join(tmp_dir, "root")
     os.makedirs(os.path.join(nested, "data"))
-    os.rename(os.path.join(path, "part-0.json.gz"), os.path.join(nested, "data", "part-0.json.gz"))
+    with gzip.open(os.path.join(nested, "data", "part-0.json.gz"), "wt") as f:
+        for it in items:
+            f.write(json.dumps(it) + "\n")
     with open(os.path.join(nested, "manifest-summary.json"), "w") as f:
         f.write('{"itemCount": 2}\n')
     again = read_export(spark, nested, ["pk"], recursive=True, file_glob="*.json.gz")
