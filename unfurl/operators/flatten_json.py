@@ -213,8 +213,9 @@ def json_rejects(
     whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in plan.checks())
     reason = f"CASE WHEN payload IS NULL THEN 'null_payload' {whens} END"
     # explode instead of a filter, so the document is parsed once (see module doc)
-    return cols.selectExpr(
+    tagged = cols.selectExpr(*[V.ident(k) for k in keys], "payload", f"{reason} AS __reason")
+    return tagged.selectExpr(
         *[V.ident(k) for k in keys],
         "payload",
-        f"explode(CASE WHEN ({reason}) IS NOT NULL THEN array({reason}) END) AS reject_reason",
+        "explode(CASE WHEN __reason IS NOT NULL THEN array(__reason) END) AS reject_reason",
     )
