@@ -95,7 +95,11 @@ class _Plan:
         col = self.group_col.get((steps, "object"))
         if col:
             return f"({col} IS NOT NULL)"
-        return V.is_object(_W, V.vpath(steps))
+        # a descendant group's cast only succeeds when every node on its path is
+        # an object, so a non-NULL one answers without probing this node
+        below = [c for (st, _mode), c in self.group_col.items() if len(st) > len(steps) and st[: len(steps)] == steps]
+        probe = V.is_object(_W, V.vpath(steps))
+        return "(" + " OR ".join([f"{c} IS NOT NULL" for c in below[:4]] + [probe]) + ")"
 
     def checks(self) -> list[tuple[str, str]]:
         checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
