@@ -141,3 +141,28 @@ def test_xml_rejects(spark):
     got = {r.pk: r.reject_reason for r in xml_rejects(df, "cepPayload", CEP_XML).collect()}
     assert got == {"p0": "null_payload", "p1": "malformed_xml",
                    "p2": "node:Envelope/Body/bagDetails/bagCurrentItineraries/bagItineraryDtl"}
+
+
+def test_pretty_printed_document(spark):
+    xml = """<?xml version="1.0"?>
+<Envelope>
+  <eventHeader>
+    <eventName>E</eventName>
+  </eventHeader>
+  <Body>
+    <bagDetails>
+      <tagNbr>7</tagNbr>
+      <bagCurrentItineraries>
+        <bagItineraryDtl>
+          <fltNbr>1</fltNbr>
+        </bagItineraryDtl>
+        <bagItineraryDtl>
+          <fltNbr>2</fltNbr>
+        </bagItineraryDtl>
+      </bagCurrentItineraries>
+    </bagDetails>
+  </Body>
+</Envelope>
+"""
+    (r,) = run(spark, [xml])
+    assert (r["eventName"], r["tagNbr"], r["curr_itne_0_fltNbr"]) == ("E", "7", "1")
