@@ -81,3 +81,19 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert len(df.columns) == 315
     assert df.count() > 0
+
+
+def test_command_line(spark, tmp_dir):
+    from unfurl.__main__ import main
+
+    export = _export(tmp_dir, [{"pk": "p1", "sk": "s1", "upsertTimestamp": "2024-01-01T10:00:00",
+                                "scanResponse": '{"bag_resp":{"ret_code":"0"}}', "bmResponse": "{}",
+                                "cepPayload": '{"text":"<Other/>"}', "bmPayload": '{"text":"<Other/>"}'}])
+    day = os.path.join(tmp_dir, "day")
+    assert main(["extract", "--export", export, "--out", day, "--run-date", "2024-01-02"]) == {"rows": 1}
+    out = main(["responses", "--table", day, "--scan-out", os.path.join(tmp_dir, "s"),
+                "--bm-out", os.path.join(tmp_dir, "b")])
+    assert out == {"rows": {"scan": 1, "bm": 1}}
+    out = main(["payloads", "--table", day, "--cep-out", os.path.join(tmp_dir, "c"),
+                "--bm-out", os.path.join(tmp_dir, "x"), "--single-file"])
+    assert out == {"rows": {"cep": 1, "bm": 1}}

@@ -35,8 +35,9 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def extract_previous_day(spark: SparkSession, export_path: str, out_path: str, *, run_date=None,
-                         attributes=EXPORT_ATTRIBUTES) -> int:
-    df = previous_day(read_export(spark, export_path, attributes), "upsertTimestamp", run_date=run_date)
+                         attributes=EXPORT_ATTRIBUTES, recursive: bool = False, file_glob: str | None = None) -> int:
+    src = read_export(spark, export_path, attributes, recursive=recursive, file_glob=file_glob)
+    df = previous_day(src, "upsertTimestamp", run_date=run_date)
     df, obs = _counted(df, "extract")
     write_parquet(df, out_path)
     return obs.get["rows"]
