@@ -52,3 +52,31 @@ def test_conflicting_node_kinds_rejected():
     spec = FlattenSpec("t", (Group("a/b", ("x",)), Group("a/b", ("y",), mode="legs")))
     with pytest.raises(ValueError):
         spec.nodes()
+
+
+@pytest.mark.parametrize("spec", [SCAN, BM, CEP_XML, BM_XML])
+def test_spec_round_trips_as_data(spec, tmp_path):
+    import json
+
+    from unfurl.plans.spec import load_spec
+
+    path = tmp_path / "spec.json"
+    path.write_text(json.dumps(spec.to_dict()))
+    again = load_spec(str(path))
+    assert again.columns() == spec.columns()
+    assert again.nodes() == spec.nodes()
+    assert again.extra == spec.extra
+
+
+def test_user_spec_from_data(spark):
+    from unfurl import flatten_json
+
+    spec = FlattenSpec.from_dict({
+        "name": "orders", "key_columns": ["id"],
+        "groups": [{"path": "order", "fields": ["status"]},
+                   {"path": "order/lines", "fields": ["sku"], "prefix": "line_", "mode": "legs", "legs": 2}],
+    })
+    df = spark.createDataFrame([("1", '{"order":{"status":"F","lines":[{"sku":"a"},{"sku":"b"},{"sku":"c"}]}}')],
+                               "id string, doc string")
+    r = flatten_json(df, "doc", spec).first().asDict()
+    assert r == {"status": "F", "line_0_sku": "a", "line_1_sku": "b", "id": "1"}

@@ -166,9 +166,45 @@ class FlattenSpec:
             raise ValueError(f"no group path starts with {old!r}")
         return replace(self, groups=groups)
 
+    # ---- as plain data --------------------------------------------------
+    def to_dict(self) -> dict:
+        return {
+            "name": self.name,
+            "key_columns": list(self.key_columns),
+            "null_columns": list(self.null_columns),
+            "groups": [
+                {"path": g.path, "fields": list(g.fields), "prefix": g.prefix, "mode": g.mode, "legs": g.legs,
+                 "rename": dict(g.rename)}
+                for g in self.groups
+            ],
+            "extra": {k: [v[0], list(v[1])] for k, v in self.extra.items()},
+        }
+
+    @classmethod
+    def from_dict(cls, d: dict) -> "FlattenSpec":
+        groups = tuple(
+            Group(g["path"], tuple(g["fields"]), g.get("prefix", ""), g.get("mode", "object"), g.get("legs", 5),
+                  tuple(g.get("rename", {}).items()))
+            for g in d["groups"]
+        )
+        extra = {k: (v[0], tuple(v[1])) for k, v in d.get("extra", {}).items()}
+        spec = cls(d["name"], groups, tuple(d.get("null_columns", ())),
+                   tuple(d.get("key_columns", ("pk", "sk", "upsertTimestamp"))), extra)
+        spec.nodes()  # reject inconsistent node kinds early
+        spec.check_names()
+        return spec
+
     def check_names(self) -> None:
         cols = self.columns()
         lowered = [c.lower() for c in cols]
         if len(set(lowered)) != len(lowered):
             dup = sorted({c for c in lowered if lowered.count(c) > 1})
             raise ValueError(f"spec {self.name}: duplicate output columns {dup}")
+
+
+def load_spec(path: str) -> FlattenSpec:
+    """A spec from a JSON file shaped like ``FlattenSpec.to_dict()`` (read on the driver)."""
+    import json
+
+    with open(path) as f:
+        return FlattenSpec.from_dict(json.load(f))
