@@ -66,7 +66,8 @@ def test_daily_jobs_end_to_end(spark, tmp_dir):
     assert len(spark.read.parquet(os.path.join(tmp_dir, "scan")).columns) == 315
 
     xml_counts = flatten_payloads(spark, table, os.path.join(tmp_dir, "cep.csv"), os.path.join(tmp_dir, "bmx.csv"),
-                                  single_file=True)
+                                  single_file=True, rejects_out=os.path.join(tmp_dir, "rej"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "rej", "cep")).count() == 0
     assert xml_counts == {"cep": 1, "bm": 1}
     part = [p for p in os.listdir(os.path.join(tmp_dir, "cep.csv")) if p.startswith("part-")]
     assert len(part) == 1
@@ -97,3 +98,13 @@ def test_command_line(spark, tmp_dir):
     out = main(["payloads", "--table", day, "--cep-out", os.path.join(tmp_dir, "c"),
                 "--bm-out", os.path.join(tmp_dir, "x"), "--single-file"])
     assert out == {"rows": {"cep": 1, "bm": 1}}
+
+
+def test_job_writes_rejects(spark, tmp_dir):
+    rows = [("s1", "p1", '{"bag_resp":null}', "{}", "2024-01-01"), ("s2", "p2", "{}", "nope", "2024-01-01")]
+    table = spark.createDataFrame(rows, "sk string, pk string, scanResponse string, bmResponse string, upsertTimestamp string")
+    rej = os.path.join(tmp_dir, "rej")
+    counts, _ = flatten_responses(spark, table, os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "b"), rejects_out=rej)
+    assert counts == {"scan": 1, "bm": 1}
+    assert [(r.pk, r.reject_reason) for r in spark.read.parquet(os.path.join(rej, "scan")).collect()] == [("p1", "node:bag_resp")]
+    assert [(r.pk, r.reject_reason) for r in spark.read.parquet(os.path.join(rej, "bm")).collect()] == [("p2", "malformed")]

@@ -1,8 +1,9 @@
 """Command line for the daily jobs (run with spark-submit or python -m unfurl).
 
     python -m unfurl extract   --export PATH --out PATH [--run-date YYYY-MM-DD] [--recursive] [--file-glob GLOB]
-    python -m unfurl responses --table PATH --scan-out PATH --bm-out PATH [--query PATH] [--lenient]
-    python -m unfurl payloads  --table PATH --cep-out PATH --bm-out PATH [--single-file] [--keep-single-leg] [--lenient]
+    python -m unfurl responses --table PATH --scan-out PATH --bm-out PATH [--query PATH] [--lenient] [--rejects-out PATH]
+    python -m unfurl payloads  --table PATH --cep-out PATH --bm-out PATH [--single-file] [--keep-single-leg]
+                               [--lenient] [--rejects-out PATH]
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--query")
     r.add_argument("--query-out", help="write the stored SQL result here (parquet)")
     r.add_argument("--lenient", action="store_true")
+    r.add_argument("--rejects-out", help="also write dropped rows with their reason here")
     x = sub.add_parser("payloads", help="JSON-wrapped XML -> cep and bm CSV")
     x.add_argument("--table", required=True)
     x.add_argument("--cep-out", required=True)
@@ -38,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     x.add_argument("--single-file", action="store_true")
     x.add_argument("--keep-single-leg", action="store_true")
     x.add_argument("--lenient", action="store_true")
+    x.add_argument("--rejects-out", help="also write dropped rows with their reason here")
     p.add_argument("--master", help="only for local runs; spark-submit sets it")
     return p
 
@@ -50,7 +53,8 @@ def main(argv: list[str] | None = None) -> dict:
                                                  recursive=args.recursive, file_glob=args.file_glob)}
     elif args.job == "responses":
         counts, result = jobs.flatten_responses(spark, spark.read.parquet(args.table), args.scan_out, args.bm_out,
-                                                query_path=args.query, strict=not args.lenient)
+                                                query_path=args.query, strict=not args.lenient,
+                                                rejects_out=args.rejects_out)
         if result is not None and args.query_out:
             result.write.mode("overwrite").parquet(args.query_out)
         out = {"rows": counts}
@@ -58,7 +62,7 @@ def main(argv: list[str] | None = None) -> dict:
         out = {"rows": jobs.flatten_payloads(spark, spark.read.parquet(args.table), args.cep_out, args.bm_out,
                                              strict=not args.lenient,
                                              single_leg="keep" if args.keep_single_leg else "drop",
-                                             single_file=args.single_file)}
+                                             single_file=args.single_file, rejects_out=args.rejects_out)}
     print(json.dumps(out))
     return out
 

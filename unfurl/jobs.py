@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.flatten_json import flatten_json
-from .operators.flatten_xml import flatten_xml
+from .operators.flatten_json import flatten_json, json_rejects
+from .operators.flatten_xml import flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, previous_day, sql_file
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN
 from .sinks.files import write_parquet, write_single_csv
@@ -44,13 +44,17 @@ def extract_previous_day(spark: SparkSession, export_path: str, out_path: str, *
 
 
 def flatten_responses(spark: SparkSession, table: DataFrame, scan_out: str, bm_out: str, *,
-                      query_path: str | None = None, strict: bool = True):
+                      query_path: str | None = None, strict: bool = True, rejects_out: str | None = None):
+    """``rejects_out``: also write the dropped rows with their reason under
+    ``rejects_out/<scan|bm>`` (a second pass over the payloads; off by default)."""
     src = apply_mapping(table, JSON_MAPPING)
     counts = {}
     for name, col, spec, out in (("scan", "scanResponse", SCAN, scan_out), ("bm", "bmResponse", BM, bm_out)):
         df, obs = _counted(flatten_json(src, col, spec, strict=strict), name)
         write_parquet(df, out)
         counts[name] = obs.get["rows"]
+        if rejects_out:
+            write_parquet(json_rejects(src, col, spec, strict=strict), f"{rejects_out}/{name}")
     result = None
     if query_path:
         frames = {"scan": spark.read.parquet(scan_out), "bm": spark.read.parquet(bm_out)}
@@ -59,7 +63,7 @@ def flatten_responses(spark: SparkSession, table: DataFrame, scan_out: str, bm_o
 
 
 def flatten_payloads(spark: SparkSession, table: DataFrame, cep_out: str, bm_out: str, *, strict: bool = True,
-                     single_leg: str = "drop", single_file: bool = False) -> dict:
+                     single_leg: str = "drop", single_file: bool = False, rejects_out: str | None = None) -> dict:
     """CSV with a header per output. ``single_file=True`` gives exactly one CSV
     file (one writer task by definition, for small outputs); the default writes
     one part file per task so no single task receives the whole table."""
@@ -72,4 +76,6 @@ def flatten_payloads(spark: SparkSession, table: DataFrame, cep_out: str, bm_out
         df, obs = _counted(flatten_xml(src, col, spec, strict=strict, single_leg=single_leg), name)
         sink(df, out)
         counts[name] = obs.get["rows"]
+        if rejects_out:
+            write_parquet(xml_rejects(src, col, spec, strict=strict, single_leg=single_leg), f"{rejects_out}/{name}")
     return counts
