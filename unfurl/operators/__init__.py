@@ -1,0 +1,8 @@
+from .flatten_json import flatten_json, json_rejects
+from .flatten_xml import flatten_xml, xml_rejects
+from .relational import apply_mapping, map_to_columns, previous_day, sql_file, sql_over
+
+__all__ = [
+    "apply_mapping", "flatten_json", "flatten_xml", "json_rejects", "map_to_columns", "previous_day",
+    "sql_file", "sql_over", "xml_rejects",
+]
