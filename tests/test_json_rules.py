@@ -3,7 +3,7 @@
 import json
 
 
-from unfurl.operators.flatten_json import flatten_json, json_rejects
+from unfurl.operators.json_flatten import flatten_json, json_rejects
 from unfurl.plans.catalog import BM, SCAN
 
 

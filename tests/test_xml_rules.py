@@ -2,7 +2,7 @@
 
 import json
 
-from unfurl.operators.flatten_xml import flatten_xml, xml_rejects
+from unfurl.operators.xml_flatten import flatten_xml, xml_rejects
 from unfurl.plans.catalog import BM_XML, CEP_XML
 
 

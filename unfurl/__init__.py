@@ -5,8 +5,8 @@ built-in Spark expressions (Variant for JSON, ``from_xml`` for XML).
 """
 
 from .functions import json_leaf_text, parse_json_strict
-from .operators.flatten_json import flatten_json, json_rejects
-from .operators.flatten_xml import flatten_xml, xml_rejects
+from .operators.json_flatten import flatten_json, json_rejects
+from .operators.xml_flatten import flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, map_to_columns, previous_day, sql_file, sql_over
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN, SPECS
 from .plans.spec import FlattenSpec, Group

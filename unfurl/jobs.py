@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.flatten_json import flatten_json, json_rejects
-from .operators.flatten_xml import flatten_xml, xml_rejects
+from .operators.json_flatten import flatten_json, json_rejects
+from .operators.xml_flatten import flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, previous_day, sql_file
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN
 from .sinks.files import write_parquet, write_single_csv

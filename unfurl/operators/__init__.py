@@ -1,5 +1,5 @@
-from .flatten_json import flatten_json, json_rejects
-from .flatten_xml import flatten_xml, xml_rejects
+from .json_flatten import flatten_json, json_rejects
+from .xml_flatten import flatten_xml, xml_rejects
 from .relational import apply_mapping, map_to_columns, previous_day, sql_file, sql_over
 
 __all__ = [

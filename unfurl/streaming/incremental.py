@@ -15,8 +15,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.flatten_json import flatten_json
-from ..operators.flatten_xml import flatten_xml
+from ..operators.json_flatten import flatten_json
+from ..operators.xml_flatten import flatten_xml
 from ..plans.spec import FlattenSpec
 
 
