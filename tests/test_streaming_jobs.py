@@ -108,3 +108,25 @@ def test_job_writes_rejects(spark, tmp_dir):
     assert counts == {"scan": 1, "bm": 1}
     assert [(r.pk, r.reject_reason) for r in spark.read.parquet(os.path.join(rej, "scan")).collect()] == [("p1", "node:bag_resp")]
     assert [(r.pk, r.reject_reason) for r in spark.read.parquet(os.path.join(rej, "bm")).collect()] == [("p2", "malformed")]
+
+
+def test_streaming_xml_flatten(spark, tmp_dir):
+    from unfurl import CEP_XML
+
+    schema = "pk string, sk string, cepPayload string, upsertTimestamp string"
+    src = os.path.join(tmp_dir, "xin")
+    env = '{"text":"<Envelope><eventHeader><eventName>E</eventName></eventHeader></Envelope>"}'
+    spark.createDataFrame([("p1", "s", env, "t"), ("p2", "s", '{"text":"<Envelope/>"}', "t")], schema).write.parquet(src)
+    out, ckpt = os.path.join(tmp_dir, "xout"), os.path.join(tmp_dir, "xckpt")
+    flatten_new_files(spark, src, schema, "cepPayload", CEP_XML, out, kind="xml", checkpoint=ckpt).awaitTermination()
+    assert [(r.pk, r.eventName) for r in spark.read.parquet(out).collect()] == [("p1", "E")]
+
+
+def test_read_table_by_name_or_path(spark, tmp_dir):
+    from unfurl import read_table
+
+    path = os.path.join(tmp_dir, "t")
+    spark.createDataFrame([(1,)], "a int").write.parquet(path)
+    assert read_table(spark, path).count() == 1
+    spark.createDataFrame([(1,), (2,)], "a int").createOrReplaceTempView("unfurl_tmp_table")
+    assert read_table(spark, "unfurl_tmp_table").count() == 2
