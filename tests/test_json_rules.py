@@ -154,3 +154,9 @@ def test_k4_corrected_key_option(spark):
 def test_keys_match_case_sensitively(spark):
     (r,) = run(spark, ['{"bag_resp":{"RET_CODE":"x","error_msg":"e"}}'])
     assert r["ret_code"] is None and r["error_msg"] == "e"
+
+
+def test_pretty_printed_json_with_unicode(spark):
+    doc = '\n{\n  "bag_resp": {\n    "ret_code": "0",\n    "error_msg": "café ✓",\n    "hdr": {"stn_cd": "ÅRH"}\n  }\n}\n'
+    (r,) = run(spark, [doc])
+    assert (r["ret_code"], r["error_msg"], r["stn_cd"]) == ("0", "café ✓", "ÅRH")
