@@ -61,6 +61,25 @@ def _legs(parent, key, n):
     raise Drop
 
 
+def _node_lenient(cur, steps):
+    """Lenient walk: a node of the wrong kind reads as missing (empty object)."""
+    for s in steps:
+        v = cur.get(s.key) if isinstance(cur, dict) else None
+        if s.first:
+            v = v[0] if isinstance(v, list) and v else None
+        if not isinstance(v, dict):
+            return {}
+        cur = v
+    return cur
+
+
+def _legs_lenient(parent, key, n):
+    v = parent.get(key)
+    if not isinstance(v, list):
+        return [None] * n
+    return [v[i] if i < len(v) and isinstance(v[i], dict) else None for i in range(n)]
+
+
 def flatten_json_py(text, spec, strict=True):
     if text is None:
         return None
@@ -71,6 +90,18 @@ def flatten_json_py(text, spec, strict=True):
     if not isinstance(data, dict):
         return None
     out = {}
+    if not strict:
+        for g in spec.groups:
+            steps = g.steps
+            if g.mode == "legs":
+                legs = _legs_lenient(_node_lenient(data, steps[:-1]), steps[-1].key, g.legs)
+                for name, fld, i in g.leaves():
+                    out.setdefault(name, leaf_text(legs[i].get(fld)) if legs[i] is not None else None)
+            else:
+                node = _node_lenient(data, steps)
+                for name, fld, _ in g.leaves():
+                    out.setdefault(name, leaf_text(node.get(fld)))
+        return out
     try:
         for g in spec.groups:
             steps = g.steps

@@ -92,3 +92,18 @@ def test_random_documents_match_model(spark, spec, seed):
         for col in spec.payload_columns():
             assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}"
     assert kept > 50 and dropped > 20  # both outcomes are exercised
+
+
+@pytest.mark.parametrize("spec,seed", [(SCAN, 5), (BM, 6)])
+def test_random_documents_match_model_lenient(spark, spec, seed):
+    docs = _docs(spec, 400, seed)
+    rows = [(f"p{i}", "s", d, "t") for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "pk string, sk string, payload string, upsertTimestamp string")
+    got = {r["pk"]: r.asDict() for r in flatten_json(df, "payload", spec, strict=False).collect()}
+    for i, d in enumerate(docs):
+        want = flatten_json_py(d, spec, strict=False)
+        have = got.get(f"p{i}")
+        assert (want is None) == (have is None), f"row {i} kept mismatch: {d[:300] if d else d}"
+        if want is not None:
+            for col in spec.payload_columns():
+                assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}"
