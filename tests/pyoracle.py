@@ -171,6 +171,21 @@ def _xml_node(root, keys, *, legs=False, single_leg="drop"):
     return el
 
 
+def _xml_node_lenient(root, keys, leg=0):
+    """Lenient: the first occurrence of each element (``leg``-th for the last
+    step of a legs path), whatever its content; None when absent."""
+    if _local(root.tag) != keys[0]:
+        return None
+    el = root
+    for i, k in enumerate(keys[1:], start=1):
+        kids = _kids(el, k)
+        idx = leg if i == len(keys) - 1 else 0
+        if len(kids) <= idx:
+            return None
+        el = kids[idx]
+    return el
+
+
 def _scan_detail_ok(root, path):
     keys = path.split("/")
     parent = _xml_node(root, keys[:-1])
@@ -188,7 +203,7 @@ def _scan_detail_ok(root, path):
         raise Drop
 
 
-def flatten_xml_py(payload, spec, single_leg="drop"):
+def flatten_xml_py(payload, spec, single_leg="drop", strict=True):
     import xml.etree.ElementTree as ET
 
     if payload is None:
@@ -204,6 +219,13 @@ def flatten_xml_py(payload, spec, single_leg="drop"):
     except ET.ParseError:
         return None
     out = {}
+    if not strict:
+        for g in spec.groups:
+            keys = [s.key for s in g.steps]
+            for name, fld, leg in g.leaves():
+                node = _xml_node_lenient(root, keys, leg or 0)
+                out.setdefault(name, _xml_leaf(node, fld) if node is not None else None)
+        return out
     try:
         detail = spec.extra.get("scan_detail")
         if detail:

@@ -94,3 +94,19 @@ def test_random_xml_documents_match_model(spark, spec, seed):
         for col in spec.payload_columns():
             assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}\n{d[:400]}"
     assert kept > 40 and dropped > 20
+
+
+@pytest.mark.parametrize("spec,seed", [(CEP_XML, 7), (BM_XML, 8)])
+def test_random_xml_documents_match_model_lenient(spark, spec, seed):
+    rnd = random.Random(seed)
+    docs = [_doc(rnd, spec) for _ in range(300)]
+    rows = [(f"p{i}", "s", d, "t") for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "pk string, sk string, payload string, upsertTimestamp string")
+    got = {r["pk"]: r.asDict() for r in flatten_xml(df, "payload", spec, strict=False).collect()}
+    for i, d in enumerate(docs):
+        want = flatten_xml_py(d, spec, strict=False)
+        have = got.get(f"p{i}")
+        assert (want is None) == (have is None), f"row {i} kept mismatch: {d[:400]}"
+        if want is not None:
+            for col in spec.payload_columns():
+                assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}\n{d[:400]}"
