@@ -107,3 +107,15 @@ def test_random_documents_match_model_lenient(spark, spec, seed):
         if want is not None:
             for col in spec.payload_columns():
                 assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}"
+
+
+def test_rejects_are_exactly_the_dropped_rows(spark):
+    from unfurl import json_rejects
+
+    docs = _docs(SCAN, 300, 9)
+    rows = [(f"p{i}", "s", d, "t") for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "pk string, sk string, payload string, upsertTimestamp string")
+    kept = {r.pk for r in flatten_json(df, "payload", SCAN).select("pk").collect()}
+    rejected = {r.pk for r in json_rejects(df, "payload", SCAN).collect()}
+    assert kept.isdisjoint(rejected)
+    assert kept | rejected == {f"p{i}" for i in range(len(docs))}

@@ -110,3 +110,16 @@ def test_random_xml_documents_match_model_lenient(spark, spec, seed):
         if want is not None:
             for col in spec.payload_columns():
                 assert have[col] == want[col], f"row {i} column {col}: {have[col]!r} != {want[col]!r}\n{d[:400]}"
+
+
+def test_xml_rejects_are_exactly_the_dropped_rows(spark):
+    from unfurl import xml_rejects
+
+    rnd = random.Random(10)
+    docs = [_doc(rnd, CEP_XML) for _ in range(300)]
+    rows = [(f"p{i}", "s", d, "t") for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "pk string, sk string, payload string, upsertTimestamp string")
+    kept = {r.pk for r in flatten_xml(df, "payload", CEP_XML).select("pk").collect()}
+    rejected = {r.pk for r in xml_rejects(df, "payload", CEP_XML).collect()}
+    assert kept.isdisjoint(rejected)
+    assert kept | rejected == {f"p{i}" for i in range(len(docs))}
