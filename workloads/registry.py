@@ -255,7 +255,7 @@ def payload_table(spark: SparkSession, sf_dir: str, doc_sql: str, payload: str,
     parts per core so a small input is not cut into hundreds of tiny tasks.
     """
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    frames = {n_: _t(spark, sf_dir, n_) for n_ in ("customer", "lineitem")}
+    frames = {name: _t(spark, sf_dir, name) for name in ("customer", "lineitem")}
     frames["orders"] = _t(spark, sf_dir, "orders").repartition(n, "o_orderkey")
     return sql_over(spark, _source_sql(doc_sql, payload, slots), frames)
 
