@@ -36,7 +36,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from unfurl import BM, BM_XML, CEP_XML, SCAN, flatten_json, flatten_xml  # noqa: E402
-from unfurl.session import ensure_checkpoint_dir, get_session  # noqa: E402
+from unfurl.session import get_session, scratch_path  # noqa: E402
 from workloads import registry as R  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -70,7 +70,7 @@ def timed(fn, repeat=1) -> float:
 def main() -> None:
     spark = get_session("unfurl-bench", master=f"local[{CPUS}]", shuffle_partitions=CPUS * 2,
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
-    root = os.path.join(ensure_checkpoint_dir(spark), f"bench-{int(time.time())}")
+    root = scratch_path(spark, "bench")
 
     # ---- setup: payload table, written once -------------------------------
     t0 = time.perf_counter()

@@ -2,7 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
+from workloads.registry import ORACLE, QUERIES
+
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
+    res = compare(spark, name, QUERIES[name], ORACLE[name], SF, con)
     assert res["ok"], res

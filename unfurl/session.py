@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,20 +39,39 @@ def get_session(
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to shared storage; it is only filled in
-    here (with a scratch folder) when unset, as in local tests.
+    Where the setting is empty, a local session (driver and executors are one
+    process) gets a scratch folder; on a cluster that would be a node-local
+    path other machines cannot read, so it is an error there.
     """
     sc = spark.sparkContext
-    existing = sc.getCheckpointDir()  # set at start-up from spark.checkpoint.dir
-    if existing:
-        return existing
-    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="unfurl-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder on storage that all executors share")
+    root = _LOCAL_SHARED.get(sc.applicationId)
+    if root is None:
+        root = _LOCAL_SHARED[sc.applicationId] = tempfile.mkdtemp(prefix="unfurl-shared-")
+    return root
+
+
+_LOCAL_SHARED: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path (not yet created) under the shared folder."""
+    return f"{shared_dir(spark)}/unfurl-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` usable: it writes below the shared folder."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(spark))
+    return sc.getCheckpointDir()

@@ -1,3 +1,3 @@
-from .incremental import checkpoint_location, flatten_new_files, flatten_stream
+from .incremental import checkpoint_for, flatten_new_files, flatten_stream
 
-__all__ = ["checkpoint_location", "flatten_new_files", "flatten_stream"]
+__all__ = ["checkpoint_for", "flatten_new_files", "flatten_stream"]

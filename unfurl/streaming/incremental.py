@@ -10,8 +10,6 @@ scheduled run drain the backlog and stop, which is how a daily job picks up
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,11 +18,11 @@ from ..operators.xml_flatten import flatten_xml
 from ..plans.spec import FlattenSpec
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint root (``spark.checkpoint.dir``)."""
-    from ..session import ensure_checkpoint_dir
-
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+def checkpoint_for(sink_path: str) -> str:
+    """The stream's state lives beside its sink, on the same store: every run
+    that writes to this sink finds it again, in any application, and two sinks
+    never share it."""
+    return sink_path.rstrip("/") + "_checkpoint"
 
 
 def flatten_stream(stream: DataFrame, payload: str, spec: FlattenSpec, *, kind: str = "json", **kw) -> DataFrame:
@@ -55,7 +53,7 @@ def flatten_new_files(
     return (
         out.writeStream.format("parquet")
         .option("path", sink_path)
-        .option("checkpointLocation", checkpoint or checkpoint_location(spark, spec.name))
+        .option("checkpointLocation", checkpoint or checkpoint_for(sink_path))
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

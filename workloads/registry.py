@@ -9,7 +9,6 @@ compared with plain SQL over the same tables.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ from unfurl import (
     xml_rejects,
 )
 from unfurl.plans.spec import FlattenSpec, Group
-from unfurl.session import ensure_checkpoint_dir
+from unfurl.session import scratch_path
 from unfurl.sinks.files import CSV_OPTIONS, write_csv
 
 from .docbuild import (
@@ -52,8 +51,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root (never a node-local path)."""
-    return os.path.join(ensure_checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder under the shared folder named by ``spark.checkpoint.dir``."""
+    return scratch_path(spark, name)
 
 
 DATE = "CAST(CAST({} AS DATE) AS STRING)"
