@@ -85,7 +85,8 @@ def n_repeat_words(w: Column) -> Column:
             return F.coalesce((top(y) == top(x)) & (F.get(h, place(y)) == F.get(h, place(x))), F.lit(False))
 
         def hit(s: Column) -> Column:
-            near = lambda x, k: same(s, x, k, -1) | same(s, x, k, 1) | same(s, x, k, -2) | same(s, x, k, 2)
+            alike = lambda x, k: F.coalesce(top(F.get(s, k + 1)) == top(x), F.lit(False)) | F.coalesce(top(F.get(s, k - 1)) == top(x), F.lit(False))
+            near = lambda x, k: alike(x, k) & (same(s, x, k, -1) | same(s, x, k, 1) | same(s, x, k, -2) | same(s, x, k, 2))
             return F.sort_array(F.transform(F.filter(s, near), place))
 
         return let(packed, hit)
