@@ -1,0 +1,98 @@
+"""SimHash near-duplicates against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from unfurl.llm import simhash_dedup as S
+from unfurl.llm.common import table
+
+
+def brute_fp(text):
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or "")).encode().split()
+    if not w:
+        return 0
+    sh = [b" ".join(w[i:i + 4]) for i in range(len(w) - 3)] or [b" ".join(w)]
+    h = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps, distance):
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    a = np.array(sorted(set(fps)), dtype=np.uint64)
+    for i, x in enumerate(a):
+        for j in np.flatnonzero(np.bitwise_count(a[i + 1:] ^ x) <= distance):
+            p, q = find(int(x)), find(int(a[i + 1 + j]))
+            root[max(p, q)] = min(p, q)
+    return {f: find(f) for f in fps}
+
+
+def brute_report(rows, distance=4):
+    fps = [brute_fp(t) for _, t in rows]
+    roots = brute_components(fps, distance)
+    low = {}
+    for (i, _), f in zip(rows, fps):
+        if i is not None:
+            low[roots[f]] = min(i, low.get(roots[f], i))
+    return sorted(((i, f"{f:016x}", low.get(roots[f])) for (i, _), f in zip(rows, fps)), key=str)
+
+
+def test_whole_small_table_matches_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in S.dedup_report(docs).collect()), key=str)
+    assert got == brute_report(rows)
+
+
+@pytest.mark.parametrize("pair_list", [512, 3])
+@pytest.mark.parametrize("distance", [3, 4])
+def test_links_connect_what_brute_force_connects(spark, pair_list, distance):
+    rng = random.Random(distance)
+    fps = {rng.getrandbits(64) for _ in range(300)} | {0, 2**64 - 1}
+    for _ in range(4):  # tight clouds, chains and pairs at the edge of the distance
+        centre = rng.getrandbits(64)
+        for _ in range(40):
+            f = centre
+            for b in rng.sample(range(64), rng.randint(0, 6)):
+                f ^= 1 << b
+            fps.add(f)
+    signed = [(S._signed(f),) for f in sorted(fps)]
+    edges = S.links(spark.createDataFrame(signed, "fp long"), distance, pair_list)
+    found = {(r.a % 2**64, r.b % 2**64) for r in edges.collect()}
+    assert all((x ^ y).bit_count() <= 2 * distance for x, y in found)
+    want = brute_components(list(fps), distance)
+    from unfurl.llm.common import connected_components
+    got = {r.node % 2**64: r.root % 2**64 for r in connected_components(edges).collect()}
+    groups = {}
+    for f in fps:
+        groups.setdefault(want[f], set()).add(got.get(f, f))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len(groups) == len({min(g) for g in groups.values()})
+
+
+def test_odd_rows(spark):
+    rows = [(5, None), (3, ""), (9, "a b c d e f g h"), (9, "a b c d e f g h"), (2, "A B  c\td e\nf g h"), (None, "x"), (7, "x"), (None, "alone"),
+            (11, "w " * 70000)]
+    docs = spark.createDataFrame([(i, t, "n", 1) for i, t in rows], "doc_id long, text string, fp string, node int")
+    got = sorted((tuple(r) for r in S.dedup_report(docs).collect()), key=str)
+    assert got == brute_report(rows)
+    kept = S.deduplicated(docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.select("doc_id").collect())
+    assert ids == [(False, 2), (False, 3), (False, 7), (False, 11), (True, 0)]
+    assert S.dedup_report(docs.where(F.lit(False))).count() == 0
+
+
+def test_repeated_ids_keep_one_row(spark):
+    docs = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (4, "a b c d e"), (6, "q r s t u v")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.deduplicated(docs).collect()) == [1, 6]

@@ -7,22 +7,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from . import bpe, langid, mixing, quality, simhash_dedup
 from .common import table
 
 
+def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe_tree": op2_bpe_tree,
     "op4_quality_divergence": op4_quality_divergence,
+    "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_language_id": op7_language_id,
     "op10_mixing": op10_mixing,
 }
 
