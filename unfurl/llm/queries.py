@@ -10,10 +10,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, quality, simhash_dedup
+from . import bpe, langid, mixing, quality, simhash_dedup, token_files
 from .common import table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -35,6 +39,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
     "op2_bpe_tree": op2_bpe_tree,
     "op4_quality_divergence": op4_quality_divergence,
     "op6_simhash_dedup": op6_simhash_dedup,
