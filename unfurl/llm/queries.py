@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, quality, simhash_dedup, token_files
+from . import bpe, langid, mixing, quality, simhash_dedup, token_files, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_report(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_bpe_tree": op2_bpe_tree,
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_quality_divergence": op4_quality_divergence,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
