@@ -74,7 +74,7 @@ def test_salvage_recovers_all_other_records(zipped):
         got = salvage(data)
         ids = {warc._id(x[3]["warc-record-id"]) for x in got if x[0] == "record"}
         assert set(range(30)) - {i} <= ids, (how, i)
-        assert ids <= set(range(30))
+        assert ids <= set(range(30)) or (how == "flip" and not zipped)  # nothing guards a plain header
         spans = [(x[1], x[2]) for x in got]  # records and gaps tile the file
         assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
         if how != "flip":
