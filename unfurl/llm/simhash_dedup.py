@@ -17,9 +17,10 @@ its differing bits. All of that is part of the join's condition, so only links
 leave the join.
 
 Scale: fingerprints are made distinct first (exact copies collapse to one row);
-an index row is two longs and a byte, 70 a fingerprint; lists are aggregated to a
-count with their two ends, which settles lists of two. Lists of up to ``PAIR_LIST``
-members are compared inside. Longer lists have an exact way without pairs: two
+an index row is two longs and a byte, 70 a fingerprint, shuffled once to count each
+list (rows stream through a window; a list holds different values of 32 bits, so near
+copies of one text, however many, fill it with few). Only members of lists of two or more
+are kept. Lists of up to ``PAIR_LIST`` members are compared inside. Longer lists have an exact way without pairs: two
 fingerprints within 4 bits of each other have a common neighbour within 2 bits of
 both, so every member files itself under its own value and all values up to two
 flips away (2,081 rows), and whoever meets under a value is linked to its smallest
@@ -39,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import LOWER_AZ, connected_components, stored
@@ -107,27 +109,23 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pair_list: int = PAIR_L
     masks = position_masks(distance)
     index = distinct.select("fp", F.posexplode(F.array(*[F.lit(m) for m in masks])).alias("j", "m")).select(
         F.col("j").cast("byte").alias("j"), F.col("fp").bitwiseAND(F.col("m")).alias("key"), "fp")
-    lists = stored(index.groupBy("j", "key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1"), "simhash-lists")
+    members = index.withColumn("n", F.count("*").over(W.partitionBy("j", "key")))
+    members = stored(members.where("n > 1"), "simhash-members")
 
-    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
-    twos = lists.where("n = 2").where(near(F.col("lo"), F.col("hi"))).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-
-    longer = stored(index.join(lists.where("n > 2").select("j", "key", "n"), ["j", "key"]), "simhash-members")
+    short = members.where(F.col("n") <= pair_list)
     mask_of = F.element_at(F.array(*[F.lit(m) for m in masks]), F.col("l.j").cast("int") + 1)
-    short = longer.where(F.col("n") <= pair_list)
     pairs = short.alias("l").join(
         short.alias("r"),
         (F.col("l.j") == F.col("r.j")) & (F.col("l.key") == F.col("r.key")) & (F.col("l.fp") < F.col("r.fp"))
-        & near(F.col("l.fp"), F.col("r.fp"))
+        & (F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= distance)
         & (_first_shared(F.col("l.fp"), F.col("r.fp"), distance) == mask_of),
     ).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
     # a pair may have its first shared set in a long list and a later one in a short list: long lists cover it
 
-    members = longer.where(F.col("n") > pair_list).select("fp").distinct()
-    met = around(members, distance)
+    met = around(members.where(F.col("n") > pair_list).select("fp").distinct(), distance)
     low = met.groupBy("v", "i").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("v", "i", "a")
     stars = met.join(low, ["v", "i"]).where("a <> fp").select("a", F.col("fp").alias("b"))
-    return twos.unionByName(pairs).unionByName(stars).distinct()
+    return pairs.unionByName(stars).distinct()
 
 
 def around(fps: DataFrame, distance: int) -> DataFrame:
