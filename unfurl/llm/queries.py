@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, quality, simhash_dedup, token_files, warc
+from . import bpe, langid, lm, mixing, quality, simhash_dedup, token_files, warc
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scoring_report(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_divergence": op4_quality_divergence,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
+    "op8_kneser_ney": op8_kneser_ney,
     "op10_mixing": op10_mixing,
 }
 
