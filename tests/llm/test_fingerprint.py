@@ -1,0 +1,78 @@
+"""Weighted SimHash, neighbours in order, and the block tables against brute force."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from unfurl.llm import fingerprint as FP
+from unfurl.llm.common import table
+
+
+def brute_fp(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+    votes = [0.0] * 64
+    for w, f in Counter(low.encode().split()).items():
+        h = xxhash.xxh64_intdigest(w)
+        for b in range(64):
+            votes[b] += (1 + math.log(f)) * (1 if h >> b & 1 else -1)
+    return votes
+
+
+def brute_report(rows, radius=3):
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    fps = [FP.fingerprint(t) for _, t in rows]
+    a = np.array(fps, np.uint64)
+    for k, (i, t) in enumerate(rows):
+        j = (k + 1) % len(rows)
+        half = len(t) // 2
+        e = t[:len(t) - half] + rows[j][1][:half]
+        like = lambda x, y: 1.0 if x == y else max(0.0, math.cos(math.pi * bin(x ^ y).count("1") / 64))
+        ask = i is not None and i % 20 == 0
+        yield (i, len(t), hashlib.sha256(e.encode()).hexdigest(), f"{fps[k]:016x}", f"{FP.fingerprint(e):016x}", like(fps[k], FP.fingerprint(e)), like(fps[k], fps[j]),
+               int((np.bitwise_count(a ^ a[k]) <= radius).sum()) - 1 if ask else None)
+
+
+def test_fingerprint_is_the_sign_of_the_votes(spark):
+    for r in table(spark, "/root/testdata/sf0.001", "documents").limit(40).collect():
+        fp = FP.fingerprint(r.text)
+        assert all(v == pytest.approx(0) or (v > 0) == bool(fp >> b & 1) for b, v in enumerate(brute_fp(r.text)))
+
+
+def test_whole_table_matches_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = sorted(tuple(r) for r in FP.fingerprint_report(docs).collect())
+    assert got == sorted(brute_report([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]))
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 50])
+def test_odd_rows(spark, ranges):
+    rows = [(40, None), (20, ""), (20, "a b"), (20, "a b"), (7, "A b"), (None, "x"), (None, None), (-3, "é" * 7), (5, "w " * 40_000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
+    got = sorted((tuple(r)[:2] + tuple(r)[5:] for r in FP.compare_neighbours(docs, ranges).collect()), key=str)
+    want = sorted(((w[0], w[1], w[5], w[6]) for w in brute_report(rows)), key=str)
+    assert got == want
+    assert FP.fingerprint_report(docs.limit(0)).count() == 0
+    one = docs.where("doc_id = 7")
+    assert [r.near_next for r in FP.fingerprint_report(one).collect()] == [1.0]
+
+
+@pytest.mark.parametrize("radius,blocks", [(0, 2), (3, 6), (5, 8)])
+def test_block_tables_find_all(spark, radius, blocks):
+    rng = random.Random(radius)
+    fps = {0, 2**64 - 1}
+    for _ in range(6):
+        c = rng.getrandbits(64)
+        for _ in range(60):
+            f = c
+            for b in rng.sample(range(64), rng.randint(0, radius + 2)):
+                f ^= 1 << b
+            fps.add(f)
+    df = spark.createDataFrame([(FP._signed(f),) for f in fps], "fp long")
+    got = [(r.query % 2**64, r.fp % 2**64) for r in FP.within(df, df, radius, blocks).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= radius}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, lm, mixing, quality, simhash_dedup, token_files, warc
+from . import bpe, fingerprint, langid, lm, mixing, quality, separator_scan, simhash_dedup, token_files, warc
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separator_scan.token_count_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,10 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scoring_report(table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -51,9 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_tree": op2_bpe_tree,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_quality_divergence": op4_quality_divergence,
+    "op5_separator_scan": op5_separator_scan,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
     "op8_kneser_ney": op8_kneser_ney,
+    "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
 }
 
