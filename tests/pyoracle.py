@@ -7,6 +7,7 @@ implementation: a document either yields {column: text} or None (row dropped).
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 
 _MISSING = object()
 
@@ -15,14 +16,32 @@ class Drop(Exception):
     pass
 
 
+def java_double(v):
+    """Text of a double as the JVM prints it."""
+    if v == 0 or 1e-3 <= abs(v) < 1e7:
+        text = format(v, "f") if "e" in repr(v) else repr(v)
+        return text
+    digits, exp = f"{Decimal(repr(v)):E}".split("E")
+    whole, _, part = digits.partition(".")
+    return f"{whole}.{part.rstrip('0') or '0'}E{int(exp)}"
+
+
 def leaf_text(v):
     if v is None:
         return None
     if isinstance(v, bool):
         return "true" if v else "false"
-    if isinstance(v, (dict, list)):
-        return json.dumps(v, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
-    return str(v)
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_inner(x)}" for k, x in v.items()) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_inner, v)) + "]"
+    return java_double(v) if isinstance(v, float) else str(v)
+
+
+def _inner(v):
+    if v is None:
+        return "null"
+    return json.dumps(v, ensure_ascii=False) if isinstance(v, str) else leaf_text(v)
 
 
 def _node(cur, steps):

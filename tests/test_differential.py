@@ -12,7 +12,8 @@ from unfurl import BM, SCAN, flatten_json
 def _scalar(rnd):
     return rnd.choice([
         rnd.randint(-5, 10**6), str(rnd.randint(0, 999)), "téxt \"q\"", True, False, None, "", "007",
-        {"b": rnd.randint(0, 9), "a": "x"}, [1, "y"], 10**20,
+        {"b": rnd.randint(0, 9), "a": 2.5}, [1, "y", 1e-5], 10**20, 5.0, 100.0, -0.0, 12345678.9, 0.0001, 1e10,
+        round(rnd.uniform(-1e4, 1e4), 3), 0.12345678901234568, 3.5e-7, -1.5e22,
     ])
 
 
@@ -51,7 +52,7 @@ def _obj(rnd, children, fields, p_bad):
         if spec["kind"] == "object":
             out[key] = inner
         elif spec["kind"] == "first":
-            out[key] = [inner] + ([_obj(rnd, spec["children"], spec["fields"], p_bad)] if rnd.random() < 0.3 else [])
+            out[key] = [inner] + rnd.choice([[], [], [_obj(rnd, spec["children"], spec["fields"], p_bad)], [5, "x"]])
         else:
             n = rnd.randint(0, 7)
             legs = [_obj(rnd, {}, spec["fields"], 0) for _ in range(n)]

@@ -16,8 +16,9 @@ def parse_json_strict(text: Column | str) -> Column:
     would accept.
     """
     col = F.col(text) if isinstance(text, str) else text
-    wrapped = F.try_parse_json(F.concat(F.lit("["), col, F.lit("]")))
-    single = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    wrapped = F.try_parse_json(F.concat(F.lit("["), col, F.lit(f',"{_v._END}"]')))
+    marked = F.try_variant_get(wrapped, "$[1]", "string") == _v._END
+    single = marked & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
     return F.when(single, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 

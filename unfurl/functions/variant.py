@@ -5,10 +5,10 @@ Everything here is text of built-in Spark SQL expressions (``try_parse_json``,
 flatten is analysed in a fraction of a second, and it runs inside the JVM
 with no Python worker on the row path.
 
-The parsed document is kept as a one-element Variant *array* ``w`` (the text
-is parsed as ``[ text ]``): the brackets make the parser reject trailing
-garbage such as ``{"a":1} x`` or ``{"a":1}{"b":2}``, which a bare
-``try_parse_json`` accepts. The document itself is then ``w[0]``, and every
+The parsed document is kept as element 0 of a Variant *array* ``w`` (the text
+is parsed as ``[ text , mark ]``): trailing garbage such as ``{"a":1} x``,
+``{"a":1}{"b":2}`` or ``{"a":1}] x``, which a bare ``try_parse_json`` accepts,
+fails the parse or displaces the mark. The document itself is then ``w[0]``, and every
 path below starts with ``$[0]``, so no sub-document is ever copied.
 
 Node tests, none of which copies the node:
@@ -59,13 +59,34 @@ def vget(w: str, path: str, dtype: str) -> str:
 
 
 def parse_strict(text_expr: str) -> str:
-    """One-element Variant array holding the document, NULL on malformed text."""
-    return f"try_parse_json(concat('[', {text_expr}, ']'))"
+    """Variant array of the document and an end mark, NULL on malformed text.
+
+    The mark stands behind the text: a stray ``]`` closes the array before it,
+    a second value comes between. So the text is one value exactly if the mark
+    is element 1 and there is no element 2.
+    """
+    return f"try_parse_json(concat('[', {text_expr}, ',\"{_END}\"]'))"
+
+
+_END = "end of document"
 
 
 def parsed_ok(w: str) -> str:
     """Exactly one JSON value (of any kind)."""
-    return f"({ident(w)} IS NOT NULL AND {vget(w, '$[1]', 'variant')} IS NULL)"
+    return (
+        f"({ident(w)} IS NOT NULL AND coalesce({vget(w, '$[1]', 'string')} = {sql_str(_END)}, false) "
+        f"AND {vget(w, '$[2]', 'variant')} IS NULL)"
+    )
+
+
+# Spark's JSON parser reads no string of more characters, and no document above the
+# Variant size limit (which takes a longer text still); a shorter text never meets them.
+PARSER_TEXT_LIMIT = 20_000_000
+
+
+def maybe_too_large(text_expr: str, w: str) -> str:
+    """The text was not parsed and is long enough to be beyond the parser's limits."""
+    return f"({ident(w)} IS NULL AND octet_length({text_expr}) > {PARSER_TEXT_LIMIT})"
 
 
 def top_is_object(w: str) -> str:

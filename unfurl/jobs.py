@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.json_flatten import flatten_json, json_rejects
-from .operators.xml_flatten import flatten_xml, xml_rejects
+from .operators.xml_flatten import case_sensitive, flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, previous_day, sql_file
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN
 from .sinks.files import write_parquet, write_single_csv
@@ -72,10 +72,11 @@ def flatten_payloads(spark: SparkSession, table: DataFrame, cep_out: str, bm_out
     src = apply_mapping(table, XML_MAPPING)
     sink = write_single_csv if single_file else write_csv
     counts = {}
-    for name, col, spec, out in (("cep", "cepPayload", CEP_XML, cep_out), ("bm", "bmPayload", BM_XML, bm_out)):
-        df, obs = _counted(flatten_xml(src, col, spec, strict=strict, single_leg=single_leg), name)
-        sink(df, out)
-        counts[name] = obs.get["rows"]
-        if rejects_out:
-            write_parquet(xml_rejects(src, col, spec, strict=strict, single_leg=single_leg), f"{rejects_out}/{name}")
+    with case_sensitive(spark):  # element names match exactly
+        for name, col, spec, out in (("cep", "cepPayload", CEP_XML, cep_out), ("bm", "bmPayload", BM_XML, bm_out)):
+            df, obs = _counted(flatten_xml(src, col, spec, strict=strict, single_leg=single_leg), name)
+            sink(df, out)
+            counts[name] = obs.get["rows"]
+            if rejects_out:
+                write_parquet(xml_rejects(src, col, spec, strict=strict, single_leg=single_leg), f"{rejects_out}/{name}")
     return counts

@@ -4,15 +4,26 @@ Plan shape (one narrow stage, no shuffle, no Python)::
 
     Project   g_i.field AS column ...             <- plain struct field reads
     Generate  explode(CASE WHEN valid(w, g) THEN array(true) END)
-    Project   keys, w, g_i = node_i cast to struct<fields> (one per spec group)
-    Project   keys, w = try_parse_json('[' || payload || ']')
+    Project   keys, w, g_i = node_i of v          <- plain struct field reads
+    Project   keys, w = try_parse_json('[' || payload || ',mark]'),
+              v = from_json(payload, struct of the whole spec)
+    Filter    payload IS NOT NULL                 <- pushed to the scan
     Scan      (payload and key columns only)
 
+Values come from ``v``: its string fields have the text of the JSON leaf as the
+JVM prints it (``5.0`` stays ``5.0``, ``0.0001`` is ``1.0E-4``). The Variant
+``w`` serves the row checks (which node is missing, null, of another kind).
+
+``from_json`` drops a whole array if any element is not of the declared kind,
+while the row rules look at the first elements only; such an array is read
+again as texts, element by element (``_array``), which no other document pays for.
+
 The ``Generate`` is the row filter. A plain ``Filter`` on ``valid(...)``
 would be pushed below the projections it reads and their expressions
-(parse, casts) would be computed twice, once in the filter and once for the
+(parses) would be computed twice, once in the filter and once for the
 output; ``explode`` of a zero-or-one element array drops the row without
-that rewrite.
+that rewrite. The not-null filter touches a source column only, so it can be
+pushed without that.
 """
 
 from __future__ import annotations
@@ -22,9 +33,11 @@ import contextlib
 from pyspark.sql import DataFrame
 
 from ..functions import variant as V
-from ..plans.spec import FlattenSpec
+from ..plans.spec import FlattenSpec, Step
 
 _W = "__doc"
+_V = "__values"
+_T = "__text"
 _DUP_KEYS_CONF = "spark.sql.variant.allowDuplicateKeys"
 
 
@@ -55,18 +68,58 @@ def _legs_per_node(spec: FlattenSpec) -> dict:
     return out
 
 
-def _struct_ddl(fields) -> str:
-    return "struct<" + ", ".join(f"{V.ident(f)}: string" for f in dict.fromkeys(fields)) + ">"
+class _Member:
+    """A key of the spec's value tree: a leaf, an object, or an array of objects."""
+
+    def __init__(self, kind: str = "object"):
+        self.kind, self.leaf, self.members = kind, False, {}
+
+    def ddl(self, texts: bool = False) -> str:
+        if self.kind == "leaf":
+            return "string"
+        if texts:
+            return "array<string>"
+        own = ", ".join(f"{V.ident(k)}: {m.ddl()}" for k, m in self.members.items())
+        return f"array<struct<{own}>>" if self.kind == "array" else f"struct<{own}>"
+
+
+def _value_tree(spec: FlattenSpec) -> _Member:
+    root = _Member()
+    for g in spec.groups:
+        node = root
+        for i, s in enumerate(g.steps):
+            array = s.first or (g.mode == "legs" and i == len(g.steps) - 1)
+            below = node.members.get(s.key)
+            if below is None:
+                below = node.members[s.key] = _Member("array" if array else "object")
+            elif below.kind == "leaf":
+                below.kind, below.leaf = "array" if array else "object", True
+            node = below
+        for f in g.fields:
+            m = node.members.setdefault(f, _Member("leaf"))
+            if m.kind != "leaf":
+                m.leaf = True  # also read as a leaf: its JSON text
+    return root
+
+
+def _path_ddl(keys: list[str], last: str) -> str:
+    """Struct that holds one path only."""
+    for k in reversed(keys):
+        last = f"struct<{V.ident(k)}: {last}>"
+    return last
+
+
+def _from_json(text: str, ddl: str) -> str:
+    return f"from_json({text}, {V.sql_str(ddl)})"
 
 
 class _Plan:
     """Column names and SQL for one spec: group structs and row checks.
 
-    Each group's node is cast once to ``struct<field: string, ...>`` (or
-    ``array<struct<...>>`` for legs): one pass over the node's members
-    instead of one path lookup per output column. The same cast doubles as
-    the node's "is an object" test; other intermediate nodes are probed by
-    path, and "is it missing" is only asked once a node is not an object.
+    Each group's node is one struct (or array of structs for legs) inside the
+    parsed values. A node that is there as a struct also answers the "is an object"
+    test; other nodes are probed in the Variant by path, and "is it missing" is
+    only asked once a node is not an object.
     """
 
     def __init__(self, spec: FlattenSpec, strict: bool):
@@ -74,32 +127,103 @@ class _Plan:
         self.strict = strict
         self.nodes = spec.nodes()
         self.legs = _legs_per_node(spec)
+        self.tree = _value_tree(spec)
         # one struct per (node, mode); groups on the same node share it
         self.group_col: dict = {}
-        self.group_fields: dict = {}
         for g in spec.groups:
-            key = (g.steps, g.mode)
-            self.group_fields.setdefault(key, []).extend(g.fields)
-            self.group_col.setdefault(key, f"__g{len(self.group_col)}")
+            self.group_col.setdefault((g.steps, g.mode), f"__g{len(self.group_col)}")
+        # array nodes read by their first element, outer before inner
+        firsts = {g.steps[:i + 1] for g in spec.groups for i, s in enumerate(g.steps) if s.first}
+        self.first_col = {st: f"__f{i}" for i, st in enumerate(sorted(firsts, key=lambda st: (len(st), [s.key for s in st])))}
+
+    def _member(self, steps) -> _Member:
+        node = self.tree
+        for s in steps:
+            node = node.members[s.key]
+        return node
+
+    def _base(self, steps) -> tuple[str, str, list[str]]:
+        """The innermost first-element column above a node, its JSON text, and the keys below it."""
+        for i in range(len(steps), 0, -1):
+            if steps[:i] in self.first_col:
+                col = self.first_col[steps[:i]]
+                return V.ident(col), V.ident(col + "t"), [s.key for s in steps[i:]]
+        return V.ident(_V), V.ident(_T), [s.key for s in steps]
+
+    def _array(self, steps) -> tuple[str, str, str]:
+        """An array node, whether it is an array that ``from_json`` did not take whole, and
+        the same node of the Variant, whose elements are NULL unless they are objects."""
+        base, _, keys = self._base(steps[:-1])
+        keys = [*keys, steps[-1].key]
+        arr = ".".join([base, *map(V.ident, keys)])
+        path = V.vpath(steps[:-1]) + V._quote(steps[-1].key)
+        objects = V.vget(_W, path, "array<struct<>>")
+        return arr, f"({arr} IS NULL AND {objects} IS NOT NULL)", objects
+
+    def _texts(self, steps) -> str:
+        """The elements of an array node as JSON texts."""
+        _, text, keys = self._base(steps[:-1])
+        keys = [*keys, steps[-1].key]
+        return ".".join([_from_json(text, _path_ddl(keys, "array<string>")), *map(V.ident, keys)])
+
+    def first_exprs(self, steps) -> list[str]:
+        """The first element of an array node, and its JSON text where something below may need it."""
+        col, member = self.first_col[steps], self._member(steps)
+        arr, mixed, objects = self._array(steps)
+        element = member.ddl().removeprefix("array<").removesuffix(">")
+        text = f"get({self._texts(steps)}, 0)"
+        needed = mixed if not self._text_below(steps) else f"({mixed} OR {arr} IS NOT NULL)"
+        again = f"CASE WHEN get({objects}, 0) IS NOT NULL THEN {_from_json(text, element)} END"
+        return [f"CASE WHEN {mixed} THEN {again} ELSE get({arr}, 0) END AS {col}",
+                f"CASE WHEN {needed} THEN {text} END AS {col}t"]
+
+    def _text_below(self, steps) -> bool:
+        return any(len(st) > len(steps) and st[:len(steps)] == steps for st in self._text_nodes())
+
+    def _text_nodes(self) -> list:
+        """Nodes whose own reading may need the text of the element they are in."""
+        out = [(*g.steps, Step(f)) for g in self.spec.groups for f in g.fields if self._member(g.steps).members[f].leaf]
+        out += [st for st in self.first_col]
+        return out + [st for st, mode in self.group_col if mode == "legs"]
 
     def group_exprs(self) -> list[str]:
         out = []
         for (steps, mode), col in self.group_col.items():
-            ddl = _struct_ddl(self.group_fields[(steps, mode)])
             if mode == "legs":
-                ddl = f"array<{ddl}>"
-            out.append(f"{V.vget(_W, V.vpath(steps), ddl)} AS {col}")
+                arr, mixed, objects = self._array(steps)
+                element = self._member(steps).ddl().removeprefix("array<").removesuffix(">")
+                again = (f"transform(slice({self._texts(steps)}, 1, {self.legs[steps]}), "
+                         f"(x, i) -> CASE WHEN get({objects}, i) IS NOT NULL THEN {_from_json('x', element)} END)")
+                out.append(f"CASE WHEN {mixed} THEN {again} ELSE {arr} END AS {col}")
+            else:
+                base, _, keys = self._base(steps)
+                out.append(".".join([base, *map(V.ident, keys)]) + f" AS {col}")
+        return out
+
+    def leaf_text_exprs(self) -> list[str]:
+        """Leaves that are also subtrees: their JSON text, read once more where there is one."""
+        out = []
+        for (steps, mode), col in self.group_col.items():
+            for f, m in self._member(steps).members.items():
+                if m.leaf and mode == "object":
+                    base, text, keys = self._base(steps)
+                    there = f"{V.vget(_W, V.vpath(steps, leaf=f), 'variant')} IS NOT NULL"
+                    read = ".".join([_from_json(text, _path_ddl([*keys, f], "string")), *map(V.ident, [*keys, f])])
+                    out.append(f"CASE WHEN {there} THEN {read} END AS {self.text_col(steps, f)}")
         return out
 
+    def text_col(self, steps, f: str) -> str:
+        return V.ident(f"__t_{self.group_col[(steps, 'object')]}_{f}")
+
     def _is_object(self, steps) -> str:
         col = self.group_col.get((steps, "object"))
         if col:
             return f"({col} IS NOT NULL)"
-        # a descendant group's cast only succeeds when every node on its path is
-        # an object, so a non-NULL one answers without probing this node
+        # a descendant group is only there when every node on its path is an
+        # object, so a non-NULL one answers without probing this node
         below = [c for (st, _mode), c in self.group_col.items() if len(st) > len(steps) and st[: len(steps)] == steps]
         probe = V.is_object(_W, V.vpath(steps))
-        return "(" + " OR ".join([f"{c} IS NOT NULL" for c in below[:4]] + [probe]) + ")"
+        return "(" + " OR ".join([f"{c} IS NOT NULL" for c in below] + [probe]) + ")"
 
     def checks(self) -> list[tuple[str, str]]:
         checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
@@ -149,19 +273,39 @@ class _Plan:
         out = []
         for g, name, fld, leg in self.spec.payload_leaves():
             col = self.group_col[(g.steps, g.mode)]
+            if g.mode == "object" and self._member(g.steps).members[fld].leaf:
+                out.append(f"{self.text_col(g.steps, fld)} AS {V.ident(name)}")
+                continue
             src = col if leg is None else f"get({col}, {leg})"
             out.append(f"{src}.{V.ident(fld)} AS {V.ident(name)}")
         return out
 
+    def columns(self) -> list[str]:
+        texts = [e.rsplit(" AS ", 1)[-1] for e in self.leaf_text_exprs()]
+        return [*self.group_col.values(), *texts]
+
     def build(self, df: DataFrame, payload: str, keys, extra: tuple[str, ...] = ()) -> DataFrame:
         """Keys (+ extra), the parsed document and the group structs."""
-        carry = [*keys, *[e.rsplit(" AS ", 1)[-1] for e in extra]]
-        parsed = df.selectExpr(
+        carry = [V.ident(c) for c in [*keys, *[e.rsplit(" AS ", 1)[-1] for e in extra]]]
+        out = df.selectExpr(
             *[f"CAST({V.ident(k)} AS STRING) AS {V.ident(k)}" for k in keys],
             *extra,
-            f"{V.parse_strict(V.ident(payload))} AS {_W}",
-        )
-        return parsed.selectExpr(*[V.ident(c) for c in carry], _W, *self.group_exprs())
+            f"CAST({V.ident(payload)} AS STRING) AS {_T}",
+        ).selectExpr(*carry, _T, f"{V.parse_strict(_T)} AS {_W}", f"{_from_json(_T, self.tree.ddl())} AS {_V}")
+        firsts: list[str] = []
+        for steps in self.first_col:  # outer before inner
+            out = out.selectExpr(*carry, _T, _W, _V, *firsts, *self.first_exprs(steps))
+            firsts += [self.first_col[steps], self.first_col[steps] + "t"]
+        return out.selectExpr(*carry, _T, _W, *self.group_exprs(), *self.leaf_text_exprs())
+
+
+def too_large_action(how: str) -> str:
+    """SQL of the row filter for a payload that may be beyond the parser's limits."""
+    if how == "drop":
+        return "CAST(NULL AS ARRAY<BOOLEAN>)"
+    if how != "error":
+        raise ValueError("too_large is 'error' or 'drop'")
+    return "CAST(raise_error('a payload is malformed or beyond the limits of the parser (20,000,000 characters); too_large=\"drop\" leaves it out') AS ARRAY<BOOLEAN>)"
 
 
 def flatten_json(
@@ -172,6 +316,7 @@ def flatten_json(
     keys: tuple[str, ...] | None = None,
     strict: bool = True,
     duplicate_keys: str = "last",
+    too_large: str = "error",
 ) -> DataFrame:
     """Flatten JSON text in column ``payload`` per ``spec``.
 
@@ -184,14 +329,19 @@ def flatten_json(
     (explicit null, scalar, array where an object is read, empty array where
     a first element is read, ...); a *missing* node only yields NULL leaves.
     ``strict=False`` turns those wrong-kind nodes into NULL leaves instead.
+
+    A document beyond the JSON parser's limits (a string of over 20,000,000
+    characters, or the Variant size limit) cannot be told from a malformed
+    one of that length; it stops the job with an error that says so, or is dropped
+    with ``too_large="drop"`` (``json_rejects`` labels it ``too_large``).
     """
     keys = tuple(spec.key_columns if keys is None else keys)
     plan = _Plan(spec, strict)
     with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
-        cols = plan.build(df, payload, keys)
+        cols = plan.build(df.where(f"{V.ident(payload)} IS NOT NULL"), payload, keys)
     ok = plan.keep_condition()
-    groups = list(plan.group_col.values())
-    kept = cols.selectExpr(*[V.ident(k) for k in keys], *groups, f"explode(CASE WHEN {ok} THEN array(true) END) AS __keep")
+    keep = f"CASE WHEN {V.maybe_too_large(_T, _W)} THEN {too_large_action(too_large)} WHEN {ok} THEN array(true) END"
+    kept = cols.selectExpr(*[V.ident(k) for k in keys], *plan.columns(), f"explode({keep}) AS __keep")
     payload_cols = set(spec.payload_columns())
     return kept.selectExpr(
         *plan.leaf_exprs(),
@@ -215,7 +365,7 @@ def json_rejects(
     with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
         cols = plan.build(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS payload",))
     whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in plan.checks())
-    reason = f"CASE WHEN payload IS NULL THEN 'null_payload' {whens} END"
+    reason = f"CASE WHEN payload IS NULL THEN 'null_payload' WHEN {V.maybe_too_large('payload', _W)} THEN 'too_large' {whens} END"
     # explode instead of a filter, so the document is parsed once (see module doc)
     tagged = cols.selectExpr(*[V.ident(k) for k in keys], "payload", f"{reason} AS __reason")
     return tagged.selectExpr(

@@ -21,12 +21,14 @@ def apply_mapping(
 ) -> DataFrame:
     """Select, cast and rename by ``(source, source_type, target, target_type)`` rows.
 
-    Columns not named in the mappings are dropped; source names resolve
-    case-insensitively (session default). ``lenient=True`` casts with
+    Columns not named in the mappings are dropped; source names resolve without
+    case (an exact name first), whatever the session's setting. ``lenient=True`` casts with
     ``try_cast`` (a bad value becomes NULL instead of failing the job).
     """
     fn = "try_cast" if lenient else "cast"
-    return df.selectExpr(*[f"{fn}({ident(src)} AS {tt}) AS {ident(tgt)}" for src, _st, tgt, tt in mappings])
+    by_lower = {c.lower(): c for c in reversed(df.columns)}
+    named = lambda src: src if src in df.columns else by_lower.get(src.lower(), src)
+    return df.selectExpr(*[f"{fn}({ident(named(src))} AS {tt}) AS {ident(tgt)}" for src, _st, tgt, tt in mappings])
 
 
 def map_to_columns(df: DataFrame, map_col: str, keys: Iterable[str], *, keep: Iterable[str] = ()) -> DataFrame:
@@ -77,9 +79,9 @@ def sql_over(spark: SparkSession, query: str, frames: Mapping[str, DataFrame], *
 
 def read_query_text(spark: SparkSession, path: str) -> str:
     """The whole text of a (small) query file, read by Spark from any supported store."""
-    rows = spark.read.text(path, wholetext=True).collect()
+    rows = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(rows) != 1:
-        raise ValueError(f"expected one query file at {path}, found {len(rows)}")
+        raise ValueError(f"expected one query file at {path}, found {'several' if rows else 'none'}")
     return rows[0][0]
 
 

@@ -27,12 +27,8 @@ def sq(text: str) -> str:
 
 
 # ---------------------------------------------------------------------------
-# Line legs: first N lines of an order, in a total order (no ties).
-# ``rn <= N`` over row_number lets Spark apply a partial per-key limit before
-# the shuffle (window group limit), so a hot order ships at most N rows from
-# every map task. N is the number of slots the document needs; the flatten
-# reads at most 5 legs (JSON) or decides on 0 / 1 / 2+ legs (XML), so the
-# extra legs would never change a result.
+# Lines of an order in a total order (no ties). Documents hold all of them; the
+# oracle picks the slots that the output has columns for.
 # ---------------------------------------------------------------------------
 LEG_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 

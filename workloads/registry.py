@@ -221,60 +221,54 @@ BM_XML_DOC = _xml_doc(
 # ---------------------------------------------------------------------------
 # Spark side: payload tables
 # ---------------------------------------------------------------------------
+# all lines of an order, in a total order: the struct starts with what orders them
 LEG_STRUCT = (
     "named_struct('l_linenumber', l_linenumber, 'l_partkey', l_partkey, 'l_suppkey', l_suppkey, "
-    "'l_quantity', l_quantity, 'l_returnflag', l_returnflag, 'l_linestatus', l_linestatus, 'l_shipdate', l_shipdate)"
+    "'l_quantity', l_quantity, 'l_extendedprice', l_extendedprice, "
+    "'l_returnflag', l_returnflag, 'l_linestatus', l_linestatus, 'l_shipdate', l_shipdate)"
 )
 
 
-def _source_sql(doc_sql: str, payload: str, slots: int) -> str:
+def _source_sql(doc_sql: str, payload: str) -> str:
     # literal braces in the document SQL must not be read as frame placeholders
     doc_sql = doc_sql.replace("{", "{{").replace("}", "}}")
     return f"""
-        WITH ranked AS ({ranked_lines_sql('{lineitem}', slots)}),
-        legs AS (
-            SELECT l_orderkey,
-                   transform(array_sort(collect_list(named_struct('rn', rn, 'leg', {LEG_STRUCT}))), x -> x.leg) AS legs
-            FROM ranked WHERE rn <= {slots} GROUP BY l_orderkey)
+        WITH legs AS (
+            SELECT l_orderkey, sort_array(collect_list({LEG_STRUCT})) AS legs
+            FROM {{lineitem}} GROUP BY l_orderkey),
+        carried AS (
+            SELECT orders.*, legs.legs FROM {{orders}} orders LEFT JOIN legs ON o_orderkey = l_orderkey)
         SELECT {SPARK_KEYS}, {doc_sql} AS {payload}
-        FROM {{orders}} o
-        LEFT JOIN {{customer}} c ON o.o_custkey = c.c_custkey
-        LEFT JOIN legs ON o.o_orderkey = legs.l_orderkey
+        FROM carried o LEFT JOIN {{customer}} c ON o.o_custkey = c.c_custkey
     """
 
 
-def payload_table(spark: SparkSession, sf_dir: str, doc_sql: str, payload: str, slots: int) -> DataFrame:
-    """One payload document per order.
+def payload_table(spark: SparkSession, sf_dir: str, doc_sql: str, payload: str) -> DataFrame:
+    """One payload document per order, with all of the order's lines.
 
-    Orders are hash-partitioned by key: the same partitioning the per-order
-    legs aggregate has, so at scale this is the join's own shuffle, and the
-    CPU-heavy build and flatten that follow run on every core even when the
-    orders input is one file (a fixed count is not coalesced away by AQE, which
-    sizes parts by bytes). The count is the shuffle setting, capped at four
-    parts per core so a small input is not cut into hundreds of tiny tasks.
+    Lines are grouped by order once; orders join on that partitioning, then
+    customers. A document is one row by nature, so its lines meet in one task.
     """
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    frames = {name: _t(spark, sf_dir, name) for name in ("customer", "lineitem")}
-    frames["orders"] = _t(spark, sf_dir, "orders").repartition(n, "o_orderkey")
-    return sql_over(spark, _source_sql(doc_sql, payload, slots), frames)
+    frames = {name: _t(spark, sf_dir, name) for name in ("orders", "customer", "lineitem")}
+    return sql_over(spark, _source_sql(doc_sql, payload), frames)
 
 
 def scan_payloads(spark, sf_dir):
-    return payload_table(spark, sf_dir, spark_json_doc(SCAN_DOC), "scanResponse", 6)
+    return payload_table(spark, sf_dir, spark_json_doc(SCAN_DOC), "scanResponse")
 
 
 def bm_payloads(spark, sf_dir):
-    return payload_table(spark, sf_dir, spark_json_doc(BM_DOC), "bmResponse", 6)
+    return payload_table(spark, sf_dir, spark_json_doc(BM_DOC), "bmResponse")
 
 
 def cep_payloads(spark, sf_dir):
-    return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC), "cepPayload", 3)
+    return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC), "cepPayload")
 
 
 # damaged XML documents, by order priority:
 #   1-URGENT: <paxInfo/> (intermediate element without children)
 #   2-HIGH:   a second bagScanDtl (repeated scan detail)
-#   3-MEDIUM: text after the root element
+#   3-MEDIUM: text after the root element, or text that closes the parser's wrapper itself
 #   4-NOT SPECIFIED: truncated document (malformed)
 #   5-LOW:    intact (still subject to the leg-count rule)
 def _damage_xml(xml: str) -> str:
@@ -282,25 +276,25 @@ def _damage_xml(xml: str) -> str:
         "CASE o.o_orderpriority "
         f"WHEN '1-URGENT' THEN regexp_replace({xml}, '<paxInfo>.*</paxInfo>', '<paxInfo/>') "
         f"WHEN '2-HIGH' THEN replace({xml}, '</bagScans>', '<bagScanDtl><x>1</x></bagScanDtl></bagScans>') "
-        f"WHEN '3-MEDIUM' THEN concat({xml}, ' tail') "
+        f"WHEN '3-MEDIUM' THEN concat({xml}, CASE o.o_orderstatus WHEN 'F' THEN ' tail' WHEN 'O' THEN '</w>junk <<<' ELSE '</w><w>' END) "
         f"WHEN '4-NOT SPECIFIED' THEN substring({xml}, 1, length({xml}) - 3) "
         f"ELSE {xml} END"
     )
 
 
 def damaged_cep_payloads(spark, sf_dir):
-    return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC, damage=_damage_xml), "cepPayload", 3)
+    return payload_table(spark, sf_dir, spark_xml_doc(CEP_DOC, damage=_damage_xml), "cepPayload")
 
 
 def bm_xml_payloads(spark, sf_dir):
-    return payload_table(spark, sf_dir, spark_xml_doc(BM_XML_DOC), "bmPayload", 3)
+    return payload_table(spark, sf_dir, spark_xml_doc(BM_XML_DOC), "bmPayload")
 
 
 # damaged scan documents, by order priority:
 #   1-URGENT: resp_info = []            (first element of an empty array)
 #   2-HIGH:   hdr = null                (explicit null intermediate)
 #   3-MEDIUM: curr_itin.flt_info = "x"  (leg array that is a non-empty string)
-#   4-NOT SPECIFIED: trailing garbage after the document
+#   4-NOT SPECIFIED: trailing garbage after the document, with and without a bracket that closes the parser's wrapper
 #   5-LOW:    intact; hdr missing when o_orderstatus = 'P' (missing node: NULL leaves)
 DAMAGED_SCAN_DOC = Doc(
     SCAN,
@@ -318,8 +312,8 @@ DAMAGED_SCAN_DOC = Doc(
 
 def damaged_scan_payloads(spark, sf_dir):
     doc = spark_json_doc(DAMAGED_SCAN_DOC)
-    doc = f"CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN concat({doc}, ' x') ELSE {doc} END"
-    return payload_table(spark, sf_dir, doc, "scanResponse", 6)
+    doc = f"CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN concat({doc}, CASE o.o_orderstatus WHEN 'F' THEN ' x' WHEN 'O' THEN '] x {{{{{{' ELSE '],[1]' END) ELSE {doc} END"
+    return payload_table(spark, sf_dir, doc, "scanResponse")
 
 
 def _hdr(name):
