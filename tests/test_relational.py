@@ -72,7 +72,7 @@ def test_unnest_typed_and_read_export(spark, tmp_dir):
         f.write('{"itemCount": 2}\n')
     again = read_export(spark, nested, ["pk"], recursive=True, file_glob="*.json.gz")
     assert sorted(r.pk for r in again.collect()) == ["p1", "p2"]
-    assert rows[0].asDict() == {"pk": "p1", "n": "5", "b": "true", "z": None, "m": '{"M":{"k":{"S":"v"}}}', "absent": None}
+    assert rows[0].asDict() == {"pk": "p1", "n": "5", "b": "true", "z": None, "m": '{"k":"v"}', "absent": None}
     assert rows[1].asDict() == {"pk": "p2", "n": None, "b": None, "z": None, "m": None, "absent": None}
 
 
@@ -95,3 +95,41 @@ def test_parquet_sink_round_trip(spark, tmp_dir):
     write_parquet(df.limit(1), path)  # overwrite, not append
     assert spark.read.parquet(path).count() == 1
     assert spark.read.options(**CSV_OPTIONS).csv  # options usable for reading back
+
+
+def test_export_keeps_every_attribute_and_rejects_bad_lines(spark, tmp_dir):
+    from unfurl.sources import export_lines, export_rejects
+
+    path = os.path.join(tmp_dir, "all")
+    os.makedirs(path)
+    deep = {"M": {"name": {"S": 'x "q"\n'}, "n": {"N": "1.50"}, "l": {"L": [{"BOOL": True}, {"NULL": True}, {"M": {"k": {"S": "v"}}}, {"SS": ["a"]}]}}}
+    lines = [json.dumps({"Item": {"pk": {"S": "p1"}, "stationCode": {"S": "DFW"}, "deep": deep}}), json.dumps({"Item": {"pk": {"S": "p2"}, "extra": {"L": []}}}),
+             '{"Item":{"pk":{"S":"p3"}}} trailing', '{"Item":', "", '{"other":1}', json.dumps({"Item": {"it\'s": {"S": "1"}, "pk": {"S": "p4"}}})]
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write("\n".join(lines))
+    df = read_export(spark, path)
+    assert sorted(df.columns) == sorted(["pk", "stationCode", "deep", "extra", "it\'s"])
+    rows = {r.pk: r for r in df.collect()}
+    assert set(rows) == {"p1", "p2", "p4"}
+    assert rows["p1"].stationCode == "DFW" and rows["p4"]["it\'s"] == "1"
+    assert json.loads(rows["p1"].deep) == {"name": 'x "q"\n', "n": 1.5, "l": [True, None, {"k": "v"}, {"SS": ["a"]}]}
+    assert rows["p2"].extra == "[]" and '"n":1.50' in rows["p1"].deep
+    assert sorted(r.line for r in export_rejects(export_lines(spark, path), "value").collect()) == sorted([lines[2], lines[3], lines[5]])
+
+
+def test_csv_round_trip_keeps_line_breaks(spark, tmp_dir):
+    from unfurl.sinks.files import CSV_READ_OPTIONS, write_csv
+
+    df = spark.createDataFrame([("a", 'x\ny "z", w'), ("b", "plain")], "k string, v string")
+    path = os.path.join(tmp_dir, "csv")
+    write_csv(df, path)
+    back = spark.read.options(**CSV_READ_OPTIONS).schema(df.schema).csv(path)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_mapping_resolves_names_in_a_case_sensitive_session(spark):
+    from unfurl.operators.xml_flatten import case_sensitive
+
+    df = spark.createDataFrame([("1", "x")], "PK string, scanresponse string")
+    with case_sensitive(spark):
+        assert apply_mapping(df, [("pk", "string", "pk", "string"), ("scanResponse", "string", "s", "string")]).collect()[0].s == "x"

@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--run-date")
     e.add_argument("--recursive", action="store_true")
     e.add_argument("--file-glob")
+    e.add_argument("--rejects-out", help="also write lines that are no items here (text)")
     r = sub.add_parser("responses", help="JSON responses -> scan and bm parquet (+ stored SQL)")
     r.add_argument("--table", required=True)
     r.add_argument("--scan-out", required=True)
@@ -50,7 +51,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = get_session(f"unfurl-{args.job}", master=args.master)
     if args.job == "extract":
         out = {"rows": jobs.extract_previous_day(spark, args.export, args.out, run_date=args.run_date,
-                                                 recursive=args.recursive, file_glob=args.file_glob)}
+                                                 recursive=args.recursive, file_glob=args.file_glob,
+                                                 rejects_out=args.rejects_out)}
     elif args.job == "responses":
         counts, result = jobs.flatten_responses(spark, spark.read.parquet(args.table), args.scan_out, args.bm_out,
                                                 query_path=args.query, strict=not args.lenient,

@@ -31,6 +31,11 @@ def _quote(key: str) -> str:
     return f"['{key}']"
 
 
+def quoted_key(key: str) -> str:
+    """A key as a step of a Variant path."""
+    return _quote(key)
+
+
 def vpath(steps: tuple[Step, ...], *, leaf: str | None = None, index: int | None = None, root: str = "$[0]") -> str:
     """Variant path below the wrapper array: ``$[0]['a']['b'][0]...``."""
     out = root
@@ -58,23 +63,25 @@ def vget(w: str, path: str, dtype: str) -> str:
     return f"try_variant_get({ident(w)}, {sql_str(path)}, '{dtype}')"
 
 
+def end_mark(text_expr: str) -> str:
+    """A number that a text cannot name in itself."""
+    return f"xxhash64({text_expr})"
+
+
 def parse_strict(text_expr: str) -> str:
-    """Variant array of the document and an end mark, NULL on malformed text.
+    """Variant array of the document and its end mark, NULL on malformed text.
 
     The mark stands behind the text: a stray ``]`` closes the array before it,
     a second value comes between. So the text is one value exactly if the mark
     is element 1 and there is no element 2.
     """
-    return f"try_parse_json(concat('[', {text_expr}, ',\"{_END}\"]'))"
-
-
-_END = "end of document"
+    return f"try_parse_json(concat('[', {text_expr}, ',', {end_mark(text_expr)}, ']'))"
 
 
-def parsed_ok(w: str) -> str:
-    """Exactly one JSON value (of any kind)."""
+def parsed_ok(w: str, mark: str) -> str:
+    """Exactly one JSON value (of any kind); ``mark`` is the text's end mark."""
     return (
-        f"({ident(w)} IS NOT NULL AND coalesce({vget(w, '$[1]', 'string')} = {sql_str(_END)}, false) "
+        f"({ident(w)} IS NOT NULL AND coalesce({vget(w, '$[1]', 'bigint')} = {mark}, false) "
         f"AND {vget(w, '$[2]', 'variant')} IS NULL)"
     )
 

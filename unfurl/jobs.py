@@ -22,7 +22,7 @@ from .operators.xml_flatten import case_sensitive, flatten_xml, xml_rejects
 from .operators.relational import apply_mapping, previous_day, sql_file
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN
 from .sinks.files import write_parquet, write_single_csv
-from .sources.export import read_export
+from .sources.export import export_lines, export_rejects, read_export
 
 JSON_MAPPING = [(c, "string", c, "string") for c in ("sk", "pk", "scanResponse", "bmResponse", "upsertTimestamp")]
 XML_MAPPING = [(c, "string", c, "string") for c in ("sk", "pk", "cepPayload", "bmPayload", "upsertTimestamp")]
@@ -35,7 +35,13 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def extract_previous_day(spark: SparkSession, export_path: str, out_path: str, *, run_date=None,
-                         attributes=EXPORT_ATTRIBUTES, recursive: bool = False, file_glob: str | None = None) -> int:
+                         attributes=None, recursive: bool = False, file_glob: str | None = None,
+                         rejects_out: str | None = None) -> int:
+    """Every attribute of the export unless ``attributes`` names some (``EXPORT_ATTRIBUTES``: those the
+    other jobs read). ``rejects_out``: also write the lines that are no items, as text."""
+    if rejects_out:
+        lines = export_lines(spark, export_path, recursive=recursive, file_glob=file_glob)
+        export_rejects(lines, "value").write.mode("overwrite").text(rejects_out)
     src = read_export(spark, export_path, attributes, recursive=recursive, file_glob=file_glob)
     df = previous_day(src, "upsertTimestamp", run_date=run_date)
     df, obs = _counted(df, "extract")

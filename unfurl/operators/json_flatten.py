@@ -226,7 +226,7 @@ class _Plan:
         return "(" + " OR ".join([f"{c} IS NOT NULL" for c in below] + [probe]) + ")"
 
     def checks(self) -> list[tuple[str, str]]:
-        checks = [("malformed", V.parsed_ok(_W)), ("not_object", V.top_is_object(_W))]
+        checks = [("malformed", V.parsed_ok(_W, V.end_mark(_T))), ("not_object", V.top_is_object(_W))]
         if self.strict:
             for n in self.nodes:
                 steps = n.steps

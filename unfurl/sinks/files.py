@@ -22,6 +22,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# reading back: a quoted field may hold line breaks, as payload text does
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
+
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", compression: str = "snappy",
                   partition_by: list[str] | None = None) -> None:

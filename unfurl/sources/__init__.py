@@ -1,3 +1,3 @@
-from .export import read_export, read_table, unnest_typed
+from .export import export_attributes, export_lines, export_rejects, read_export, read_table, unnest_typed
 
-__all__ = ["read_export", "read_table", "unnest_typed"]
+__all__ = ["export_attributes", "export_lines", "export_rejects", "read_export", "read_table", "unnest_typed"]

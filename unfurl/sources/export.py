@@ -15,46 +15,109 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.variant import ident, sql_str
+from ..functions.variant import end_mark, ident, parse_strict, parsed_ok, quoted_key, sql_str
 
 # public export format: scalar tags read as text, NULL tag as SQL NULL
 SCALAR_TAGS = ("S", "N", "BOOL")
 
 
-def unnest_typed(df: DataFrame, value_col: str, attributes: Iterable[str], *, item_key: str = "Item",
-                 keep: Iterable[str] = ()) -> DataFrame:
-    """One string column per attribute of type-tagged JSON items in ``value_col``.
+def _untagged(node: str) -> str:
+    """Text of a tagged value: scalars as they are, NULL as NULL, anything else as JSON."""
+    scalars = [f"try_variant_get({node}, {sql_str(f"$['{t}']")}, 'string')" for t in SCALAR_TAGS]
+    is_null_tag = f"try_variant_get({node}, {sql_str("$['NULL']")}, 'boolean')"
+    other = f"CASE WHEN {is_null_tag} IS NULL AND {node} IS NOT NULL THEN {_untagged_json(node)} END"
+    return f"coalesce({', '.join(scalars)}, {other})"
 
-    ``S``/``N``/``BOOL`` give their value as text, ``NULL`` (or a missing
-    attribute) gives NULL, any other tag (``M``, ``L``, sets, binary) gives the
-    JSON text of the tagged value.
+
+# Nested maps and lists are unwrapped to this depth; what lies deeper keeps its tags.
+NESTED_DEPTH = 6
+
+
+def _untagged_json(node: str, depth: int = NESTED_DEPTH) -> str:
+    """JSON text of a tagged value without its tags: maps are objects, lists arrays,
+    numbers and flags bare, text quoted; sets and binary keep theirs."""
+    get = lambda tag, kind: f"try_variant_get({node}, {sql_str(f"$['{tag}']")}, '{kind}')"
+    quoted = lambda text: f"regexp_extract(to_json(array({text})), '^.(.*).$', 1)"
+    cases = [
+        f"WHEN {get('S', 'string')} IS NOT NULL THEN {quoted(get('S', 'string'))}",
+        f"WHEN {get('N', 'string')} IS NOT NULL THEN {get('N', 'string')}",
+        f"WHEN {get('BOOL', 'string')} IS NOT NULL THEN {get('BOOL', 'string')}",
+        f"WHEN {get('NULL', 'boolean')} IS NOT NULL THEN 'null'",
+    ]
+    if depth:
+        e = f"e{depth}"  # members of a map, or elements of a list, which have no key
+        members = (f"coalesce(transform(map_entries({get('M', 'map<string,variant>')}), x -> struct(x.key AS k, x.value AS v)), "
+                   f"transform({get('L', 'array<variant>')}, x -> struct(CAST(NULL AS STRING) AS k, x AS v)))")
+        inside = f"array_join(transform({members}, {e} -> concat(CASE WHEN {e}.k IS NULL THEN '' ELSE concat({quoted(f'{e}.k')}, ':') END, {_untagged_json(f'{e}.v', depth - 1)})), ',')"
+        cases.append(f"WHEN {get('M', 'map<string,variant>')} IS NOT NULL OR {get('L', 'array<variant>')} IS NOT NULL THEN "
+                     f"concat(CASE WHEN {get('L', 'array<variant>')} IS NULL THEN '{{' ELSE '[' END, {inside}, CASE WHEN {get('L', 'array<variant>')} IS NULL THEN '}}' ELSE ']' END)")
+    return f"CASE {' '.join(cases)} ELSE to_json({node}) END"
+
+
+def _parsed_items(df: DataFrame, value_col: str, item_key: str, keep: Iterable[str]) -> DataFrame:
+    """``keep``, ``__line`` and ``__attrs``: the item's attributes, NULL for a malformed line."""
+    keep = [ident(k) for k in keep]
+    parsed = df.selectExpr(*keep, f"{ident(value_col)} AS __line", f"{parse_strict(ident(value_col))} AS __item")
+    ok = parsed_ok("__item", end_mark("__line"))
+    return parsed.selectExpr(*keep, "__line", f"CASE WHEN {ok} THEN try_variant_get(__item, {sql_str('$[0]' + quoted_key(item_key))}, 'map<string,variant>') END AS __attrs")
+
+
+def export_attributes(df: DataFrame, value_col: str, *, item_key: str = "Item") -> list[str]:
+    """Names of all attributes in the items, sorted: a distributed distinct over the keys.
+
+    The names are the columns of the result, so they are few by nature.
     """
-    parsed = df.selectExpr(*[ident(k) for k in keep], f"try_parse_json({ident(value_col)}) AS __item")
-    cols = []
-    for a in attributes:
-        base = f"$['{item_key}']['{a}']"
-        scalars = [f"try_variant_get(__item, {sql_str(base + f"['{t}']")}, 'string')" for t in SCALAR_TAGS]
-        is_null_tag = f"try_variant_get(__item, {sql_str(base + "['NULL']")}, 'boolean')"
-        whole = f"try_variant_get(__item, {sql_str(base)}, 'variant')"
-        other = f"CASE WHEN {is_null_tag} IS NULL AND {whole} IS NOT NULL THEN to_json({whole}) END"
-        cols.append(f"coalesce({', '.join(scalars)}, {other}) AS {ident(a)}")
-    return parsed.selectExpr(*[ident(k) for k in keep], *cols)
-
-
-def read_export(spark: SparkSession, path: str, attributes: Iterable[str], *, item_key: str = "Item",
-                recursive: bool = False, file_glob: str | None = None) -> DataFrame:
-    """Scan an export folder (JSON lines, ``.gz`` read transparently) and unnest ``attributes``.
+    keys = _parsed_items(df, value_col, item_key, ()).selectExpr("explode(map_keys(__attrs)) AS k").distinct()
+    return sorted(r.k for r in keys.collect())
 
-    ``recursive`` reads data files in nested folders; ``file_glob`` (e.g.
-    ``"*.json.gz"``) keeps manifest or marker files next to them out of the scan.
+
+def unnest_typed(df: DataFrame, value_col: str, attributes: Iterable[str] | None = None, *, item_key: str = "Item",
+                 keep: Iterable[str] = ()) -> DataFrame:
+    """One string column per attribute of type-tagged JSON items in ``value_col``
+    (``attributes=None``: every attribute that any item has, found by a first pass).
+
+    ``S``/``N``/``BOOL`` give their value as text, ``NULL`` (or a missing
+    attribute) gives NULL, ``M`` and ``L`` the JSON text of their content with the tags
+    inside taken off, any other tag (sets, binary) the JSON text of the tagged value. Lines
+    that are not one JSON object with ``item_key`` are left out; ``export_rejects`` has them.
     """
+    keep = list(keep)
+    if attributes is None:
+        attributes = export_attributes(df, value_col, item_key=item_key)
+    items = _parsed_items(df, value_col, item_key, keep)
+    names = list(attributes)
+    # explode instead of a filter, so the line is parsed once
+    kept = items.selectExpr(*[ident(k) for k in keep], "explode(CASE WHEN __attrs IS NOT NULL THEN array(__attrs) END) AS __attrs")
+    nodes = kept.selectExpr(*[ident(k) for k in keep], *[f"try_element_at(__attrs, {sql_str(a)}) AS __a{i}" for i, a in enumerate(names)])
+    return nodes.selectExpr(*[ident(k) for k in keep], *[f"{_untagged(f'__a{i}')} AS {ident(a)}" for i, a in enumerate(names)])
+
+
+def export_rejects(df: DataFrame, value_col: str, *, item_key: str = "Item", keep: Iterable[str] = ()) -> DataFrame:
+    """The lines ``unnest_typed`` leaves out (blank lines are no items and are not listed)."""
+    keep = list(keep)
+    items = _parsed_items(df, value_col, item_key, keep)
+    bad = "explode(CASE WHEN __attrs IS NULL AND trim(__line) <> '' THEN array(__line) END) AS line"
+    return items.selectExpr(*[ident(k) for k in keep], bad)
+
+
+def export_lines(spark: SparkSession, path: str, *, recursive: bool = False, file_glob: str | None = None) -> DataFrame:
+    """The raw lines of an export folder (column ``value``; ``.gz`` read transparently)."""
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    raw = reader.text(path)
-    return unnest_typed(raw, "value", attributes, item_key=item_key)
+    return reader.text(path)
+
+
+def read_export(spark: SparkSession, path: str, attributes: Iterable[str] | None = None, *, item_key: str = "Item",
+                recursive: bool = False, file_glob: str | None = None) -> DataFrame:
+    """Scan an export folder (JSON lines) and unnest ``attributes``, by default all.
+
+    ``recursive`` reads data files in nested folders; ``file_glob`` (e.g.
+    ``"*.json.gz"``) keeps manifest or marker files next to them out of the scan.
+    """
+    return unnest_typed(export_lines(spark, path, recursive=recursive, file_glob=file_glob), "value", attributes, item_key=item_key)
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:

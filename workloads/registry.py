@@ -24,6 +24,8 @@ from unfurl import (
     json_rejects,
     map_to_columns,
     previous_day,
+    read_export,
+    read_table,
     sql_file,
     sql_over,
     unnest_typed,
@@ -32,7 +34,8 @@ from unfurl import (
 )
 from unfurl.plans.spec import FlattenSpec, Group
 from unfurl.session import scratch_path
-from unfurl.sinks.files import CSV_OPTIONS, write_csv
+from unfurl.sinks.files import CSV_READ_OPTIONS, write_csv
+from unfurl.sources import export_lines, export_rejects
 
 from .docbuild import (
     Doc,
@@ -510,7 +513,7 @@ def q_csv_round_trip(spark, sf_dir):
     path = _scratch(spark, "csv")
     flat = q_bm_xml_flat(spark, sf_dir)
     write_csv(flat, path)
-    return spark.read.options(**CSV_OPTIONS).schema(flat.schema).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(flat.schema).csv(path)
 
 
 def q_streaming_flatten(spark, sf_dir):
@@ -528,6 +531,62 @@ def q_streaming_flatten(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+NUMBERS_SPEC = FlattenSpec("numbers", (Group("n", ("price", "qty", "tax", "tiny", "big", "digits")), Group("n/legs", ("v",), "leg_", "legs", 2)),
+                           key_columns=("order_id", "line_no"))
+
+
+def q_json_numbers(spark, sf_dir):
+    # number texts as a writer may put them: trailing zeros, many digits, small and large powers
+    lines = _t(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS order_id", "CAST(l_linenumber AS STRING) AS line_no",
+        "concat('{\"n\":{\"price\":', CAST(l_partkey AS STRING), '.50,\"qty\":', CAST(CAST(l_quantity AS INT) AS STRING), '.0,\"tax\":0.000', CAST(l_linenumber AS STRING), "
+        "',\"tiny\":', CAST(l_linenumber AS STRING), 'e-7,\"big\":', CAST(l_linenumber AS STRING), '2345678.5,\"digits\":', CAST(l_suppkey + 1 AS STRING), '00000000000000000000001,"
+        "\"legs\":[{\"v\":', CAST(l_suppkey AS STRING), '.0},{\"v\":-0.0},7]}}') AS doc")
+    return flatten_json(lines, "doc", NUMBERS_SPEC)
+
+
+def _export_folder(spark, sf_dir):
+    """Customers as export files: type-tagged JSON lines, written by Spark."""
+    path = _scratch(spark, "export")
+    _t(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_nationkey = 3 THEN '{\"Item\":{\"pk\"' ELSE to_json(named_struct('Item', named_struct("
+        "'pk', named_struct('S', c_name), 'stationCode', named_struct('S', c_mktsegment), "
+        "'active', named_struct('BOOL', c_acctbal > 0), "
+        "'place', named_struct('M', named_struct('nation', named_struct('N', CAST(c_nationkey AS STRING)), "
+        "'tags', named_struct('L', array(named_struct('S', c_mktsegment)))))))) END AS value"
+    ).write.option("compression", "gzip").text(path)
+    return path
+
+
+def q_read_export_all(spark, sf_dir):
+    return read_export(spark, _export_folder(spark, sf_dir))
+
+
+def q_unnest_nested(spark, sf_dir):
+    return read_export(spark, _export_folder(spark, sf_dir), ["pk", "place"])
+
+
+def q_export_reject_count(spark, sf_dir):
+    bad = export_rejects(export_lines(spark, _export_folder(spark, sf_dir)), "value")
+    return bad.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_read_table(spark, sf_dir):
+    return read_table(spark, os.path.join(sf_dir, "supplier.parquet")).select("s_suppkey", "s_nationkey")
+
+
+def q_kept_rows(spark, sf_dir):
+    kept = flatten_json(damaged_scan_payloads(spark, sf_dir), "scanResponse", SCAN)
+    return kept.agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_prev_day_default(spark, sf_dir):
+    # stamped relative to today: one, two or no day back, by order key
+    stamped = _t(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CAST(date_sub(current_date(), CAST(o_orderkey % 3 AS INT)) AS STRING) || ' 12:00:00' AS upsertTimestamp")
+    return previous_day(stamped).select("o_orderkey")
+
+
 QUERIES = {
     "json_object": q_json_object,
     "scan_flat": q_scan_flat,
@@ -552,6 +611,13 @@ QUERIES = {
     "parquet_round_trip": q_parquet_round_trip,
     "csv_round_trip": q_csv_round_trip,
     "streaming_flatten": q_streaming_flatten,
+    "json_numbers": q_json_numbers,
+    "read_export_all": q_read_export_all,
+    "unnest_nested": q_unnest_nested,
+    "export_reject_count": q_export_reject_count,
+    "read_table": q_read_table,
+    "kept_rows": q_kept_rows,
+    "prev_day_default": q_prev_day_default,
 }
 
 _EVENTS_ORACLE = (
@@ -627,10 +693,28 @@ ORACLE = {
     "sql_file": _COMPARE_ORACLE,
     "unnest_typed": (
         "SELECT c_name AS pk, CAST(c_nationkey AS VARCHAR) AS nation, CAST(c_acctbal > 0 AS VARCHAR) AS positive, "
-        "CAST(NULL AS VARCHAR) AS gone, '{\"M\":{\"name\":{\"S\":\"' || c_mktsegment || '\"}}}' AS seg, "
+        "CAST(NULL AS VARCHAR) AS gone, '{\"name\":\"' || c_mktsegment || '\"}' AS seg, "
         "CAST(NULL AS VARCHAR) AS absent FROM customer"
     ),
     "parquet_round_trip": _oracle_xml(CEP_DOC, _XML_WHERE),
     "csv_round_trip": _oracle_xml(BM_XML_DOC, _XML_WHERE),
     "streaming_flatten": _EVENTS_ORACLE,
+    # the JVM's text of a double, written out by hand for these shapes of number
+    "json_numbers": (
+        "SELECT l_partkey || '.5' AS price, CAST(l_quantity AS INTEGER) || '.0' AS qty, l_linenumber || '.0E-4' AS tax, "
+        "l_linenumber || '.0E-7' AS tiny, l_linenumber || '.23456785E' || 7 AS big, "
+        "(l_suppkey + 1) || '00000000000000000000001' AS digits, l_suppkey || '.0' AS leg_0_v, '-0.0' AS leg_1_v, "
+        "CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"
+    ),
+    "read_export_all": (
+        "SELECT c_name AS pk, c_mktsegment AS \"stationCode\", CAST(c_acctbal > 0 AS VARCHAR) AS active, "
+        "'{\"nation\":' || c_nationkey || ',\"tags\":[\"' || c_mktsegment || '\"]}' AS place FROM customer WHERE c_nationkey <> 3"
+    ),
+    "unnest_nested": (
+        "SELECT c_name AS pk, '{\"nation\":' || c_nationkey || ',\"tags\":[\"' || c_mktsegment || '\"]}' AS place FROM customer WHERE c_nationkey <> 3"
+    ),
+    "export_reject_count": "SELECT '{\"Item\":{\"pk\"' AS line, count(*) AS n FROM customer WHERE c_nationkey = 3 HAVING count(*) > 0",
+    "read_table": "SELECT s_suppkey, s_nationkey FROM supplier",
+    "kept_rows": "SELECT count(*) AS n FROM orders WHERE o_orderpriority = '5-LOW'",
+    "prev_day_default": "SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 1",
 }
