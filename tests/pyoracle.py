@@ -99,7 +99,14 @@ def _legs_lenient(parent, key, n):
     return [v[i] if i < len(v) and isinstance(v[i], dict) else None for i in range(n)]
 
 
-def flatten_json_py(text, spec, strict=True):
+def walk(spec):
+    """The spec's groups, paths and leaves, walked once: ``(group, steps, leaves)``."""
+    return [(g, g.steps, g.leaves()) for g in spec.groups]
+
+
+def flatten_json_py(text, spec, strict=True, walked=None):
+    """``walked``: ``walk(spec)``, for callers with many documents."""
+    walked = walked or walk(spec)
     if text is None:
         return None
     try:
@@ -110,28 +117,26 @@ def flatten_json_py(text, spec, strict=True):
         return None
     out = {}
     if not strict:
-        for g in spec.groups:
-            steps = g.steps
+        for g, steps, leaves in walked:
             if g.mode == "legs":
                 legs = _legs_lenient(_node_lenient(data, steps[:-1]), steps[-1].key, g.legs)
-                for name, fld, i in g.leaves():
+                for name, fld, i in leaves:
                     out.setdefault(name, leaf_text(legs[i].get(fld)) if legs[i] is not None else None)
             else:
                 node = _node_lenient(data, steps)
-                for name, fld, _ in g.leaves():
+                for name, fld, _ in leaves:
                     out.setdefault(name, leaf_text(node.get(fld)))
         return out
     try:
-        for g in spec.groups:
-            steps = g.steps
+        for g, steps, leaves in walked:
             if g.mode == "legs":
                 parent = _node(data, steps[:-1])
                 legs = _legs(parent, steps[-1].key, g.legs)
-                for name, fld, i in g.leaves():
+                for name, fld, i in leaves:
                     out.setdefault(name, leaf_text(legs[i].get(fld)) if legs[i] is not None else None)
             else:
                 node = _node(data, steps)
-                for name, fld, _ in g.leaves():
+                for name, fld, _ in leaves:
                     out.setdefault(name, leaf_text(node.get(fld)))
     except Drop:
         return None
@@ -222,9 +227,11 @@ def _scan_detail_ok(root, path):
         raise Drop
 
 
-def flatten_xml_py(payload, spec, single_leg="drop", strict=True):
+def flatten_xml_py(payload, spec, single_leg="drop", strict=True, walked=None):
     import xml.etree.ElementTree as ET
 
+    walked = walked or walk(spec)
+
     if payload is None:
         return None
     try:
@@ -239,9 +246,9 @@ def flatten_xml_py(payload, spec, single_leg="drop", strict=True):
         return None
     out = {}
     if not strict:
-        for g in spec.groups:
-            keys = [s.key for s in g.steps]
-            for name, fld, leg in g.leaves():
+        for g, steps, leaves in walked:
+            keys = [s.key for s in steps]
+            for name, fld, leg in leaves:
                 node = _xml_node_lenient(root, keys, leg or 0)
                 out.setdefault(name, _xml_leaf(node, fld) if node is not None else None)
         return out
@@ -249,10 +256,10 @@ def flatten_xml_py(payload, spec, single_leg="drop", strict=True):
         detail = spec.extra.get("scan_detail")
         if detail:
             _scan_detail_ok(root, detail[0])
-        for g in spec.groups:
-            keys = [s.key for s in g.steps]
+        for g, steps, leaves in walked:
+            keys = [s.key for s in steps]
             node = _xml_node(root, keys, legs=g.mode == "legs", single_leg=single_leg)
-            for name, fld, _ in g.leaves():
+            for name, fld, _ in leaves:
                 out.setdefault(name, _xml_leaf(node, fld) if node is not None else None)
     except Drop:
         return None
