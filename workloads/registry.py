@@ -37,6 +37,7 @@ from unfurl.session import scratch_path
 from unfurl.sinks.files import CSV_READ_OPTIONS, write_csv
 from unfurl.sources import export_lines, export_rejects
 
+from . import templates
 from .docbuild import (
     Doc,
     XmlDoc,
@@ -587,6 +588,26 @@ def q_prev_day_default(spark, sf_dir):
     return previous_day(stamped).select("o_orderkey")
 
 
+def _filled(spark, sf_dir, name, payload):
+    return _t(spark, sf_dir, "orders").selectExpr(*templates.spark_sql(name, payload))
+
+
+def q_scan_every_field(spark, sf_dir):
+    return flatten_json(_filled(spark, sf_dir, "scan.json", "scanResponse"), "scanResponse", SCAN)
+
+
+def q_bm_every_field(spark, sf_dir):
+    return flatten_json(_filled(spark, sf_dir, "bm.json", "bmResponse"), "bmResponse", BM)
+
+
+def q_cep_xml_every_field(spark, sf_dir):
+    return flatten_xml(_filled(spark, sf_dir, "cep.xml", "cepPayload"), "cepPayload", CEP_XML)
+
+
+def q_bm_xml_every_field(spark, sf_dir):
+    return flatten_xml(_filled(spark, sf_dir, "bm.xml", "bmPayload"), "bmPayload", BM_XML)
+
+
 QUERIES = {
     "json_object": q_json_object,
     "scan_flat": q_scan_flat,
@@ -611,6 +632,10 @@ QUERIES = {
     "parquet_round_trip": q_parquet_round_trip,
     "csv_round_trip": q_csv_round_trip,
     "streaming_flatten": q_streaming_flatten,
+    "scan_every_field": q_scan_every_field,
+    "bm_every_field": q_bm_every_field,
+    "cep_xml_every_field": q_cep_xml_every_field,
+    "bm_xml_every_field": q_bm_xml_every_field,
     "json_numbers": q_json_numbers,
     "read_export_all": q_read_export_all,
     "unnest_nested": q_unnest_nested,
@@ -699,6 +724,13 @@ ORACLE = {
     "parquet_round_trip": _oracle_xml(CEP_DOC, _XML_WHERE),
     "csv_round_trip": _oracle_xml(BM_XML_DOC, _XML_WHERE),
     "streaming_flatten": _EVENTS_ORACLE,
+    "scan_every_field": templates.oracle_sql("scan.json", {"error": "CAST(NULL AS VARCHAR)"}),
+    # a key that is both a subtree and a leaf: its JSON text
+    "bm_every_field": templates.oracle_sql("bm.json", {"totalTransferBags": (
+        "'{\"tbBysector\":{\"count\":\"' || o_orderkey || '.missingBagSummaryBySector_tbBysector_count\",\"sector\":\"' "
+        "|| o_orderkey || '.missingBagSummaryBySector_tbBysector_sector\"}}'")}),
+    "cep_xml_every_field": templates.oracle_sql("cep.xml"),
+    "bm_xml_every_field": templates.oracle_sql("bm.xml"),
     # the JVM's text of a double, written out by hand for these shapes of number
     "json_numbers": (
         "SELECT l_partkey || '.5' AS price, CAST(l_quantity AS INTEGER) || '.0' AS qty, l_linenumber || '.0E-4' AS tax, "
