@@ -11,109 +11,154 @@ from __future__ import annotations
 
 from .spec import FlattenSpec, Group
 
-
-def _f(text: str) -> tuple[str, ...]:
-    return tuple(t.strip() for t in text.split(",") if t.strip())
-
-
 # ---------------------------------------------------------------------------
 # FIXED VALUES: scan JSON response (column ``scanResponse``)
 # ---------------------------------------------------------------------------
-_R = "bag_resp/resp_info[0]"
-_SCAN_ITIN = _f(
-    "flt_nbr, carr_cd, orig, dest, lcl_est_arr_dtm, lcl_est_dep_dtm, lcl_sch_arr_dtm, "
-    "lcl_sch_dep_dtm, gate, intl_ind, flt_status, arrBagClaimUnitId, sector_cd"
-)
 SCAN = FlattenSpec(
     name="scan",
     groups=(
-        Group("bag_resp/hdr/scanner_info", _f("dev_id, mac_id, ver, serial_nbr")),
-        Group("bag_resp/hdr", _f("action_cd, stn_cd")),
-        Group("bag_resp", _f("ret_code, error_msg")),
-        Group(f"{_R}/pax_info", _f("fn, ln, pax_stat"), "pax_info_"),
         Group(
-            f"{_R}/flt_info[0]",
-            _f(
-                "orig, dest, gate, flt_nbr, carr_cd, lcl_est_arr_dtm, lcl_est_dep_dtm, lcl_sch_arr_dtm, "
-                "lcl_sch_dep_dtm, flt_status, nose_nbr, equip_cd, acft_nbr, TailNumber, flt_type, "
-                "wideBdyInd, arrBagClaimUnitId, eqpDesc, orig_flt_dt, sector_cd, isRDLFlt, isTailTip, wgtRstInd, "
-                "opsLegDepOccurNbr, opsLegArrOccurNbr, starFltInd, priorityFltInd, pier, bag_status, scan_dtm, seq_nbr, "
-                "tag_nbr, type, priority_bag, bag_primary_type, curr_sector, orig_sector, is_animal_ok, is_crate_ok"
+            "bag_resp/hdr/scanner_info",
+            ("dev_id", "mac_id", "ver", "serial_nbr"),
+        ),
+        Group(
+            "bag_resp/hdr",
+            ("action_cd", "stn_cd"),
+        ),
+        Group(
+            "bag_resp",
+            ("ret_code", "error_msg"),
+        ),
+        Group(
+            "bag_resp/resp_info[0]/pax_info",
+            ("fn", "ln", "pax_stat"),
+            prefix="pax_info_",
+        ),
+        Group(
+            "bag_resp/resp_info[0]/flt_info[0]",
+            (
+                "orig", "dest", "gate", "flt_nbr", "carr_cd", "lcl_est_arr_dtm", "lcl_est_dep_dtm",
+                "lcl_sch_arr_dtm", "lcl_sch_dep_dtm", "flt_status", "nose_nbr", "equip_cd", "acft_nbr",
+                "TailNumber", "flt_type", "wideBdyInd", "arrBagClaimUnitId", "eqpDesc", "orig_flt_dt",
+                "sector_cd", "isRDLFlt", "isTailTip", "wgtRstInd", "opsLegDepOccurNbr", "opsLegArrOccurNbr",
+                "starFltInd", "priorityFltInd", "pier", "bag_status", "scan_dtm", "seq_nbr", "tag_nbr", "type",
+                "priority_bag", "bag_primary_type", "curr_sector", "orig_sector", "is_animal_ok", "is_crate_ok",
             ),
-            "flt_info_",
+            prefix="flt_info_",
         ),
         Group(
-            f"{_R}/bag_tag[0]",
-            _f(
-                "bag_status, scan_dtm, seq_nbr, tag_nbr, type, priority_bag, bag_primary_type, "
-                "curr_sector, orig_sector, is_animal_ok, is_crate_ok"
+            "bag_resp/resp_info[0]/bag_tag[0]",
+            (
+                "bag_status", "scan_dtm", "seq_nbr", "tag_nbr", "type", "priority_bag", "bag_primary_type",
+                "curr_sector", "orig_sector", "is_animal_ok", "is_crate_ok",
             ),
-            "bag_tag_",
+            prefix="bag_tag_",
         ),
         Group(
-            f"{_R}/bag_tag[0]/last_action",
-            _f("remark, seq_nbr, storage_nbr, stage_nbr, flt_nbr, carr_cd, stn"),
-            "last_action_",
+            "bag_resp/resp_info[0]/bag_tag[0]/last_action",
+            ("remark", "seq_nbr", "storage_nbr", "stage_nbr", "flt_nbr", "carr_cd", "stn"),
+            prefix="last_action_",
         ),
-        Group(f"{_R}/clm_info", _f("clm_svc_ret_code, clm_svc_ret_msg, bolt_ref_nbr, wt_ref_nbr"), "clm_info_"),
-        Group(f"{_R}/curr_itin/flt_info", _SCAN_ITIN, "resp_curritnr_", mode="legs"),
-        Group(f"{_R}/orig_itin/flt_info", _SCAN_ITIN, "resp_origitnr_", mode="legs"),
-        Group(f"{_R}/flt_avlb_info/flt_avlb", _f("flt_svc_ret_code, flt_svc_ret_msg")),
         Group(
-            f"{_R}/flt_avlb_info/flt_avlb/flt_info",
-            _f(
-                "flt_nbr, carr_cd, orig, dest, lcl_est_arr_dtm, lcl_est_dep_dtm, lcl_sch_arr_dtm, "
-                "gate, intl_ind, equip_cd, flt_status"
+            "bag_resp/resp_info[0]/clm_info",
+            ("clm_svc_ret_code", "clm_svc_ret_msg", "bolt_ref_nbr", "wt_ref_nbr"),
+            prefix="clm_info_",
+        ),
+        Group(
+            "bag_resp/resp_info[0]/curr_itin/flt_info",
+            (
+                "flt_nbr", "carr_cd", "orig", "dest", "lcl_est_arr_dtm", "lcl_est_dep_dtm", "lcl_sch_arr_dtm",
+                "lcl_sch_dep_dtm", "gate", "intl_ind", "flt_status", "arrBagClaimUnitId", "sector_cd",
             ),
-            "flt_avlb_flt_info_",
+            prefix="resp_curritnr_",
+            mode="legs",
+            legs=5,
         ),
         Group(
-            _R,
-            _f("storage_loc, prnt_ret_code, prnt_ret_msg, prnt_error_msg, fnl_dest_stn_cd, int_ind, oa_conct_ind"),
-            "resp_info_",
+            "bag_resp/resp_info[0]/orig_itin/flt_info",
+            (
+                "flt_nbr", "carr_cd", "orig", "dest", "lcl_est_arr_dtm", "lcl_est_dep_dtm", "lcl_sch_arr_dtm",
+                "lcl_sch_dep_dtm", "gate", "intl_ind", "flt_status", "arrBagClaimUnitId", "sector_cd",
+            ),
+            prefix="resp_origitnr_",
+            mode="legs",
+            legs=5,
+        ),
+        Group(
+            "bag_resp/resp_info[0]/flt_avlb_info/flt_avlb",
+            ("flt_svc_ret_code", "flt_svc_ret_msg"),
+        ),
+        Group(
+            "bag_resp/resp_info[0]/flt_avlb_info/flt_avlb/flt_info",
+            (
+                "flt_nbr", "carr_cd", "orig", "dest", "lcl_est_arr_dtm", "lcl_est_dep_dtm", "lcl_sch_arr_dtm",
+                "gate", "intl_ind", "equip_cd", "flt_status",
+            ),
+            prefix="flt_avlb_flt_info_",
         ),
-        Group(f"{_R}/print_parm", _f("print_type, print_addr")),
         Group(
-            f"{_R}/bag_count",
-            _f("heavyBags, total_bag_cnt, total_scan_cnt, standBags, missingBags, quickPaks, valetBags, min_to_dep"),
+            "bag_resp/resp_info[0]",
+            (
+                "storage_loc", "prnt_ret_code", "prnt_ret_msg", "prnt_error_msg", "fnl_dest_stn_cd", "int_ind",
+                "oa_conct_ind",
+            ),
+            prefix="resp_info_",
         ),
-        Group(f"{_R}/msng_bag_sum_by_sector", _f("total_prio_bags, total_city_bags, total_other_bags")),
         Group(
-            f"{_R}/msng_bag_sum_by_sector/total_tb_bags/tb_by_sector", _f("count, sector"), "tb_by_sector_"
+            "bag_resp/resp_info[0]/print_parm",
+            ("print_type", "print_addr"),
         ),
         Group(
-            f"{_R}/br_trans_res/pax_info",
-            _f(
-                "fn, ln, bag_status, scan_dtm, tag_nbr, content_cd, priority_bag, bag_primary_type, "
-                "bag_secondary_type, curr_sector, orig_sector"
+            "bag_resp/resp_info[0]/bag_count",
+            (
+                "heavyBags", "total_bag_cnt", "total_scan_cnt", "standBags", "missingBags", "quickPaks",
+                "valetBags", "min_to_dep",
             ),
-            "br_trans_res_pax_info_",
         ),
-        # the source key really carries a trailing space: "flt_info "
         Group(
-            f"{_R}/br_trans_res/scanned_flt_info/flt_info ",
-            _f(
-                "flt_nbr, carr_cd, orig, dest, lcl_est_arr_dtm, lcl_est_dep_dtm, lcl_sch_arr_dtm, "
-                "lcl_sch_dep_dtm, gate, intl_ind, acft_nbr, TailNumber, equip_cd, flt_status, wideBdyInd, eqpDesc, "
-                "orig_flt_dt, sector_cd, isRDLFlt, isTailTip, wgtRstInd, isCurrent, isActive, psgr_status, "
-                "auth_to_load, csr_auth_to_load"
+            "bag_resp/resp_info[0]/msng_bag_sum_by_sector",
+            ("total_prio_bags", "total_city_bags", "total_other_bags"),
+        ),
+        Group(
+            "bag_resp/resp_info[0]/msng_bag_sum_by_sector/total_tb_bags/tb_by_sector",
+            ("count", "sector"),
+            prefix="tb_by_sector_",
+        ),
+        Group(
+            "bag_resp/resp_info[0]/br_trans_res/pax_info",
+            (
+                "fn", "ln", "bag_status", "scan_dtm", "tag_nbr", "content_cd", "priority_bag",
+                "bag_primary_type", "bag_secondary_type", "curr_sector", "orig_sector",
             ),
-            "br_trans_res_flt_info_",
+            prefix="br_trans_res_pax_info_",
         ),
         Group(
-            f"{_R}/br_trans_batch_res/bag_tag/pax_info",
-            _f("fn, ln, tag_nbr, content_cd, priority_bag, bag_primary_type, bag_secondary_type"),
-            "br_trans_batch_res_pax_info_",
+            "bag_resp/resp_info[0]/br_trans_res/scanned_flt_info/flt_info ",
+            (
+                "flt_nbr", "carr_cd", "orig", "dest", "lcl_est_arr_dtm", "lcl_est_dep_dtm", "lcl_sch_arr_dtm",
+                "lcl_sch_dep_dtm", "gate", "intl_ind", "acft_nbr", "TailNumber", "equip_cd", "flt_status",
+                "wideBdyInd", "eqpDesc", "orig_flt_dt", "sector_cd", "isRDLFlt", "isTailTip", "wgtRstInd",
+                "isCurrent", "isActive", "psgr_status", "auth_to_load", "csr_auth_to_load",
+            ),
+            prefix="br_trans_res_flt_info_",
         ),
         Group(
-            f"{_R}/br_trans_batch_res/bag_tag/scanned_flt_info/flt_info",
-            _f(
-                "flt_nbr, carr_cd, orig, dest, lcl_est_arr_dtm, lcl_est_dep_dtm, lcl_sch_arr_dtm, "
-                "lcl_sch_dep_dtm, gate, intl_ind, acft_nbr, nose_nbr, TailNumber, equip_cd, flt_status, wideBdyInd, "
-                "eqpDesc, sector_cd, isRDLFlt, isTailTip, wgtRstInd, isCurrent, isActive, isOriginal, starFltInd, "
-                "priorityFltInd, psgr_status, auth_to_load, csr_auth_to_load, legSeqNbr"
+            "bag_resp/resp_info[0]/br_trans_batch_res/bag_tag/pax_info",
+            (
+                "fn", "ln", "tag_nbr", "content_cd", "priority_bag", "bag_primary_type", "bag_secondary_type",
             ),
-            "br_trans_batch_res_flt_info_",
+            prefix="br_trans_batch_res_pax_info_",
+        ),
+        Group(
+            "bag_resp/resp_info[0]/br_trans_batch_res/bag_tag/scanned_flt_info/flt_info",
+            (
+                "flt_nbr", "carr_cd", "orig", "dest", "lcl_est_arr_dtm", "lcl_est_dep_dtm", "lcl_sch_arr_dtm",
+                "lcl_sch_dep_dtm", "gate", "intl_ind", "acft_nbr", "nose_nbr", "TailNumber", "equip_cd",
+                "flt_status", "wideBdyInd", "eqpDesc", "sector_cd", "isRDLFlt", "isTailTip", "wgtRstInd",
+                "isCurrent", "isActive", "isOriginal", "starFltInd", "priorityFltInd", "psgr_status",
+                "auth_to_load", "csr_auth_to_load", "legSeqNbr",
+            ),
+            prefix="br_trans_batch_res_flt_info_",
         ),
     ),
     null_columns=("error",),
@@ -122,237 +167,372 @@ SCAN = FlattenSpec(
 # ---------------------------------------------------------------------------
 # FIXED VALUES: bm JSON response (column ``bmResponse``)
 # ---------------------------------------------------------------------------
-_B = "bagResp/bagRespInfo"
-_BM_FLT27_HEAD = (
-    "flightNumber, carrierCode, departureStation, arrivalStation, localEstimateArrivalDate, "
-    "localEstimatedDepartureDate, localScheduledArrivalDate, localScheduledDepartureDate, departureGate, "
-    "isInternational, acftNumber, tailNumber, equipmentCode, flightStatus, carrierType, isWideBody, "
-    "equipmentDescription, fltLclOrigDt, departureBagSectorNumber, isRDLFlight, tailTipIndicator, "
-    "freezeWeightIndicator, isCurrent, isActive, psgrStatus"
-)
-_BM_LAST_ACTION7 = _f("remark, legSequenceNumber, storageID, stageID, flightNumber, carrierCode, scanStation")
-_BM_ITIN12 = (
-    "flightNumber, carrierCode, departureStation, arrivalStation, localEstimateArrivalDate, "
-    "localEstimatedDepartureDate, localScheduledArrivalDate, localScheduledDepartureDate, departureGate, "
-    "isInternational, flightStatus, arrivalBagClaimUnitedID"
-)
 BM = FlattenSpec(
     name="bm",
     groups=(
-        Group("bagResp/hdr/scannerInformation", _f("scannerMACAddress, scannerID, scannerSerialNumber, version")),
-        Group(_B, _f("storageLocation")),
-        Group("bagResp/hdr", _f("correlationID, scanActionCode, actionStation, userID, transactionID")),
-        Group("bagResp", _f("responseCode, responseMessage, bagKey")),
-        Group(f"{_B}/pax", _f("firstName, lastName, paxStat")),
         Group(
-            f"{_B}/flightInfo",
-            _f(
-                "arrivalStation, carrierCode, flightNumber, departureDate, flightStatus, departureGate, "
-                "localEstimatedDepartureDate, localEstimateArrivalDate, localScheduledArrivalDate, "
-                "localScheduledDepartureDate, departureBagSectorNumber, isInternational, acftNumber, isRDLFlight, "
-                "tailTipIndicator, equipmentCode, freezeWeightIndicator, tailNumber, carrierType, "
-                "opsLegSequenceNumber, psgrStatus, fltLclOrigDt, isWideBody, equipmentDescription, isCurrent, "
-                "isOriginal, isActive, flightType, pier, arrivalBagClaimUnitedID, sectorCode, "
-                "originOccuranceNumber, destinationOccuranceNumber, isSTARFlight, isPriorityFlight, loadStatus, "
-                "localScanTimestamp, legSequenceNumber, bagTagNumber, type, isPriority, primaryBagType, "
-                "currentSectorNumber, originalSectorNumber, isAnimalOK, isCrateOK"
+            "bagResp/hdr/scannerInformation",
+            ("scannerMACAddress", "scannerID", "scannerSerialNumber", "version"),
+        ),
+        Group(
+            "bagResp/bagRespInfo",
+            ("storageLocation",),
+        ),
+        Group(
+            "bagResp/hdr",
+            ("correlationID", "scanActionCode", "actionStation", "userID", "transactionID"),
+        ),
+        Group(
+            "bagResp",
+            ("responseCode", "responseMessage", "bagKey"),
+        ),
+        Group(
+            "bagResp/bagRespInfo/pax",
+            ("firstName", "lastName", "paxStat"),
+        ),
+        Group(
+            "bagResp/bagRespInfo/flightInfo",
+            (
+                "arrivalStation", "carrierCode", "flightNumber", "departureDate", "flightStatus",
+                "departureGate", "localEstimatedDepartureDate", "localEstimateArrivalDate",
+                "localScheduledArrivalDate", "localScheduledDepartureDate", "departureBagSectorNumber",
+                "isInternational", "acftNumber", "isRDLFlight", "tailTipIndicator", "equipmentCode",
+                "freezeWeightIndicator", "tailNumber", "carrierType", "opsLegSequenceNumber", "psgrStatus",
+                "fltLclOrigDt", "isWideBody", "equipmentDescription", "isCurrent", "isOriginal", "isActive",
+                "flightType", "pier", "arrivalBagClaimUnitedID", "sectorCode", "originOccuranceNumber",
+                "destinationOccuranceNumber", "isSTARFlight", "isPriorityFlight", "loadStatus",
+                "localScanTimestamp", "legSequenceNumber", "bagTagNumber", "type", "isPriority",
+                "primaryBagType", "currentSectorNumber", "originalSectorNumber", "isAnimalOK", "isCrateOK",
             ),
-            "bagRespInfo_",
+            prefix="bagRespInfo_",
         ),
-        # legSequenceNumber is listed twice in the source layout; it is one column
         Group(
-            f"{_B}/bagTag/lastAction",
-            _f(
-                "remark, legSequenceNumber, storageID, stageID, flightNumber, carrierCode, scanStation, "
-                "localScanTimestamp, legSequenceNumber, bagTagNumber, contentCode, type, isPriority, primaryBagType"
+            "bagResp/bagRespInfo/bagTag/lastAction",
+            (
+                "remark", "legSequenceNumber", "storageID", "stageID", "flightNumber", "carrierCode",
+                "scanStation", "localScanTimestamp", "legSequenceNumber", "bagTagNumber", "contentCode", "type",
+                "isPriority", "primaryBagType",
             ),
-            "lastAction1_",
+            prefix="lastAction1_",
         ),
         Group(
-            f"{_B}/claimInfo",
-            _f("claimServiceResponseCode, claimServiceResponseMessage, referenceNumber, worldTracerFileNumber"),
-            "claimInfo_",
+            "bagResp/bagRespInfo/claimInfo",
+            (
+                "claimServiceResponseCode", "claimServiceResponseMessage", "referenceNumber",
+                "worldTracerFileNumber",
+            ),
+            prefix="claimInfo_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/bagTag/lastAction/lastAction",
+            (
+                "remark", "legSequenceNumber", "storageID", "stageID", "flightNumber", "carrierCode",
+                "scanStation",
+            ),
+            prefix="lastAction2_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/bagTag",
+            (
+                "loadStatus", "localScanTimestamp", "legSequenceNumber", "bagTagNumber", "type", "isPriority",
+                "primaryBagType", "currentSectorNumber", "originalSectorNumber", "isAnimalOK", "isCrateOK",
+            ),
         ),
-        Group(f"{_B}/bagTag/lastAction/lastAction", _BM_LAST_ACTION7, "lastAction2_"),
         Group(
-            f"{_B}/bagTag",
-            _f(
-                "loadStatus, localScanTimestamp, legSequenceNumber, bagTagNumber, type, isPriority, primaryBagType, "
-                "currentSectorNumber, originalSectorNumber, isAnimalOK, isCrateOK"
+            "bagResp/bagRespInfo/bagTags",
+            (
+                "localScanTimestamp", "legSequenceNumber", "bagTagNumber", "type", "isPriority",
+                "primaryBagType",
             ),
+            prefix="bagTags_",
         ),
         Group(
-            f"{_B}/bagTags",
-            _f("localScanTimestamp, legSequenceNumber, bagTagNumber, type, isPriority, primaryBagType"),
-            "bagTags_",
+            "bagResp/bagRespInfo/bagTags/lastAction",
+            (
+                "remark", "legSequenceNumber", "storageID", "stageID", "flightNumber", "carrierCode",
+                "scanStation",
+            ),
+            prefix="bagTags_lastAction_",
         ),
-        Group(f"{_B}/bagTags/lastAction", _BM_LAST_ACTION7, "bagTags_lastAction_"),
         Group(
-            f"{_B}/currentItin/flightInfo",
-            _f(_BM_ITIN12 + ", departureBagSectorNumber"),
-            "resp_curritnr_",
+            "bagResp/bagRespInfo/currentItin/flightInfo",
+            (
+                "flightNumber", "carrierCode", "departureStation", "arrivalStation", "localEstimateArrivalDate",
+                "localEstimatedDepartureDate", "localScheduledArrivalDate", "localScheduledDepartureDate",
+                "departureGate", "isInternational", "flightStatus", "arrivalBagClaimUnitedID",
+                "departureBagSectorNumber",
+            ),
+            prefix="resp_curritnr_",
             mode="legs",
+            legs=5,
         ),
-        Group(f"{_B}/originalItin/flightInfo", _f(_BM_ITIN12 + ", sectorCode"), "resp_origitnr_", mode="legs"),
-        Group(_B, _f("printReturnCode, printReturnDescription, finalDestinationStationCd, oaConctIndicator")),
         Group(
-            f"{_B}/selectedFlights/flightInfo",
-            _f(
-                "flightNumber, carrierCode, departureStation, arrivalStation, localEstimateArrivalDate, "
-                "departureDate, departureGate, opsLegSequenceNumber"
+            "bagResp/bagRespInfo/originalItin/flightInfo",
+            (
+                "flightNumber", "carrierCode", "departureStation", "arrivalStation", "localEstimateArrivalDate",
+                "localEstimatedDepartureDate", "localScheduledArrivalDate", "localScheduledDepartureDate",
+                "departureGate", "isInternational", "flightStatus", "arrivalBagClaimUnitedID", "sectorCode",
             ),
-            "selectedFlights_",
+            prefix="resp_origitnr_",
             mode="legs",
+            legs=5,
         ),
-        Group(f"{_B}/print", _f("printType, printAddress"), "print_"),
         Group(
-            f"{_B}/bagCount",
-            _f("heavyBags, totalBagCount, totalScanCount, standBags, missingBags, quickPaks, valetBags"),
-            "bagCount_",
+            "bagResp/bagRespInfo",
+            (
+                "printReturnCode", "printReturnDescription", "finalDestinationStationCd", "oaConctIndicator",
+            ),
+        ),
+        Group(
+            "bagResp/bagRespInfo/selectedFlights/flightInfo",
+            (
+                "flightNumber", "carrierCode", "departureStation", "arrivalStation", "localEstimateArrivalDate",
+                "departureDate", "departureGate", "opsLegSequenceNumber",
+            ),
+            prefix="selectedFlights_",
+            mode="legs",
+            legs=5,
         ),
-        # totalTransferBags is read both as a leaf here and as a subtree below
-        Group(f"{_B}/missingBagSummaryBySector", _f("totalTransferBags, totalCityBags, totalOtherBags")),
         Group(
-            f"{_B}/missingBagSummaryBySector/totalTransferBags/tbBysector",
-            _f("count, sector"),
-            "missingBagSummaryBySector_tbBysector_",
+            "bagResp/bagRespInfo/print",
+            ("printType", "printAddress"),
+            prefix="print_",
         ),
-        Group(f"{_B}/brTransRes/pax", _f("firstName, lastName"), "brTransRes_pax_"),
         Group(
-            f"{_B}/brTransRes/bagTag",
-            _f(
-                "loadStatus, localScanTimestamp, bagTagNumber, contentCode, isPriority, primaryBagType, "
-                "secondaryBagType, currentSectorNumber, originalSectorNumber"
+            "bagResp/bagRespInfo/bagCount",
+            (
+                "heavyBags", "totalBagCount", "totalScanCount", "standBags", "missingBags", "quickPaks",
+                "valetBags",
             ),
-            "brTransRes_bagtag_",
+            prefix="bagCount_",
         ),
         Group(
-            f"{_B}/brTransRes/scannedFltInfo/flightInfo",
-            _f(_BM_FLT27_HEAD + ", authorityToLoad, csrAuthorityToLoad"),
-            "brTransRes_scannedFltInfo_",
+            "bagResp/bagRespInfo/missingBagSummaryBySector",
+            ("totalTransferBags", "totalCityBags", "totalOtherBags"),
         ),
         Group(
-            f"{_B}/brTransRes/currentItin/flightInfo",
-            _f(_BM_FLT27_HEAD + ", isOriginal, opsLegSequenceNumber"),
-            "brTransRes_currentItin_",
+            "bagResp/bagRespInfo/missingBagSummaryBySector/totalTransferBags/tbBysector",
+            ("count", "sector"),
+            prefix="missingBagSummaryBySector_tbBysector_",
         ),
         Group(
-            f"{_B}/connectingPaxBagRec/ConnectionBags",
-            _f("bagCount, sector, destination, flightNumber, minsToDep, departureGate"),
-            "ConnectionBags_",
+            "bagResp/bagRespInfo/brTransRes/pax",
+            ("firstName", "lastName"),
+            prefix="brTransRes_pax_",
         ),
-        Group(f"{_B}/storageCounts/bagTagsWCHR", _f("fwdCount, rearCount"), "bagTagsWCHR_"),
-        Group(f"{_B}/storageCounts/bagTagsOTHR", _f("fwdCount, rearCount"), "bagTagsOTHR_"),
         Group(
-            f"{_B}/scanService/flightInfo",
-            _f("flightNumber, carrierCode, departureStation, arrivalStation, departureDate"),
-            "scanService_flightInfo_",
+            "bagResp/bagRespInfo/brTransRes/bagTag",
+            (
+                "loadStatus", "localScanTimestamp", "bagTagNumber", "contentCode", "isPriority",
+                "primaryBagType", "secondaryBagType", "currentSectorNumber", "originalSectorNumber",
+            ),
+            prefix="brTransRes_bagtag_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/brTransRes/scannedFltInfo/flightInfo",
+            (
+                "flightNumber", "carrierCode", "departureStation", "arrivalStation", "localEstimateArrivalDate",
+                "localEstimatedDepartureDate", "localScheduledArrivalDate", "localScheduledDepartureDate",
+                "departureGate", "isInternational", "acftNumber", "tailNumber", "equipmentCode", "flightStatus",
+                "carrierType", "isWideBody", "equipmentDescription", "fltLclOrigDt", "departureBagSectorNumber",
+                "isRDLFlight", "tailTipIndicator", "freezeWeightIndicator", "isCurrent", "isActive",
+                "psgrStatus", "authorityToLoad", "csrAuthorityToLoad",
+            ),
+            prefix="brTransRes_scannedFltInfo_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/brTransRes/currentItin/flightInfo",
+            (
+                "flightNumber", "carrierCode", "departureStation", "arrivalStation", "localEstimateArrivalDate",
+                "localEstimatedDepartureDate", "localScheduledArrivalDate", "localScheduledDepartureDate",
+                "departureGate", "isInternational", "acftNumber", "tailNumber", "equipmentCode", "flightStatus",
+                "carrierType", "isWideBody", "equipmentDescription", "fltLclOrigDt", "departureBagSectorNumber",
+                "isRDLFlight", "tailTipIndicator", "freezeWeightIndicator", "isCurrent", "isActive",
+                "psgrStatus", "isOriginal", "opsLegSequenceNumber",
+            ),
+            prefix="brTransRes_currentItin_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/connectingPaxBagRec/ConnectionBags",
+            ("bagCount", "sector", "destination", "flightNumber", "minsToDep", "departureGate"),
+            prefix="ConnectionBags_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/storageCounts/bagTagsWCHR",
+            ("fwdCount", "rearCount"),
+            prefix="bagTagsWCHR_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/storageCounts/bagTagsOTHR",
+            ("fwdCount", "rearCount"),
+            prefix="bagTagsOTHR_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/scanService/flightInfo",
+            ("flightNumber", "carrierCode", "departureStation", "arrivalStation", "departureDate"),
+            prefix="scanService_flightInfo_",
         ),
         Group(
-            f"{_B}/scanService/flightIndicators",
-            _f("isRDLFlight, tailTipIndicator, freezeWeightIndicator, epnfStatus, acceptLoadPlanProcess, isMELAck"),
-            "scanService_flightIndicators_",
+            "bagResp/bagRespInfo/scanService/flightIndicators",
+            (
+                "isRDLFlight", "tailTipIndicator", "freezeWeightIndicator", "epnfStatus",
+                "acceptLoadPlanProcess", "isMELAck",
+            ),
+            prefix="scanService_flightIndicators_",
         ),
         Group(
-            f"{_B}/scanService/flightIndicators/xclrIndicators",
-            _f(
-                "arcftXCLRCompliant, btwPaperAndXCLRIndicator, btwPaperIndicator, btwState, btwXCLRIndicator, "
-                "irropIndicator, overallPaperAndXCLRIndicator, overallXCLRComplaint, pltManualOverrideIndicator, "
-                "previousXCLRStatus, xCLRStatusAtIRROPStr, xCLRStatus"
+            "bagResp/bagRespInfo/scanService/flightIndicators/xclrIndicators",
+            (
+                "arcftXCLRCompliant", "btwPaperAndXCLRIndicator", "btwPaperIndicator", "btwState",
+                "btwXCLRIndicator", "irropIndicator", "overallPaperAndXCLRIndicator", "overallXCLRComplaint",
+                "pltManualOverrideIndicator", "previousXCLRStatus", "xCLRStatusAtIRROPStr", "xCLRStatus",
             ),
-            "xclrIndicators_",
+            prefix="xclrIndicators_",
         ),
         Group(
-            f"{_B}/bagInfoList/pax",
-            _f("firstName, lastName, loadStatus, legSequenceNumber, bagTagNumber, isPriority, primaryBagType"),
-            "bagInfoList_pax_",
+            "bagResp/bagRespInfo/bagInfoList/pax",
+            (
+                "firstName", "lastName", "loadStatus", "legSequenceNumber", "bagTagNumber", "isPriority",
+                "primaryBagType",
+            ),
+            prefix="bagInfoList_pax_",
         ),
         Group(
-            f"{_B}/bagInfoList/ppbmHeldOff",
-            _f("reasonCode, reasonDescription, channelCode, agentID"),
-            "ppbmHeldOff_",
+            "bagResp/bagRespInfo/bagInfoList/ppbmHeldOff",
+            ("reasonCode", "reasonDescription", "channelCode", "agentID"),
+            prefix="ppbmHeldOff_",
+        ),
+        Group(
+            "bagResp/bagRespInfo/bagInfoList/bagTag",
+            ("loadStatus", "localScanTimestamp", "bagTagNumber"),
+            prefix="bagInfoList_bagtag_",
         ),
-        Group(f"{_B}/bagInfoList/bagTag", _f("loadStatus, localScanTimestamp, bagTagNumber"), "bagInfoList_bagtag_"),
     ),
 )
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: XML payloads (columns ``cepPayload`` and ``bmPayload``)
-# Only leg slot 0 of each itinerary is emitted.
+# FIXED VALUES: cep XML payload (column ``cepPayload``)
 # ---------------------------------------------------------------------------
-_D = "Envelope/Body/bagDetails"
-_EVENT = _f("eventName, eventCreationSys, eventCreationDtm, eventActionCd, eventID, version")
-_BAG_DETAILS = _f("tagNbr, tagUniqKey, tagIssDtm, bagTagActvInd")
-_BAG_INFO = _f(
-    "bagOrigArpt, bagTermArpt, tagPrimaryType, primaryTypePriority, isPriority, isHeavy, isRush, isSelectee, printerId"
-)
-_PAX = _f("psgrLastName, psgrFirstName, psgrPnr")
-_ITIN_HEAD = (
-    "fltLegActvInd, carrIataCd, fltNbr, legLclDepDt, legGmtDepDt, fltLclOrigDt, origArptCd, destArptCd, "
-    "cogInd, psgrChkInSeqNbr, legSqnrNbr, bagClassCd, bagSecurityStatCd"
-)
-
 CEP_XML = FlattenSpec(
     name="cep_xml",
     groups=(
-        Group("Envelope/eventHeader", _EVENT),
-        Group(_D, _BAG_DETAILS),
-        Group(f"{_D}/bagInfo", _BAG_INFO),
-        Group(f"{_D}/paxInfo", _PAX),
-        Group(
-            f"{_D}/bagCurrentItineraries/bagItineraryDtl",
-            _f(
-                _ITIN_HEAD + ", csrAuthReasonCd, csrAuthReasonDesc, atlReasonCd, atlReasonDesc, authToLoad, "
-                "bagStatus, origSector, currSector, psgrStatus, handlingStatus, reflightType, storageId, "
-                "isAdvanced, isBM"
-            ),
-            "curr_itne_",
+        Group(
+            "Envelope/eventHeader",
+            (
+                "eventName", "eventCreationSys", "eventCreationDtm", "eventActionCd", "eventID", "version",
+            ),
+        ),
+        Group(
+            "Envelope/Body/bagDetails",
+            ("tagNbr", "tagUniqKey", "tagIssDtm", "bagTagActvInd"),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagInfo",
+            (
+                "bagOrigArpt", "bagTermArpt", "tagPrimaryType", "primaryTypePriority", "isPriority", "isHeavy",
+                "isRush", "isSelectee", "printerId",
+            ),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/paxInfo",
+            ("psgrLastName", "psgrFirstName", "psgrPnr"),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagCurrentItineraries/bagItineraryDtl",
+            (
+                "fltLegActvInd", "carrIataCd", "fltNbr", "legLclDepDt", "legGmtDepDt", "fltLclOrigDt",
+                "origArptCd", "destArptCd", "cogInd", "psgrChkInSeqNbr", "legSqnrNbr", "bagClassCd",
+                "bagSecurityStatCd", "csrAuthReasonCd", "csrAuthReasonDesc", "atlReasonCd", "atlReasonDesc",
+                "authToLoad", "bagStatus", "origSector", "currSector", "psgrStatus", "handlingStatus",
+                "reflightType", "storageId", "isAdvanced", "isBM",
+            ),
+            prefix="curr_itne_",
             mode="legs",
             legs=1,
         ),
         Group(
-            f"{_D}/bagOriginalItineraries/bagItineraryDtl",
-            _f(
-                _ITIN_HEAD + ", csrAuthReasonCd, csrAuthReasonDesc, atlReasonCd, atlReasonDesc, authToLoad, "
-                "origSector, currSector, psgrStatus, storageId, isAdvanced"
+            "Envelope/Body/bagDetails/bagOriginalItineraries/bagItineraryDtl",
+            (
+                "fltLegActvInd", "carrIataCd", "fltNbr", "legLclDepDt", "legGmtDepDt", "fltLclOrigDt",
+                "origArptCd", "destArptCd", "cogInd", "psgrChkInSeqNbr", "legSqnrNbr", "bagClassCd",
+                "bagSecurityStatCd", "csrAuthReasonCd", "csrAuthReasonDesc", "atlReasonCd", "atlReasonDesc",
+                "authToLoad", "origSector", "currSector", "psgrStatus", "storageId", "isAdvanced",
             ),
-            "original_itne_",
+            prefix="original_itne_",
             mode="legs",
             legs=1,
         ),
     ),
     extra={
-        # read (and validated) but not part of the established output
         "scan_detail": (
-            f"{_D}/bagScans/bagScanDtl",
-            _f(
-                "carrIataCd, fltNbr, origArptCd, destArptCd, scanLclDtm, uploadScanLclDtm, scanLocation, "
-                "pbRemark, scanType, agntId"
+            "Envelope/Body/bagDetails/bagScans/bagScanDtl",
+            (
+                "carrIataCd", "fltNbr", "origArptCd", "destArptCd", "scanLclDtm", "uploadScanLclDtm",
+                "scanLocation", "pbRemark", "scanType", "agntId",
             ),
         ),
     },
 )
 
-_BM_XML_ITIN = _f(_ITIN_HEAD + ", isActionLeg, bagStatus, psgrStatus, isAdvanced")
+# ---------------------------------------------------------------------------
+# FIXED VALUES: bm XML payload (column ``bmPayload``)
+# ---------------------------------------------------------------------------
 BM_XML = FlattenSpec(
     name="bm_xml",
     groups=(
-        Group("Envelope/eventHeader", _EVENT),
-        Group(_D, _BAG_DETAILS),
-        Group(f"{_D}/bagInfo", _BAG_INFO),
         Group(
-            f"{_D}/bagInfo/tagBagType",
+            "Envelope/eventHeader",
+            (
+                "eventName", "eventCreationSys", "eventCreationDtm", "eventActionCd", "eventID", "version",
+            ),
+        ),
+        Group(
+            "Envelope/Body/bagDetails",
+            ("tagNbr", "tagUniqKey", "tagIssDtm", "bagTagActvInd"),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagInfo",
+            (
+                "bagOrigArpt", "bagTermArpt", "tagPrimaryType", "primaryTypePriority", "isPriority", "isHeavy",
+                "isRush", "isSelectee", "printerId",
+            ),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagInfo/tagBagType",
             ("BagTypeCd", "Priority"),
             rename=(("BagTypeCd", "TagTypeCd"),),
         ),
-        Group(f"{_D}/paxInfo", _PAX),
-        Group(f"{_D}/bagCurrentItineraries/bagItineraryDtl", _BM_XML_ITIN, "curr_itne_", mode="legs", legs=1),
-        Group(f"{_D}/bagOriginalItineraries/bagItineraryDtl", _BM_XML_ITIN, "original_itne_", mode="legs", legs=1),
+        Group(
+            "Envelope/Body/bagDetails/paxInfo",
+            ("psgrLastName", "psgrFirstName", "psgrPnr"),
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagCurrentItineraries/bagItineraryDtl",
+            (
+                "fltLegActvInd", "carrIataCd", "fltNbr", "legLclDepDt", "legGmtDepDt", "fltLclOrigDt",
+                "origArptCd", "destArptCd", "cogInd", "psgrChkInSeqNbr", "legSqnrNbr", "bagClassCd",
+                "bagSecurityStatCd", "isActionLeg", "bagStatus", "psgrStatus", "isAdvanced",
+            ),
+            prefix="curr_itne_",
+            mode="legs",
+            legs=1,
+        ),
+        Group(
+            "Envelope/Body/bagDetails/bagOriginalItineraries/bagItineraryDtl",
+            (
+                "fltLegActvInd", "carrIataCd", "fltNbr", "legLclDepDt", "legGmtDepDt", "fltLclOrigDt",
+                "origArptCd", "destArptCd", "cogInd", "psgrChkInSeqNbr", "legSqnrNbr", "bagClassCd",
+                "bagSecurityStatCd", "isActionLeg", "bagStatus", "psgrStatus", "isAdvanced",
+            ),
+            prefix="original_itne_",
+            mode="legs",
+            legs=1,
+        ),
     ),
     extra={
         "scan_detail": (
-            f"{_D}/bagScans/bagScanDtl",
-            _f("scanLclDtm, uploadScanLclDtm, scanLocation, pbRemark, scanType, agntId"),
+            "Envelope/Body/bagDetails/bagScans/bagScanDtl",
+            ("scanLclDtm", "uploadScanLclDtm", "scanLocation", "pbRemark", "scanType", "agntId"),
         ),
     },
 )
