@@ -15,11 +15,11 @@ document is kept if it passes the base rules and neither distance is above its
 limit.
 
 The references come from all documents with a language: a frequent-items
-aggregate over every word names each language's common words; their shares and
-those of the classes are exact sums over the measured documents. Both send one
-small row per language and task. What reaches the driver is bounded by
-``MAX_LANGS`` languages times ``COMMON`` words and the classes, checked. Texts are
-read twice and never shuffled; the measures are written once to the shared folder.
+aggregate over every word names candidates for each language's common words, which
+are then counted; their shares and those of the classes are exact sums over the
+measured documents. All of these send few small rows per language and task. What reaches the driver is bounded by
+``MAX_LANGS`` languages times ``CANDIDATES`` words and the classes, checked. Texts are
+read three times and never shuffled; the measures are written once to the shared folder.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; with no
 labelled document there is no reference and only the base rules decide; a
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, let, stored, words
 
 COMMON = 12
-SKETCH_ITEMS = 16384
+CANDIDATES, SKETCH_ITEMS = 4 * COMMON, 16384
 MAX_LANGS = 256
 MIN_CHARS, MIN_WORDS = 200, 50
 #: Limits of the two distances.
@@ -142,14 +142,24 @@ def features(docs: DataFrame, carry: list[str], vocabulary: list[str]) -> DataFr
 
 
 def common_words(docs: DataFrame) -> dict[str, list[str]]:
-    """The ``COMMON`` most frequent words of each language in ``docs``, by a frequent-items
-    sketch over every word (its error is far below the share of a common word)."""
-    each = docs.where("lang IS NOT NULL").select("lang", F.explode(words(F.col("text"))).alias("w"))
-    top = each.groupBy("lang").agg(F.expr(f"approx_top_k(w, {COMMON}, {SKETCH_ITEMS})").alias("top"))
+    """The ``COMMON`` most frequent words of each language in ``docs`` (of equals, the first by
+    code point). A frequent-items sketch over every word names ``CANDIDATES`` for each
+    language, its error being far below the share of a common word; a second pass
+    counts those exactly."""
+    known = docs.where("lang IS NOT NULL").select("lang", words(F.col("text")).alias("w"))
+    top = known.select("lang", F.explode("w").alias("w")).groupBy("lang").agg(F.expr(f"approx_top_k(w, {CANDIDATES}, {SKETCH_ITEMS})").alias("top"))
     found = top.limit(MAX_LANGS + 1).collect()
     if len(found) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    return {r.lang: sorted(x.item for x in r.top) for r in sorted(found, key=lambda r: r.lang)}
+    names = sorted({x.item for r in found for x in r.top})
+    if not names:
+        return {}
+    hits = known.select("lang", F.explode(F.filter("w", lambda x: x.isin(names))).alias("w"))
+    out: dict[str, list[str]] = {}
+    for r in sorted(hits.groupBy("lang", "w").count().collect(), key=lambda r: (-r["count"], r.w)):  # languages x candidates
+        if len(out.setdefault(r.lang, [])) < COMMON:
+            out[r.lang].append(r.w)
+    return {lang: sorted(ws) for lang, ws in sorted(out.items())}
 
 
 def references(measured: DataFrame, common: dict[str, list[str]], vocabulary: list[str]) -> list[tuple[list[float], list[float]]]:
@@ -210,10 +220,10 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
-    """One row per document with the base columns, the verdict and both distances."""
+    """One row per document with the base columns and the verdict."""
     out = judged(docs.select("doc_id", "text", "lang"), ["doc_id", "lang"])
     return out.select("doc_id", *[F.col(f"__{n}").alias(n) for n in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_js", "word_js")])
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

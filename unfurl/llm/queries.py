@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, fingerprint, langid, lm, mixing, quality, separator_scan, simhash_dedup, token_files, warc
 from .common import table
+from .oracles import ORACLE  # noqa: F401
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +68,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
