@@ -1,0 +1,86 @@
+"""Mixing against a plain walk in hash order, nested budgets, odd rows."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from unfurl.llm import mixing as M
+from unfurl.llm.common import table
+
+
+def brute(rows, weights=(1, 2, 3), most=3):
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, _, t in rows]
+    own = defaultdict(int)
+    for (_, s, _), n in zip(rows, size):
+        own[s] += n
+    order = sorted(own, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = sum(own.values()), set()
+    while True:  # share, cut what is above, share the rest anew
+        rest = total - sum(most * own[s] for s in capped)
+        open_w = sum(w[s] for s in own if s not in capped)
+        target = {s: float(most * own[s]) if s in capped else rest / open_w * w[s] for s in own}
+        above = {s for s in own if s not in capped and target[s] > most * own[s]}
+        if not above:
+            break
+        capped |= above
+    by = defaultdict(lambda: defaultdict(int))
+    h = [int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:12], 16) for i, _, _ in rows]
+    for (_, s, _), n, x in zip(rows, size, h):
+        by[s][x] += n
+    passes, below = {}, {}
+    for s in own:
+        passes[s] = int(target[s] // own[s]) if own[s] else 0
+        budget, upto = target[s] - passes[s] * own[s], 0
+        for x in sorted(by[s]):
+            if upto + by[s][x] >= budget:
+                below[s] = x + 1 if upto + by[s][x] - budget < budget - upto else x
+                break
+            upto += by[s][x]
+    return sorted(((i, n, own[s], pytest.approx(target[s], rel=1e-12), n * (passes[s] + (x < below[s]))) for (i, s, _), n, x in zip(rows, size, h)), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[4]))
+
+
+def report(df):
+    return sorted((tuple(r) for r in M.mix_report(df).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[4]))
+
+
+def test_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = report(docs)
+    assert got == brute([(r.doc_id, r.source, r.text) for r in docs.collect()])
+    assert report(docs.repartition(13)) == got  # reruns agree, however rows are dealt
+    taken, goal = defaultdict(int), {}
+    for (_, _, own, target, n), r in zip(got, sorted(docs.select("doc_id", "source").collect())):
+        taken[r.source] += n
+        goal[r.source] = target
+    assert all(n <= 3 * size for _, size, _, _, n in got)
+    assert all(abs(taken[s] - goal[s]) <= 5200 for s in goal)  # within the longest document
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_sources(spark, seed):
+    rng = random.Random(seed)
+    names = [None, "", "a", "B", "é", "中", "z1", "z2"]
+    rows = [(rng.randrange(400), names[min(7, int(rng.expovariate(0.6)))], "w " * rng.choice([0, 1, 2, 5, 30])) for _ in range(rng.choice([3, 60, 400]))]
+    assert report(spark.createDataFrame(rows, "doc_id long, source string, text string")) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None), (None, "a", "x y"), (2, "a", "x"), (2, "a", "x"), (3, "b", ""), (4, "c", "w " * 60_000)]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, source string, text string, size int, passes int, hash int")
+    assert report(docs) == brute(rows)
+    out = M.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert out.select(F.sum(M.n_words(F.col("text")))).collect()[0][0] == sum(r[4] for r in report(docs))
+    assert M.mix_report(docs.limit(0)).count() == 0 and M.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_smaller_budgets_are_part_of_larger_ones(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").withColumn("source", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b"))
+    small = {r.doc_id for r in M.mix(docs, (1, 9), keep=("doc_id", "source")).where("source = 'a' AND __mix_copies > 0").collect()}
+    large = {r.doc_id for r in M.mix(docs, (3, 7), keep=("doc_id", "source")).where("source = 'a' AND __mix_copies > 0").collect()}
+    assert small and small < large

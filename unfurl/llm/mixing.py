@@ -112,11 +112,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = M
     (how often it is taken)."""
     sized = stored(docs.select("source", n_words(F.col("text")).alias("size"), doc_hash(F.col("doc_id")).alias("hash")), "mix-sizes")
     goals = stored(targets(sized, weights, max_passes), "mix-targets")
-    plan = thresholds(sized, goals, "mix-threshold").select(F.col("source").alias("__mix_source"), F.col("source_size").alias("__mix_size"), F.col("target").alias("__mix_target"), "passes", "threshold")
+    plan = thresholds(sized, goals, "mix-threshold").select(F.col("source").alias("__mix_source"), F.col("source_size").alias("__mix_size"), F.col("target").alias("__mix_target"), F.col("passes").alias("__mix_passes"), F.col("threshold").alias("__mix_threshold"))
     names = list(keep or docs.columns)
     own = docs.select(*names, F.col("source").alias("__mix_s"), n_words(F.col("text")).alias("__mix_n"), doc_hash(F.col("doc_id")).alias("__mix_h"))
     out = own.join(plan, F.col("__mix_s").eqNullSafe(F.col("__mix_source")), "left")
-    copies = F.col("passes") + F.when(F.col("__mix_h") < F.col("threshold"), 1).otherwise(0)
+    copies = F.col("__mix_passes") + F.when(F.col("__mix_h") < F.col("__mix_threshold"), 1).otherwise(0)
     return out.select(
         *[own[n] for n in names],
         F.col("__mix_n").alias("__mix_doc"), F.col("__mix_size"), F.col("__mix_target"),
