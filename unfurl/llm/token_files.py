@@ -16,10 +16,9 @@ Each task writes files of at most about ``FILE_TOKENS`` ids; a file appears only
 and the table of files (one row a file) holds those of tasks that succeeded. Start
 offsets come from a running sum over that table.
 
-The tokenizers library encodes. A byte-level vocabulary whose pre-tokenizer splits by the
-fixed pattern encodes each match by itself, so each distinct match is given to the library
-once per task and remembered (bounded; forgetting changes no result); for any other
-vocabulary the library gets whole texts.
+The tokenizers library encodes whole texts; with a byte-level vocabulary a task gives it
+each distinct part between single spaces once and remembers its ids (bounded;
+forgetting changes no result).
 
 Defined cases: a NULL text has the end id alone; rows with equal ids follow each
 other, by text; NULL ids come first; an empty table gives no file and no row; further
@@ -36,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -48,7 +46,8 @@ from .files import NewFile, open_file
 
 MAGIC = b"PFORTOK1"
 BLOCK, PERCENTILE, FILE_TOKENS, END_ID = 1024, 0.9, 1 << 23, 2
-REMEMBERED = 400_000
+#: Parts that a task remembers.
+REMEMBERED = 1_000_000
 _TRAILER = struct.Struct("<8sIQQQ")
 _HEAD = struct.Struct("<IBH")
 _AT_ONCE = 256  # blocks packed or unpacked together
@@ -203,10 +202,14 @@ class TokenFile:
 
 # ---- encoding -----------------------------------------------------------------
 class LibraryEncoder:
-    """Ids (little-endian u32 bytes) of whole texts by the tokenizers library."""
+    """Ids (little-endian u32 bytes) of whole texts by the tokenizers library.
 
-    #: The pattern by which byte-level pre-tokenizers split (fixed value of the vocabulary's format).
-    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    A byte-level pre-tokenizer never joins what stands on both sides of a single space, and gives
+    that space to what follows. So where a text's spaces are single and no other white space
+    touches them, its ids are those of its parts ``" part"`` in order. New parts of many
+    texts go to the library as one text, whose ids are cut by the bytes they stand
+    for; parts seen before are looked up. Any other text goes to the library whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -216,25 +219,50 @@ class LibraryEncoder:
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         pre = made.get("pre_tokenizer") or {}
-        by_match = not made.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        self.split = regex.compile(self.PATTERN) if by_match and not made.get("truncation") and not made.get("padding") else None
+        self.by_part = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+                        and not any(made.get(k) for k in ("normalizer", "truncation", "padding")))
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        # a byte-level token has one character for each byte it stands for
+        self.n_bytes = np.zeros(1 + max(vocabulary.values(), default=0), np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 2048):
+            some = parts[at:at + 2048]
+            (e,) = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([1 + len(p.encode("utf-8", "surrogatepass")) for p in some])
+            raw, cuts = ids.tobytes(), [0, *(4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()]
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.split is None:
-            return self._encode(texts)
-        known, out = self.known, []
+        if not self.by_part:
+            return self._whole(texts)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known, new, split = self.known, set(), []
         for text in texts:
-            matches = self.split.findall(text)
-            new = list({m for m in matches if m not in known})
-            for at in range(0, len(new), 4096):
-                known.update(zip(new[at:at + 4096], self._encode(new[at:at + 4096])))
-            out.append(b"".join(map(known.__getitem__, matches)))
-            if len(known) > REMEMBERED:
-                known.clear()
+            parts = text.split(" ")
+            split.append(parts)
+            new.update(set(parts[1:]).difference(known))
+        new = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        self._learn(new)
+        firsts = self._whole([p[0] for p in split])
+        out: list[bytes | None] = []
+        for parts, first in zip(split, firsts):
+            try:
+                ok = len(parts) == 1 or (parts[0] and not parts[0][-1].isspace())
+                out.append(b"".join([first, *map(known.__getitem__, parts[1:])]) if ok else None)
+            except KeyError:  # other white space
+                out.append(None)
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._whole([texts[i] for i in rest])):
+            out[i] = x
         return out
 
 
