@@ -158,7 +158,8 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks:
         return F.coalesce(*[F.when(x.bitwiseAND(F.lit(_signed(m))) == 0, F.lit(i)) for i, m in enumerate(masks)]).cast("byte")
 
     q, p = tables(queries.select("fp").distinct(), "query"), tables(prints.select("fp").distinct(), "fp")
-    return q.join(p, (q["j"] == p["j"]) & (q["key"] == p["key"])
+    # sort-merge: Spark estimates a table of 20 rows a fingerprint by the fingerprints alone, and would broadcast it
+    return q.join(p.hint("merge"), (q["j"] == p["j"]) & (q["key"] == p["key"])
                   & (F.bit_count(F.col("query").bitwiseXOR(F.col("fp"))) <= radius)
                   & (first_table(F.col("query"), F.col("fp")) == p["j"])).select("query", "fp")
 
