@@ -143,11 +143,11 @@ class _Plan:
         return node
 
     def _base(self, steps) -> tuple[str, str, list[str]]:
-        """The innermost first-element column above a node, its JSON text, and the keys below it."""
+        """The innermost first-element column above a node, its JSON text (read anew from the
+        payload: only rare branches use it), and the keys below it."""
         for i in range(len(steps), 0, -1):
             if steps[:i] in self.first_col:
-                col = self.first_col[steps[:i]]
-                return V.ident(col), V.ident(col + "t"), [s.key for s in steps[i:]]
+                return V.ident(self.first_col[steps[:i]]), f"get({self._texts(steps[:i])}, 0)", [s.key for s in steps[i:]]
         return V.ident(_V), V.ident(_T), [s.key for s in steps]
 
     def _array(self, steps) -> tuple[str, str, str]:
@@ -166,25 +166,13 @@ class _Plan:
         keys = [*keys, steps[-1].key]
         return ".".join([_from_json(text, _path_ddl(keys, "array<string>")), *map(V.ident, keys)])
 
-    def first_exprs(self, steps) -> list[str]:
-        """The first element of an array node, and its JSON text where something below may need it."""
+    def first_expr(self, steps) -> str:
+        """The first element of an array node."""
         col, member = self.first_col[steps], self._member(steps)
         arr, mixed, objects = self._array(steps)
         element = member.ddl().removeprefix("array<").removesuffix(">")
-        text = f"get({self._texts(steps)}, 0)"
-        needed = mixed if not self._text_below(steps) else f"({mixed} OR {arr} IS NOT NULL)"
-        again = f"CASE WHEN get({objects}, 0) IS NOT NULL THEN {_from_json(text, element)} END"
-        return [f"CASE WHEN {mixed} THEN {again} ELSE get({arr}, 0) END AS {col}",
-                f"CASE WHEN {needed} THEN {text} END AS {col}t"]
-
-    def _text_below(self, steps) -> bool:
-        return any(len(st) > len(steps) and st[:len(steps)] == steps for st in self._text_nodes())
-
-    def _text_nodes(self) -> list:
-        """Nodes whose own reading may need the text of the element they are in."""
-        out = [(*g.steps, Step(f)) for g in self.spec.groups for f in g.fields if self._member(g.steps).members[f].leaf]
-        out += [st for st in self.first_col]
-        return out + [st for st, mode in self.group_col if mode == "legs"]
+        again = f"CASE WHEN get({objects}, 0) IS NOT NULL THEN {_from_json(f'get({self._texts(steps)}, 0)', element)} END"
+        return f"CASE WHEN {mixed} THEN {again} ELSE get({arr}, 0) END AS {col}"
 
     def group_exprs(self) -> list[str]:
         out = []
@@ -294,8 +282,8 @@ class _Plan:
         ).selectExpr(*carry, _T, f"{V.parse_strict(_T)} AS {_W}", f"{_from_json(_T, self.tree.ddl())} AS {_V}")
         firsts: list[str] = []
         for steps in self.first_col:  # outer before inner
-            out = out.selectExpr(*carry, _T, _W, _V, *firsts, *self.first_exprs(steps))
-            firsts += [self.first_col[steps], self.first_col[steps] + "t"]
+            out = out.selectExpr(*carry, _T, _W, _V, *firsts, self.first_expr(steps))
+            firsts.append(self.first_col[steps])
         return out.selectExpr(*carry, _T, _W, *self.group_exprs(), *self.leaf_text_exprs())
 
 
