@@ -78,7 +78,10 @@ def test_daily_jobs_end_to_end(spark, tmp_dir):
 def test_entry_contract(spark):
     import __spark_entry__ as E
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    from workloads.registry import ORACLE, QUERIES
+
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
     df = E.entry(spark)
     assert len(df.columns) == 315
     assert df.count() > 0
