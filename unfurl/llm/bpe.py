@@ -44,7 +44,7 @@ LEAF_BYTES, LEAF_CHARS = 32, 1 << 15
 #: Characters beyond its end that may decide a match: the longest contraction has three.
 LOOK = 4
 #: Matches whose tokens a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
