@@ -81,6 +81,42 @@ def test_salvage_recovers_all_other_records(zipped):
             assert any(x[0] == "gap" for x in got)
 
 
+def test_very_long_urls(spark):
+    rows = [(1, "http://x/" + "a" * 70_000, "one"), (2, "http://x/" + " " * 30_000, "two"), (3, "u" * 600_000, "z" * 5000), (4, "u", "z" * 5000), (5, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((tuple(r) for r in warc.warc_report(pages).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("zipped", [True, False])
+def test_salvage_of_very_long_headers(zipped):
+    parts = []
+    for i, n in enumerate([5, 70_000, warc.READ_BYTES - 300, warc.READ_BYTES, 3 * warc.READ_BYTES, 5]):
+        rec = warc.record(i, "u" * n, b"body", hashlib.sha1(b"body").hexdigest(), 4, None, "response")
+        parts.append(gzip.compress(rec, mtime=0) if zipped else rec)
+    got = salvage(b"".join(parts))
+    assert [(x[0], warc._id(x[3]["warc-record-id"])) for x in got] == [("record", i) for i in range(6)]
+    for n in range(warc.READ_BYTES - 320, warc.READ_BYTES - 280):  # the end of the headers across the end of a read
+        rec = warc.record(9, "u" * n, b"", hashlib.sha1(b"").hexdigest(), 0, None, "response")
+        assert [x[0] for x in salvage(rec + parts[0] if not zipped else gzip.compress(rec, 1) + parts[0])] == ["record"] * 2
+
+
+def test_headers_that_do_not_end_cost_only_themselves():
+    parts = members(3, False)
+    data = parts[0] + b"WARC/1.1\r\nA: " + b"x" * (2 * warc.READ_BYTES) + b"\r\n" + parts[1] + parts[2] + b"WARC/1.1\r\nB: y"
+    got = salvage(data)
+    assert [x[0] for x in got] == ["record", "gap", "record", "record", "gap"]
+    assert [x[3] for x in got if x[0] == "gap"] == ["malformed header", "headers do not end"]
+
+
+def test_a_gap_is_an_error_where_archives_must_be_whole(spark, tmp_dir):
+    parts = members(4)
+    path = os.path.join(tmp_dir, "a.warc.gz")
+    with open(path, "wb") as f:
+        f.write(parts[0] + parts[1][:-9] + parts[2])
+    with pytest.raises(Exception, match="has a gap from byte"):
+        warc.read_warc(spark.createDataFrame([(path,)], "path string"), whole=True).collect()
+
+
 def test_damaged_archive_through_spark(spark, tmp_dir):
     parts = members(20)
     path = os.path.join(tmp_dir, "a.warc.gz")

@@ -45,8 +45,8 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+_NEXT_VERSION = re.compile(rb"\r\nWARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
-_MAX_HEADER = 1 << 16
 
 
 # ---- records --------------------------------------------------------------------
@@ -80,7 +80,7 @@ def parse(data: bytes, whole: bool = True) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and length of the record at the start of ``data``; raises ``Bad``."""
     if not _VERSION_LINE.match(data):
         raise Bad("no version line")
-    end = data.find(b"\r\n\r\n", 0, _MAX_HEADER)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         raise Bad("headers do not end")
     headers = {}
@@ -143,12 +143,29 @@ class Salvage:
             at += len(chunk)
         return b"".join(out), at - len(z.unused_data)
 
+    def header_size(self, start: int) -> int:
+        """Bytes from ``start`` to the empty line after the headers, however far; the search
+        ends at another version line, so that all searches of a file pass over it about once."""
+        at = start
+        while at < self.size:
+            chunk = self.bytes_at(at, min(READ_BYTES, self.size - at))
+            end, other = chunk.find(b"\r\n\r\n"), _NEXT_VERSION.search(chunk)
+            if other and (end < 0 or other.start() < end):
+                raise Bad("malformed header")
+            if end >= 0:
+                return at + end - start
+            if at + len(chunk) >= self.size:
+                break
+            at += max(1, len(chunk) - 11)  # either mark may lie across the end
+        raise Bad("headers do not end")
+
     def plain(self, start: int) -> tuple[dict[str, str], bytes, int]:
-        n = READ_BYTES
-        head = self.bytes_at(start, min(n, self.size - start))
-        m = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,18})\r\n", head[:_MAX_HEADER], re.I)
-        gap = head.find(b"\r\n\r\n", 0, _MAX_HEADER)
-        if m and gap >= 0 and m.start() < gap and gap + 8 + int(m.group(1)) <= self.size - start:
+        if not _VERSION_LINE.match(self.bytes_at(start, min(10, self.size - start))):
+            raise Bad("no version line")
+        gap = self.header_size(start)
+        head = self.bytes_at(start, min(max(READ_BYTES, gap + 4), self.size - start))
+        m = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,18})\r\n", head[:gap + 4], re.I)
+        if m and gap + 8 + int(m.group(1)) <= self.size - start:
             head = self.bytes_at(start, gap + 8 + int(m.group(1)))
         return parse(head)
 
@@ -254,8 +271,9 @@ def write_warc(pages: DataFrame, out_dir: str, least: int = REVISIT_BYTES, archi
     return stored(with_revisits(pages, least).mapInArrow(run, ARCHIVES), "warc-archives")
 
 
-def read_warc(archives: DataFrame) -> DataFrame:
-    """All records and gaps of the archives in ``archives(path)``, by salvage reading.
+def read_warc(archives: DataFrame, whole: bool = False) -> DataFrame:
+    """All records and gaps of the archives in ``archives(path)``, by salvage reading
+    (``whole``: a gap is an error).
 
     A row is a record, or a quarantined gap if ``gap_reason`` is set. ``payload_ok``: the
     payload has the stated digest (NULL for revisits, which carry none).
@@ -267,6 +285,8 @@ def read_warc(archives: DataFrame) -> DataFrame:
         file = open_file(path)
         for kind, start, end, *rest in Salvage(file, file.size()).read():
             if kind == "gap":
+                if whole:
+                    raise ValueError(f"{path} has a gap from byte {start} to {end}: {rest[0]}")
                 yield (path, start, end, rest[0], *[None] * 7)
                 continue
             headers, block = rest
@@ -298,6 +318,6 @@ def read_warc(archives: DataFrame) -> DataFrame:
 
 
 def warc_report(pages: DataFrame) -> DataFrame:
-    """One row per page, read back from the archives."""
+    """One row per page, read back from the archives, which must be whole."""
     archives = write_warc(pages, scratch_path(pages.sparkSession, "warc"))
-    return read_warc(archives).where("gap_reason IS NULL").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_warc(archives, whole=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
