@@ -2,6 +2,8 @@
 
 import zlib
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from unfurl.llm import langid as L
@@ -29,6 +31,37 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert sorted(L.language_report(docs).collect()) == sorted(L.language_report(other).collect())
 
 
+@pytest.mark.parametrize("n", [1, 3, 8, 20])
+def test_a_language_of_few_documents_is_not_rejected(spark, n):
+    docs = table(spark, SF, "documents")
+    few = sorted(r.doc_id for r in docs.where("lang = 'es' AND length(text) > 400").select("doc_id").collect())[:n]
+    model = L.fit(docs.where(F.col("lang").isin("en", "fr") | F.col("doc_id").isin(few)).select("lang", "text"))
+    got = L.predict(docs.where("lang = 'es'"), model).where("__lang = 'es'").select("doc_id", "__rejected").collect()
+    assert set(few) <= {r.doc_id for r in got if not r["__rejected"]}
+    others = [r["__rejected"] for r in got if r.doc_id not in few]
+    assert len(others) > 20 and sum(others) <= 0.05 * len(others)
+    odd = spark.createDataFrame([(1, "漢字仮名交じり文の例文です。" * 20)], "doc_id long, text string")
+    assert all(r["__rejected"] for r in L.predict(odd, model).collect())
+
+
+def test_few_documents_alone(spark):
+    docs = table(spark, SF, "documents").where("lang = 'fr' AND length(text) > 400")
+    ids = sorted(r.doc_id for r in docs.select("doc_id").collect())
+    model = L.fit(docs.where(F.col("doc_id").isin(ids[:4])).select("lang", "text"))
+    got = [r["__rejected"] for r in L.predict(docs, model).collect()]
+    assert sum(got) <= 0.05 * len(got)
+
+
+def test_limits_of_classes_with_few_texts():
+    many = (np.full(400, 0.3), np.full(400, 0.2), np.full(400, 3))
+    long = (np.append(np.full(200, 0.4), 0.02), np.append(np.full(200, 0.2), -1e-7), np.append(np.full(200, 2), 6))
+    single = (np.array([np.nan]), np.array([0.0]), np.array([6]))
+    got = L.limits_of([many, long, single])
+    assert got[0][3] == pytest.approx(0.3) and got[1][2] == pytest.approx(0.4)
+    assert got[1][6] >= 0.3 and min(got[2]) >= 0.3 and min(min(g) for g in got) >= L.FLOOR
+    assert min(L.limits_of([single])[0]) == L.FEW
+
+
 def test_far_texts_are_rejected(spark):
     docs = table(spark, SF, "documents")
     model = L.fit(docs.select("lang", "text"))

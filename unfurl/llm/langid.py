@@ -6,14 +6,16 @@ language has up to ``CLUSTERS`` centroids from spherical k-means, so that one
 language may have several kinds of text. A text's language is that of the centroid
 with the largest cosine; its score is that cosine. A text is rejected if it has no
 letter, or if its distance (1 - cosine) is beyond the limit of its nearest centroid's
-language: ``SLACK`` times the distance that all but a thousandth of the language's
-fitted texts of like length keep (short texts lie further away).
+language for texts of like length (short texts lie further away): what all but a thousandth
+of the language's texts keep from centroids made without them, or ``SLACK`` times what they
+keep from its centroids, if that is more. With fewer than ``LEAST_TEXTS`` such texts a
+language is held to no less than all languages together are (``limits_of``).
 
 Fitting takes a bounded sample, documented here: of the rows with a known label, for
 each language those ``SAMPLE`` with the smallest hash of their text. Vectors and
 clusters are made in Spark tasks, one language a group of at most ``SAMPLE`` vectors;
 the driver receives ``languages x CLUSTERS`` centroids of ``DIM`` floats and broadcasts
-them (``MAX_LANGS`` is checked, so at most 64 MB). Prediction is one narrow pass over whole
+them (``MAX_LANGS`` is checked, so at most 64 MB), and three numbers for each vector. Prediction is one narrow pass over whole
 texts.
 
 Defined cases: a NULL text or one without letters is ``und`` with score 0; rows with
@@ -40,6 +42,10 @@ DIM, MAX_N = 1 << 12, 3
 CLUSTERS, ROUNDS, SAMPLE, MAX_LANGS = 4, 12, 1500, 256
 #: A text may lie so much further off than the fitted texts of its length.
 SLACK = 1.25
+#: Parts of a language's texts, each left out of one clustering to set the limits.
+FOLDS = 4
+#: Fewer texts than these set no limit alone; with fewer in all languages it is ``FEW`` at least. No limit is under ``FLOOR``.
+LEAST_TEXTS, FEW, FLOOR = 100, 0.8, 0.05
 #: Upper ends of the length classes, in letters and spaces; the last is open.
 LENGTHS = (50, 100, 200, 400, 800, 1600)
 UNKNOWN = "und"
@@ -93,6 +99,43 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
+def left_out_distances(x: np.ndarray) -> np.ndarray:
+    """Of each unit row the distance to the nearest centroid of the rows in other parts; NaN for a single row."""
+    out = np.full(len(x), np.nan)
+    part = np.arange(len(x)) % min(FOLDS, len(x))
+    for i in range(min(FOLDS, len(x)) if len(x) > 1 else 0):
+        out[part == i] = 1 - (x[part == i] @ spherical_kmeans(x[part != i], CLUSTERS).T).max(1)
+    return out
+
+
+def limits_of(groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[list[float]]:
+    """For each language the limits by length class, from its texts' distances left out and fitted, and classes."""
+    most = lambda d: float(np.quantile(d, 0.999))
+    apart = [~np.isnan(far) for far, _, _ in groups]
+    far, cls = (np.concatenate([g[j][a] for g, a in zip(groups, apart)]) for j in (0, 2))
+
+    def of_all(i: int) -> float:  # all languages, with the next classes until the texts are enough
+        for wide in range(len(LENGTHS) + 1):
+            d = far[abs(cls - i) <= wide]
+            if len(d) >= LEAST_TEXTS:
+                return most(d)
+        return max([FEW, *far])
+
+    shared, out = [of_all(i) for i in range(len(LENGTHS) + 1)], []
+    for (left, fitted, own), a in zip(groups, apart):
+        limits, worst = [], FLOOR
+        for i in range(len(LENGTHS), -1, -1):  # from the longest texts; a shorter class is never held to less
+            here = a & (own == i)
+            limit = max(most(left[here]), SLACK * most(fitted[here])) if here.any() else FLOOR
+            if here.sum() >= LEAST_TEXTS:
+                worst = max(worst, limit)
+                limits.append(worst)
+            else:
+                limits.append(max(worst, limit, shared[i]))
+        out.append(limits[::-1])
+    return out
+
+
 def sample_of(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
     """For each ``lang`` the ``size`` rows with the smallest hash of their text (cut before
     the shuffle, so a language with most rows sends few)."""
@@ -137,23 +180,18 @@ def fit(labelled: DataFrame, size: int = SAMPLE) -> dict:
         counts = np.stack([np.frombuffer(c, np.float32) for c in lang_rows.sort_values("h")["counts"]])
         x = _weighted(counts, idf)
         c = spherical_kmeans(x, CLUSTERS)
-        far, cls = 1 - (x @ c.T).max(1), _length_class(counts)
-        limits, worst = [], 0.0
-        for i in range(len(LENGTHS), -1, -1):  # from the longest texts; a shorter class is never held to less
-            own = far[cls == i]
-            if len(own):
-                worst = max(worst, float(np.quantile(own, 0.999)))
-            limits.append(worst or float(np.quantile(far, 0.999)))
-        limits = limits[::-1]
-        return pd.DataFrame({"lang": lang_rows["lang"].iloc[:1].repeat(len(c)).values, "centroid": [r.astype(np.float32).tobytes() for r in c], "limits": [limits] * len(c)})
-
-    found = rows.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, limits array<double>").collect()
-    found.sort(key=lambda r: (r.lang, r.centroid))
+        far, fitted, cls = left_out_distances(x), 1 - (x @ c.T).max(1), _length_class(counts)
+        return pd.DataFrame({"lang": lang_rows["lang"].iloc[:1].values, "centroids": [[r.astype(np.float32).tobytes() for r in c]],
+                             "far": [far.tolist()], "fitted": [fitted.astype(float).tolist()], "classes": [cls.tolist()]})
+
+    found = rows.groupBy("lang").applyInPandas(centroids, "lang string, centroids array<binary>, far array<double>, fitted array<double>, classes array<int>").collect()
+    limits = limits_of([(np.array(r.far, float), np.array(r.fitted), np.array(r.classes)) for r in found])
+    each = sorted((r.lang, bytes(c), own) for r, own in zip(found, limits) for c in r.centroids)
     return {
-        "langs": [r.lang for r in found],
+        "langs": [lang for lang, _, _ in each],
         "idf": idf,
-        "centroids": np.stack([np.frombuffer(r.centroid, np.float32) for r in found]),
-        "limits": np.array([r.limits for r in found]),
+        "centroids": np.stack([np.frombuffer(c, np.float32) for _, c, _ in each]),
+        "limits": np.array([own for _, _, own in each]),
     }
 
 
@@ -176,7 +214,7 @@ def predict(docs: DataFrame, model: dict, keep: tuple[str, ...] | None = None) -
                     cos = _weighted(x, m["idf"]) @ m["centroids"].T
                     best = np.argmax(cos, axis=1)
                     top = np.clip(cos[np.arange(len(own)), best].astype(float), 0.0, 1.0)
-                    scores[own], rejected[own] = top, 1 - top > SLACK * m["limits"][best, _length_class(x)]
+                    scores[own], rejected[own] = top, 1 - top > m["limits"][best, _length_class(x)]
                     for i, k in zip(own, best):
                         langs[i] = m["langs"][k]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(langs, pa.string()), pa.array(scores), pa.array(rejected)], names=[*names, "__lang", "__score", "__rejected"])
