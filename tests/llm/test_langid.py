@@ -31,6 +31,22 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert sorted(L.language_report(docs).collect()) == sorted(L.language_report(other).collect())
 
 
+def test_sample_of_a_hot_language(spark):
+    """The smallest hashes, and no task ranks more of a language than the slices leave."""
+    df = spark.range(0, 60_000, 1, 6).selectExpr("CASE WHEN id % 50 = 0 THEN 'xx' ELSE 'en' END AS lang", "xxhash64(id % 40000) AS h")
+    got = {}
+    found = L.smallest(df, 7)
+    for r in found.collect():
+        got.setdefault(r.lang, []).append(r.h)
+    rows = {}
+    for r in df.collect():
+        rows.setdefault(r.lang, set()).add(r.h)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:7] for k, v in rows.items()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "+- Window [" in line or line.lstrip().startswith("Window [")]
+    assert len(windows) == 2 and "__slice" in windows[1]  # the lower one ranks slices
+
+
 @pytest.mark.parametrize("n", [1, 3, 8, 20])
 def test_a_language_of_few_documents_is_not_rejected(spark, n):
     docs = table(spark, SF, "documents")

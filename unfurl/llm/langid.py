@@ -40,6 +40,8 @@ from .common import stored
 
 DIM, MAX_N = 1 << 12, 3
 CLUSTERS, ROUNDS, SAMPLE, MAX_LANGS = 4, 12, 1500, 256
+#: Slices of a language's hashes that are ranked apart.
+SLICES = 1024
 #: A text may lie so much further off than the fitted texts of its length.
 SLACK = 1.25
 #: Parts of a language's texts, each left out of one clustering to set the limits.
@@ -136,12 +138,20 @@ def limits_of(groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[l
     return out
 
 
+def smallest(hashes: DataFrame, size: int) -> DataFrame:
+    """For each ``lang`` the ``size`` smallest different ``h``: first of each of ``SLICES`` slices of a
+    language, so that its rows spread over tasks, then of what these leave, ``SLICES * size`` rows at most."""
+    each = hashes.distinct().withColumn("__slice", F.expr(f"pmod(h, {SLICES})"))
+    for keys in (["lang", "__slice"], ["lang"]):
+        each = each.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy("h"))).where(F.col("__r") <= size).drop("__r")
+    return each.select("lang", "h")
+
+
 def sample_of(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """For each ``lang`` the ``size`` rows with the smallest hash of their text (cut before
-    the shuffle, so a language with most rows sends few)."""
+    """For each ``lang`` the ``size`` rows with the smallest hash of their text; only the
+    hashes are shuffled to find them."""
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("h"), "text")
-    ranked = known.select("lang", "h").distinct().withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h")))
-    last = ranked.where(F.col("r") <= size).groupBy("lang").agg(F.max("h").alias("last"))
+    last = smallest(known.select("lang", "h"), size).groupBy("lang").agg(F.max("h").alias("last"))
     ends = {r.lang: r.last for r in last.limit(MAX_LANGS + 1).collect()}  # one number for each language
     if len(ends) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
