@@ -1,0 +1,96 @@
+"""The Merkle manifest against a plain tree in Python."""
+
+import hashlib
+import zlib
+
+from unfurl.llm import manifest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def hashed(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def framed(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def build(hashes, fan_out):
+    levels = [hashes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([hashed(*last[i:i + fan_out]) for i in range(0, len(last), fan_out)])
+    return levels
+
+
+def siblings(levels, i, fan_out):
+    out = []
+    for level in levels[:-1]:
+        first = i // fan_out * fan_out
+        run = level[first:first + fan_out]
+        out.append((run[:i - first], run[i - first + 1:]))
+        i //= fan_out
+    return out
+
+
+def expected(rows, fan_out=manifest.FAN_OUT):
+    leaf = lambda r, text: hashed(*[framed(r[f]) for f in manifest.FIELDS[:-1]], framed(text))
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    trees = {}
+    for s, own in by.items():
+        own.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r, r["text"])))
+        trees[s] = build([leaf(r, r["text"]) for r in own], fan_out)
+    order = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    top = build([trees[s][-1][0] for s in order], fan_out)
+    out = []
+    for k, s in enumerate(order):
+        for i, r in enumerate(by[s]):
+            path = siblings(trees[s], i, fan_out) + siblings(top, k, fan_out)
+            text = r["text"]
+            if text is not None and r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0:
+                text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+            h = leaf(r, text)
+            for left, right in path:
+                h = hashed(*left, h, *right)
+            root = top[-1][0]
+            out.append((r["doc_id"], trees[s][0][i], trees[s][-1][0], root, hashed(*[x for a, b in path for x in a + b]), h, h == root))
+    return sorted(out, key=repr)
+
+
+def report(docs):
+    return sorted(map(tuple, manifest.manifest_report(docs).collect()), key=repr)
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert report(docs) == expected([r.asDict() for r in docs.collect()])
+
+
+def test_odd_rows(spark):
+    rows = [(i, f"Text {i}", "en", "big", 6) for i in range(300)]
+    rows += [(5, "A", None, "", 1), (None, "Null id", "en", "", None), (None, None, None, None, None), (None, None, None, None, None),
+             (7, "", "de", None, 0), (7, "", "de", None, 0), (8, "Ä" * 70_000 + "Z", "de", "ü", 70_001), (-3, "x\x00Y", "fr", "Ü", 3), (9, "same Id", "en", "", 7), (9, "other", "en", "", 5)]
+    rows += [(1000 + i, "One row", "en", f"s{i:02d}", 7) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    assert report(docs.repartition(5)) == expected([dict(zip(names, r)) for r in rows])
+
+
+def test_sizes_at_the_edges_of_runs(spark):
+    rows = [(i, f"T{i}", "en", f"s{n}", 2) for n in (1, 15, 16, 17, 256, 257) for i in range(n)]
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    out = report(spark.createDataFrame(rows, SCHEMA))
+    assert out == expected([dict(zip(names, r)) for r in rows])
+    hit = {r[0] for r in out if zlib.crc32(str(r[0]).encode()) % 5 == 0}
+    assert hit and {r[0] for r in out if not r[6]} == hit  # tampered rows are found, and no others
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert report(spark.createDataFrame([], SCHEMA)) == []
+    rows = [(i, f"T{i}", "en", "a", 2) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    more = docs.selectExpr("*", "1 AS h", "2 AS g", "3 AS pos", "4 AS path", "5 AS part", "6 AS leaf", "7 AS run", "8 AS g_known", "9 AS n")
+    assert report(more) == report(docs)

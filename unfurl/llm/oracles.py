@@ -110,8 +110,49 @@ FROM judged
 """
 
 
+def manifest(levels: int = 7, above: int = 5, fan_out: int = 16) -> str:
+    """The tree unrolled to ``levels`` over documents and ``above`` over sources; a level more changes nothing."""
+    framed = lambda e: f"coalesce(strlen(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(framed(e) for e in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    # crc32 over the digits of the id: -1 asks for one shift
+    crc = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295)")
+    side = lambda frame: f"coalesce(string_agg(h, '') OVER (PARTITION BY g, pos // {fan_out} ORDER BY pos ROWS BETWEEN {frame}), '')"
+
+    def tree(name: str, n: int) -> str:
+        out = []
+        for i in range(n):
+            out.append(f"{name}{i + 1} AS (SELECT g, pos // {fan_out} AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h, "
+                       f"(any_value(n) + {fan_out - 1}) // {fan_out} AS n FROM {name}{i} GROUP BY g, pos // {fan_out})")
+            out.append(f"{name}_side{i} AS (SELECT g, pos, CASE WHEN n > 1 THEN [{side('UNBOUNDED PRECEDING AND 1 PRECEDING')}, {side('1 FOLLOWING AND UNBOUNDED FOLLOWING')}] END AS s FROM {name}{i})")
+        return ",\n".join(out)
+
+    joins = " ".join(f"JOIN a_side{i} a{i} ON a{i}.g = l.g AND a{i}.pos = l.pos // {fan_out ** i}" for i in range(levels))
+    joins += " JOIN b0 ON b0.name = l.g JOIN " + " JOIN ".join(f"b_side{i} bs{i} ON bs{i}.pos = b0.pos // {fan_out ** i}" for i in range(above))
+    path = "list_filter([" + ", ".join([f"a{i}.s" for i in range(levels)] + [f"bs{i}.s" for i in range(above)]) + "], lambda x: x IS NOT NULL)"
+    return rf"""
+WITH d AS (
+    SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '.' || source END AS g, {leaf('text')} AS leaf,
+           CASE WHEN {crc} % 5 = 0 THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+    FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+a0 AS (SELECT g, pos, leaf AS h, n FROM l),
+{tree('a', levels)},
+b0 AS (SELECT 1 AS g, g AS name, row_number() OVER (ORDER BY g) - 1 AS pos, h, count(*) OVER () AS n FROM a{levels}),
+{tree('b', above)},
+p AS (SELECT l.doc_id, l.leaf, l.changed, b0.h AS subroot, {path} AS path FROM l {joins}),
+f AS (
+    SELECT doc_id, leaf, subroot, b{above}.h AS root, sha256(array_to_string(list_transform(path, lambda x: x[1] || x[2]), '')) AS proof_sha256,
+           list_reduce(list_prepend([coalesce(changed, leaf), ''], path), lambda x, y: [sha256(y[1] || x[1] || y[2]), ''])[1] AS folded_root
+    FROM p, b{above})
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_warc_salvage": WARC,
     "op4_quality_divergence": quality(),
     "op10_mixing": MIXING,
+    "op13_merkle_manifest": manifest(),
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, langid, lm, mixing, quality, separator_scan, simhash_dedup, token_files, warc
+from . import bpe, fingerprint, langid, lm, manifest, mixing, quality, separator_scan, simhash_dedup, token_files, warc
 from .common import table
 from .oracles import ORACLE  # noqa: F401
 
@@ -55,6 +55,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_bpe_tree": op2_bpe_tree,
@@ -66,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
