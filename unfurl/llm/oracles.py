@@ -150,9 +150,25 @@ SELECT *, folded_root = root AS verified FROM f
 """
 
 
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+pair AS (
+    SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT r, r AS at FROM v UNION SELECT reach.r, pair.b FROM reach JOIN pair ON reach.at = pair.a),
+low AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.at GROUP BY reach.r),
+deg AS (SELECT a AS r, count(*) AS n FROM pair GROUP BY a)
+SELECT v.vec_id, coalesce(deg.n, 0) AS n_links, low.component_id, v.vec_id IS NOT DISTINCT FROM low.component_id AS kept
+FROM v JOIN low USING (r) LEFT JOIN deg USING (r)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_warc_salvage": WARC,
     "op4_quality_divergence": quality(),
     "op10_mixing": MIXING,
+    "op12_embedding_dedup": EMBEDDINGS,
     "op13_merkle_manifest": manifest(),
 }
