@@ -150,6 +150,39 @@ SELECT *, folded_root = root AS verified FROM f
 """
 
 
+COLLOCATIONS = r"""
+WITH p AS (
+    SELECT lang, row_number() OVER () AS piece, regexp_extract_all(x, '[^\x20\x09]+') AS ws FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x
+        FROM documents)),
+t AS (SELECT lang, piece, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM p),
+g AS (SELECT lang, w AS w1, lead(w, 1) OVER s AS w2, lead(w, 2) OVER s AS w3 FROM t WINDOW s AS (PARTITION BY piece ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*) AS c FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS c FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS c FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+    SELECT f2.lang, f2.w1, f2.w2, NULL AS w3, f2.c AS a, 1 AS k, x.c AS l, y.c AS r FROM f2
+    JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+    UNION ALL
+    SELECT f3.lang, f3.w1, f3.w2, f3.w3, f3.c, 1, x.c, y.c FROM f3
+    JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+    UNION ALL
+    SELECT f3.lang, f3.w1, f3.w2, f3.w3, f3.c, 2, x.c, y.c FROM f3
+    JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+s AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+least AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, k) = 1),
+inner_of AS (
+    SELECT lang, w1, w2, max(c) AS c FROM (SELECT lang, w1, w2, c FROM f3 UNION ALL SELECT lang, w2, w3, c FROM f3) GROUP BY ALL),
+kept AS (
+    SELECT least.* FROM least LEFT JOIN inner_of i ON i.lang = least.lang AND i.w1 = least.w1 AND i.w2 = least.w2 AND least.w3 IS NULL
+    WHERE i.c IS NULL OR 100 * i.c < 50 * least.a),
+n AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+ranked AS (
+    SELECT lang, concat_ws(' ', w1, w2, w3) AS phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, concat_ws(' ', w1, w2, w3)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 EMBEDDINGS = """
 WITH RECURSIVE v AS (
     SELECT row_number() OVER () AS r, vec_id, label, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
@@ -169,6 +202,7 @@ ORACLE: dict[str, str] = {
     "op3_warc_salvage": WARC,
     "op4_quality_divergence": quality(),
     "op10_mixing": MIXING,
+    "op11_collocations": COLLOCATIONS,
     "op12_embedding_dedup": EMBEDDINGS,
     "op13_merkle_manifest": manifest(),
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, fingerprint, langid, lm, manifest, mixing, quality, separator_scan, simhash_dedup, token_files, warc
+from . import bpe, collocations, embedding_dedup, fingerprint, langid, lm, manifest, mixing, quality, separator_scan, simhash_dedup, token_files, warc
 from .common import table
 from .oracles import ORACLE  # noqa: F401
 
@@ -55,6 +55,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocation_report(table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_report(table(spark, sf_dir, "embeddings"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
+    "op11_collocations": op11_collocations,
     "op12_embedding_dedup": op12_embedding_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
