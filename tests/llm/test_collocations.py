@@ -51,16 +51,13 @@ def corpus(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("bits, chunk", [(co.MAX_BITS, co.CHUNK), (10, 500)])
-def test_random_corpus(spark, monkeypatch, bits, chunk):
-    """Also with a bit table that is far too small, and sums sent after few words."""
-    if chunk != co.CHUNK:  # the local tasks are forked after this
-        monkeypatch.setattr(co, "CHUNK", chunk)
-        monkeypatch.setattr(co, "BUFFER", 300)
+@pytest.mark.parametrize("bits, chunk, bucket_bytes", [(co.MAX_BITS, co.CHUNK, co.BUCKET_BYTES), (10, 500, 2_000)])
+def test_random_corpus(spark, bits, chunk, bucket_bytes):
+    """Also with a bit table that is far too small, sums sent after few words, and many buckets."""
     rows = corpus(250, chunk)
     want = expected(rows)
     assert len(want) > 30 and any(len(r[2].split(" ")) == 3 for r in want)
-    assert found(spark.createDataFrame(rows, SCHEMA).repartition(4), max_bits=bits) == want
+    assert found(spark.createDataFrame(rows, SCHEMA).repartition(4), max_bits=bits, chunk=chunk, bucket_bytes=bucket_bytes) == want
 
 
 def test_words_of_small_buffers_are_those_of_whole_texts():

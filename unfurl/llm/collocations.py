@@ -19,7 +19,8 @@ whole key, so no word or language is too large for a task; what a range's first
 is handed on (two rows a range).
 
 Counting: tasks cut byte buffers with vector operations and send sums for each
-``CHUNK`` words. Pairs are counted first; a phrase of three words can only reach ``LEAST`` if both its pairs
+``CHUNK`` words, in prefix order, packed as one table for each bucket of phrases. Phrases are dealt to buckets evenly, so
+many that the counts of one, from about ``BUCKET_BYTES`` of text, are added up in bounded memory. Pairs are counted first; a phrase of three words can only reach ``LEAST`` if both its pairs
 do, so only such are counted then, tested in a bit table of at most ``2 ** MAX_BITS`` bits that is
 broadcast (32 MB). Where the pairs outgrow it, more phrases pass and are counted and left out exactly.
 
@@ -45,7 +46,9 @@ from .common import LOWER_AZ, stored
 
 LEAST, INSIDE, TOP, SCALE = 10, 50, 2000, 1_000_000
 #: Words, or bytes of words, that a task sums up before it sends counts, and bytes it cuts at once.
-CHUNK, CHUNK_BYTES, BUFFER = 4_000_000, 1 << 27, 1 << 23
+CHUNK, CHUNK_BYTES, BUFFER = 2_000_000, 1 << 26, 1 << 22
+#: Bytes of text for each bucket that counts are added up in.
+BUCKET_BYTES = 1 << 23
 MAX_BITS = 28
 _SLICES = 64
 _KIND = np.zeros(256, np.uint8)  # 0: in a word, 1: between words, 2: between pieces
@@ -80,8 +83,8 @@ class Words:
         self.n += len(starts)
         self.size += len(data)
 
-    def full(self) -> bool:
-        return self.n >= CHUNK or self.size >= CHUNK_BYTES
+    def full(self, chunk: int) -> bool:
+        return self.n >= chunk or self.size >= CHUNK_BYTES
 
     def ids(self) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """Each word's number, the different words, each word's piece."""
@@ -112,36 +115,125 @@ def buffers(texts: list[bytes], size: int = BUFFER) -> Iterator[bytes]:
         yield b"\n".join(held)
 
 
-def _summed(docs: DataFrame, schema: str, emit) -> DataFrame:
-    """``emit(lang, words)`` of each language's texts, for about every ``CHUNK`` words of a task."""
+# ---- counts -----------------------------------------------------------------------
+_COUNTS = "lang string, w1 string, w2 string, w3 string, c long"
+
+
+def bucket_number(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """So many buckets that about ``bucket_bytes`` of text are counted in one."""
+    size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    return max(1, -(-size // bucket_bytes))
+
+
+def _mix(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A number of 64 bits for each pair of words, from numbers of the words."""
+    with np.errstate(over="ignore"):
+        x = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
+
+
+def _word_numbers(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _dealt(vocabulary: pa.Array, ids: list[np.ndarray | None], count: np.ndarray, lang: str, numbers: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Counts of phrases, in the order given, as one packed table for each bucket; words not there are empty."""
+    x = _mix(lang, numbers[ids[0]], numbers[ids[-1]] if ids[-1] is not None else np.zeros(len(count), np.uint64))
+    bucket = ((x >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for own in np.split(order, cuts) if len(order) else ():
+        words = [pa.array([""] * len(own), pa.string()) if i is None else vocabulary.take(pa.array(i[own])) for i in ids]
+        yield int(bucket[own[0]]), _packed(lang, [*words, *[pa.array([""] * len(own), pa.string())] * (3 - len(words))], count[own])
+
+
+def _packed(lang: str, words: list[pa.Array], count: np.ndarray) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.RecordBatch.from_arrays([*words, pa.array(count.astype(np.int64))], schema=pa.schema([("w1", pa.string()), ("w2", pa.string()), ("w3", pa.string()), ("c", pa.int64())], metadata={"lang": lang}))
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_batch(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _sent(docs: DataFrame, emit, chunk: int) -> DataFrame:
+    """``bucket, packed``: ``emit(lang, words)`` of each language's texts, for about every ``chunk`` words of a task."""
+    def rows(parts: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in parts:
+            held.append(part)
+            size += len(part[1])
+            if size > 1 << 22:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int32()), pa.array([b for _, b in held], pa.binary())], names=["bucket", "packed"])
+                held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int32()), pa.array([b for _, b in held], pa.binary())], names=["bucket", "packed"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[str, Words] = {}
-        for b in batches:
-            langs = b.column(0).dictionary_encode()
-            names, index = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
-            for k, name in enumerate(names):
-                texts = b.column(1).take(pa.array(np.flatnonzero(index == k))).view(pa.binary()).to_pylist()
-                for raw in buffers(texts):
-                    by.setdefault(name, Words()).add(raw)
-                    if by[name].full():
-                        yield from emit(name, by.pop(name))
-            if sum(w.n for w in by.values()) >= 2 * CHUNK or sum(w.size for w in by.values()) >= 2 * CHUNK_BYTES:  # many languages
-                for name in list(by):
-                    yield from emit(name, by.pop(name))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                langs = b.column(0).dictionary_encode()
+                names, index = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
+                for k, name in enumerate(names):
+                    for raw in buffers(b.column(1).take(pa.array(np.flatnonzero(index == k))).view(pa.binary()).to_pylist()):
+                        by.setdefault(name, Words()).add(raw)
+                        if by[name].full(chunk):
+                            yield from rows(emit(name, by.pop(name)))
+                if sum(w.n for w in by.values()) >= 2 * chunk or sum(w.size for w in by.values()) >= 2 * CHUNK_BYTES:  # many languages
+                    for name in list(by):
+                        yield from rows(emit(name, by.pop(name)))
         for name in list(by):
-            yield from emit(name, by.pop(name))
+            yield from rows(emit(name, by.pop(name)))
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, schema)
-
+    return texts.mapInArrow(run, "bucket int, packed binary")
+
+
+def _sums(parts: list[bytes], least: int) -> Iterator[pa.RecordBatch]:
+    """The counts of one bucket, added up; those below ``least`` are left out."""
+    by: dict[str, list[pa.Table]] = {}
+    for part in parts:
+        table = pa.ipc.open_stream(part).read_all()
+        by.setdefault((table.schema.metadata or {}).get(b"lang", b"").decode(), []).append(table.replace_schema_metadata(None))
+    for lang, tables in by.items():
+        table = pa.concat_tables(tables).combine_chunks()
+        codes = [_flat(table[w]).dictionary_encode() for w in ("w1", "w2", "w3")]
+        i1, i2, i3 = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in codes)
+        _, key = np.unique(i1 * len(codes[1].dictionary) + i2, return_inverse=True)
+        key = key * len(codes[2].dictionary) + i3
+        order = np.argsort(key, kind="stable")
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(key[order])) + 1))
+        count = np.add.reduceat(table["c"].to_numpy()[order], starts)
+        first = order[starts]
+        kept = count >= least
+        words = [_flat(table[w]).take(pa.array(first[kept])) for w in ("w1", "w2", "w3")]
+        n = int(kept.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), *words, pa.array(count[kept])], names=["lang", "w1", "w2", "w3", "c"])
+
+
+def _flat(x) -> pa.Array:
+    return x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+
+
+def summed(sent: DataFrame, least: int) -> DataFrame:
+    """``lang, w1, w2, w3, c``: counts of at least ``least``; each bucket is added up by one task at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts = None, []
+        for b in batches:  # sorted by bucket
+            for k, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if k != bucket and parts:
+                    yield from _sums(parts, least if bucket >= 0 else 1)
+                    parts = []
+                bucket = k
+                parts.append(part)
+        if parts:
+            yield from _sums(parts, least if bucket >= 0 else 1)
 
-def _rows(lang: str, vocabulary: pa.Array, ids: list[np.ndarray | None], count: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(count), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        n = len(count[part])
-        cols = [pa.array([lang] * n, pa.string())]
-        cols += [pa.nulls(n, pa.string()) if i is None else vocabulary.take(pa.array(i[part])) for i in ids]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(count[part].astype(np.int64))], names=names)
+    sums = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _COUNTS)
+    return sums.select("lang", *[F.nullif(w, F.lit("")).alias(w) for w in ("w1", "w2", "w3")], "c")
 
 
 def _pairs(ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
@@ -149,39 +241,24 @@ def _pairs(ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
     return piece[1:] == piece[:-1]
 
 
-def short_counts(docs: DataFrame) -> DataFrame:
-    """``lang, w1, w2, c``: counts of words (``w2`` NULL) and pairs of words, not yet summed over tasks,
-    and of all words (both NULL)."""
-    names = ["lang", "w1", "w2", "c"]
-
-    def emit(lang: str, words: Words) -> Iterator[pa.RecordBatch]:
+def short_counts(docs: DataFrame, buckets: int, least: int = LEAST, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """``lang, w1, w2, w3, c`` of words and pairs; and ``lang, n``, all words of a language."""
+    def emit(lang: str, words: Words) -> Iterator[tuple[int, bytes]]:
         if not words.n:
             return
         ids, vocabulary, piece = words.ids()
-        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.array([len(ids)], pa.int64())], names=names)
-        count = np.bincount(ids, minlength=len(vocabulary))
-        yield from _rows(lang, vocabulary, [np.arange(len(vocabulary)), None], count, names)
+        yield -1, _packed(lang, [pa.array([""])] * 3, np.array([len(ids)]))
+        numbers = _word_numbers(vocabulary.view(pa.binary()).to_pylist())
+        yield from _dealt(vocabulary, [np.arange(len(vocabulary)), None], np.bincount(ids, minlength=len(vocabulary)), lang, numbers, buckets)
         at = np.flatnonzero(_pairs(ids, piece))
         key, count = np.unique(ids[at] * len(vocabulary) + ids[at + 1], return_counts=True)
-        yield from _rows(lang, vocabulary, [key // len(vocabulary), key % len(vocabulary)], count, names)
+        yield from _dealt(vocabulary, [key // len(vocabulary), key % len(vocabulary)], count, lang, numbers, buckets)
 
-    return _summed(docs, "lang string, w1 string, w2 string, c long", emit)
+    sent = stored(summed(_sent(docs, emit, chunk), least), "collocation-short")
+    return sent.where("w1 IS NOT NULL"), sent.where("w1 IS NULL").select("lang", F.col("c").alias("n"))
 
 
 # ---- pairs that may be in a phrase of three words -------------------------------------
-def _mix(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A number of 64 bits for each pair of words, from numbers of the words."""
-    with np.errstate(over="ignore"):
-        x = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
-
-
-def _word_numbers(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
 class PairTable:
     """A bit for each number of a pair; a pair without its bit is not frequent."""
 
@@ -214,28 +291,26 @@ def pair_table(spark: SparkSession, pairs: DataFrame, max_bits: int = MAX_BITS)
     return PairTable(bits, table)
 
 
-def triple_counts(docs: DataFrame, frequent: PairTable) -> DataFrame:
-    """``lang, w1, w2, w3, c`` of phrases both of whose pairs may be frequent, not yet summed over tasks."""
+def triple_counts(docs: DataFrame, frequent: PairTable, buckets: int, least: int = LEAST, chunk: int = CHUNK) -> DataFrame:
+    """``lang, w1, w2, w3, c`` of phrases of three words; only those both of whose pairs may be frequent are sent."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent.bits, frequent.table))
-    names = ["lang", "w1", "w2", "w3", "c"]
 
-    def emit(lang: str, words: Words) -> Iterator[pa.RecordBatch]:
+    def emit(lang: str, words: Words) -> Iterator[tuple[int, bytes]]:
         if words.n < 3:
             return
         ids, vocabulary, piece = words.ids()
-        number = _word_numbers(vocabulary.view(pa.binary()).to_pylist())[ids]
-        table = PairTable(*shared.value)
+        numbers = _word_numbers(vocabulary.view(pa.binary()).to_pylist())
         pair = _pairs(ids, piece)
         some = np.flatnonzero(pair)
-        pair[some] = table.has(_mix(lang, number[some], number[some + 1]))
+        pair[some] = PairTable(*shared.value).has(_mix(lang, numbers[ids[some]], numbers[ids[some + 1]]))
         at = np.flatnonzero(pair[:-1] & pair[1:])
         # pairs are numbered anew, so that the key of a phrase fits 64 bits
         first, start = np.unique(ids[at] * len(vocabulary) + ids[at + 1], return_inverse=True)
         key, count = np.unique(start * len(vocabulary) + ids[at + 2], return_counts=True)
-        start, w3 = first[key // len(vocabulary)], key % len(vocabulary)
-        yield from _rows(lang, vocabulary, [start // len(vocabulary), start % len(vocabulary), w3], count, names)
+        start = first[key // len(vocabulary)]
+        yield from _dealt(vocabulary, [start // len(vocabulary), start % len(vocabulary), key % len(vocabulary)], count, lang, numbers, buckets)
 
-    return _summed(docs, "lang string, w1 string, w2 string, w3 string, c long", emit)
+    return stored(summed(_sent(docs, emit, chunk), least), "collocation-triples")
 
 
 # ---- streams ------------------------------------------------------------------------
@@ -322,12 +397,12 @@ def scored(words: DataFrame, pairs: DataFrame, triples: DataFrame) -> DataFrame:
                        F.when(second | F.col("w3").isNull(), F.col("r1")).otherwise(F.col("r2")).alias("r"), F.when(second, F.col("s2")).otherwise(F.col("s1")).alias("score"))
 
 
-def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_bits: int = MAX_BITS) -> DataFrame:
+def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_bits: int = MAX_BITS, chunk: int = CHUNK, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best ``top`` phrases of each language."""
-    short = stored(short_counts(docs).groupBy("lang", "w1", "w2").agg(F.sum("c").alias("c")).where(f"w1 IS NULL OR c >= {least}"), "collocation-short")
-    words, pairs = short.where("w1 IS NOT NULL AND w2 IS NULL").drop("w2"), short.where("w2 IS NOT NULL")
-    frequent = pair_table(docs.sparkSession, pairs, max_bits)
-    triples = stored(triple_counts(docs, frequent).groupBy("lang", "w1", "w2", "w3").agg(F.sum("c").alias("c")).where(f"c >= {least}"), "collocation-triples")
+    buckets = bucket_number(docs, bucket_bytes)
+    short, total = short_counts(docs, buckets, least, chunk)
+    words, pairs = short.where("w2 IS NULL").select("lang", "w1", "c"), short.where("w2 IS NOT NULL").select("lang", "w1", "w2", "c")
+    triples = triple_counts(docs, pair_table(docs.sparkSession, pairs, max_bits), buckets, least, chunk)
     phrase = F.concat_ws(" ", "w1", "w2", "w3")
     rows = scored(words, pairs, triples).select("lang", phrase.alias("phrase"), "a", "l", "r", "score")
     # a language is ranked in slices first, so that its last ranking sees at most _SLICES * top rows
@@ -335,7 +410,6 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_bits:
     sliced = rows.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(_SLICES)))
     few = sliced.withColumn("rank", F.row_number().over(W.partitionBy("lang", "slice").orderBy(*best))).where(F.col("rank") <= top)
     ranked = few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
-    total = short.where("w1 IS NULL").select("lang", F.col("c").alias("n"))  # a row a language
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
