@@ -46,9 +46,9 @@ from .common import LOWER_AZ, stored
 
 LEAST, INSIDE, TOP, SCALE = 10, 50, 2000, 1_000_000
 #: Words, or bytes of words, that a task sums up before it sends counts, and bytes it cuts at once.
-CHUNK, CHUNK_BYTES, BUFFER = 2_000_000, 1 << 26, 1 << 22
+CHUNK, CHUNK_BYTES, BUFFER = 1_000_000, 1 << 25, 1 << 22
 #: Bytes of text for each bucket that counts are added up in.
-BUCKET_BYTES = 1 << 23
+BUCKET_BYTES = 1 << 22
 MAX_BITS = 28
 _SLICES = 64
 _KIND = np.zeros(256, np.uint8)  # 0: in a word, 1: between words, 2: between pieces
@@ -182,6 +182,7 @@ def _sent(docs: DataFrame, emit, chunk: int) -> DataFrame:
                         by.setdefault(name, Words()).add(raw)
                         if by[name].full(chunk):
                             yield from rows(emit(name, by.pop(name)))
+                            pa.default_memory_pool().release_unused()
                 if sum(w.n for w in by.values()) >= 2 * chunk or sum(w.size for w in by.values()) >= 2 * CHUNK_BYTES:  # many languages
                     for name in list(by):
                         yield from rows(emit(name, by.pop(name)))
@@ -227,6 +228,7 @@ def summed(sent: DataFrame, least: int) -> DataFrame:
                 if k != bucket and parts:
                     yield from _sums(parts, least if bucket >= 0 else 1)
                     parts = []
+                    pa.default_memory_pool().release_unused()
                 bucket = k
                 parts.append(part)
         if parts:
