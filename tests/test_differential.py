@@ -14,6 +14,7 @@ def _scalar(rnd):
         rnd.randint(-5, 10**6), str(rnd.randint(0, 999)), "téxt \"q\"", True, False, None, "", "007",
         {"b": rnd.randint(0, 9), "a": 2.5}, [1, "y", 1e-5], 10**20, 5.0, 100.0, -0.0, 12345678.9, 0.0001, 1e10,
         round(rnd.uniform(-1e4, 1e4), 3), 0.12345678901234568, 3.5e-7, -1.5e22,
+        float("nan"), float("inf"), float("-inf"), {"x": [float("nan")]}, 'NaN "Infinity" -Infinity', 10**1200, "\\",
     ])
 
 
@@ -46,7 +47,7 @@ def _obj(rnd, children, fields, p_bad):
         if r < 0.25:
             continue  # missing
         if r < 0.25 + p_bad:
-            out[key] = rnd.choice([None, "x", "", 5, [], {}, [None], ["x"], True])
+            out[key] = rnd.choice([None, "x", "", 5, [], {}, [None], ["x"], True, float("nan")])
             continue
         inner = _obj(rnd, spec["children"], spec["fields"], p_bad)
         if spec["kind"] == "object":
@@ -68,8 +69,8 @@ def _docs(spec, n, seed):
     docs = []
     for _ in range(n):
         r = rnd.random()
-        if r < 0.03:
-            docs.append(rnd.choice(["", "nope", "[1]", "null", '{"a":1} x', None]))
+        if r < 0.04:
+            docs.append(rnd.choice(["", "nope", "[1]", "null", '{"a":1} x', None, "NaN", "{NaN:1}", '{"a":-NaN}', '{"a":Infinity 1}', '{"a":1e400}', '{"a":-1E+999,"b":NaN}']))
         else:
             docs.append(json.dumps(_obj(rnd, tree, tree.get("__fields__", []), p_bad=0.04), ensure_ascii=False))
     return docs

@@ -65,6 +65,15 @@ def _doc(rnd, spec):
     body = f"<Body><bagDetails>{''.join(parts)}</bagDetails></Body>"
     # a default namespace on some documents: tags are matched without it
     xml = f'<Envelope xmlns="urn:d">{hdr}{body}</Envelope>' if ns else f"<Envelope>{hdr}{body}</Envelope>"
+    xml = rnd.choice([str] * 12 + [
+        lambda x: x.replace("<eventName>", "<q:eventName>").replace("</eventName>", "</q:eventName>"),  # no such prefix
+        lambda x: x.replace("<eventName>", '<q:eventName xmlns:q="urn:q">').replace("</eventName>", "</q:eventName>"),
+        lambda x: x.replace("<Envelope", '<Envelope xmlns:q="urn:q"', 1).replace("<Body>", "<q:Body>").replace("</Body>", "</q:Body>"),
+        lambda x: '<!DOCTYPE Envelope [<!ENTITY e "E&#33;">]>' + x.replace("A1", "&e;"),
+        lambda x: x.replace("tagNbr>", "TAGNBR>").replace("paxInfo>", "PaxInfo>"),
+        lambda x: x.replace("<bagDetails>", '<bagDetails TAGNBR="9" q="x:y z:w=1">'),
+        lambda x: x.replace("<eventHeader>", '<eventHeader xmlns:n="urn:n" n:version="7" n:EventName="8">'),
+    ])(xml)
     r = rnd.random()
     if r < 0.03:
         xml = xml[:-3]

@@ -56,10 +56,8 @@ def test_registered_query_plans(spark):
     """Document building: every line of an order reaches its document, no Python anywhere."""
     import __spark_entry__ as E
 
-    from conftest import SF_SMALL
-
     for name in ("scan_flat", "cep_xml_flat", "json_strict_drop"):
-        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        plan = _plan(E.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "EvalPython" not in plan
         assert "Limit" not in plan and "row_number" not in plan, name
         assert plan.count("parseJson") == 1, name

@@ -68,14 +68,73 @@ def end_mark(text_expr: str) -> str:
     return f"xxhash64({text_expr})"
 
 
-def parse_strict(text_expr: str) -> str:
-    """Variant array of the document and its end mark, NULL on malformed text.
+_BODY = r'(?:[^"\\\x00-\x1F]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+'  # of a well-formed string literal
+# A text in pieces that join to it again: whole string literals, numbers, and what lies between.
+_PIECES = rf'(?s)"{_BODY}"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++|.'
+# What stands before a non-finite literal outside strings, and the literal, if it is no key.
+_LITERAL = rf'\G((?:[^"NI-]++|"{_BODY}"|-(?!Infinity))*+)(NaN|-?Infinity)(?![ \t\n\r]*+:)'
+# Texts that may hold a non-finite literal, or a number that is no finite double or too long for the parsers.
+_RARE = r"[0-9](?:[eE][+]?[0-9]{3}|[0-9]{299})"
+_FLOAT = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?$"
+_INTEGER = r"^-?(0|[1-9][0-9]*)$"
+
+
+def rare_text(text: str) -> str:
+    """The text may need what few texts need: a look at its single literals."""
+    return f"(contains({text}, 'NaN') OR contains({text}, 'Infinity') OR {text} RLIKE {sql_str(_RARE)})"
+
+
+def finite_text(text: str, rare: str | None = None) -> str:
+    """The text with the literals ``NaN``, ``Infinity`` and ``-Infinity`` as strings of that name, and
+    numbers that overflow a double likewise: what a lenient reader takes as numbers without digits. Long
+    fractions are cut to the double they are. Other texts (all but few) are taken as they are.
+
+    Inside strings nothing is changed, and a literal used as a key stays as it is (malformed).
+    ``rare`` is ``rare_text``, here and below, where a plan has it as a column.
+    """
+    is_float = f"x RLIKE {sql_str(_FLOAT)} AND NOT x RLIKE {sql_str(_INTEGER)}"
+    piece = (f"CASE WHEN NOT ({is_float}) THEN x "
+             "WHEN abs(try_cast(x AS DOUBLE)) = double('infinity') THEN CASE WHEN startswith(x, '-') THEN '\"-Infinity\"' ELSE '\"Infinity\"' END "
+             "WHEN length(x) > 300 THEN CAST(try_cast(x AS DOUBLE) AS STRING) ELSE x END")
+    named = f"CASE WHEN contains({text}, 'NaN') OR contains({text}, 'Infinity') THEN regexp_replace({text}, {sql_str(_LITERAL)}, '$1\"$2\"') ELSE {text} END"
+    numbers = f"array_join(transform(regexp_extract_all({named}, {sql_str(_PIECES)}, 0), x -> {piece}), '')"
+    return f"CASE WHEN NOT {rare or rare_text(text)} THEN {text} WHEN {text} RLIKE {sql_str(_RARE)} THEN {numbers} ELSE {named} END"
+
+
+# The Variant parser reads no string of more than 20,000,000 characters and no number of more than 1,000.
+PARSER_TEXT_LIMIT = 20_000_000
+PARSER_NUMBER_LIMIT = 1_000
+# Integers of more digits are no numbers to the readers whose results this library repeats.
+INTEGER_DIGITS = 4_300
+# ``from_json`` has options for its limits.
+READ_ALL = "map('maxStringLen', '2147483647', 'maxNumLen', '2147483647')"
+
+
+def is_long(text: str, rare: str | None = None) -> str:
+    """The text may hold a string or a number beyond the limits of the Variant parser."""
+    return f"(octet_length({text}) > {PARSER_TEXT_LIMIT} OR (octet_length({text}) > {PARSER_NUMBER_LIMIT} AND {rare or rare_text(text)} AND {text} RLIKE '[0-9]{{{PARSER_NUMBER_LIMIT}}}'))"
+
+
+def skeleton(text: str, keep: int = 64, rare: str | None = None) -> str:
+    """The text with its long strings cut and its long numbers replaced by 0, where the Variant parser could
+    not read it as it is: the same nodes, of the same kinds, under the same keys of up to ``keep`` characters.
+
+    Only well-formed literals are changed, so a malformed text stays one.
+    """
+    unit = r'(?:[^"\\\x00-\x1F]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))'
+    cut = f"regexp_replace({text}, {sql_str(rf'("{unit}{{0,{keep + 1}}}+){_BODY}"')}, '$1\"')"
+    number = rf"(?<![0-9.eE+])[1-9][0-9]{{{PARSER_NUMBER_LIMIT - 1},{INTEGER_DIGITS - 1}}}+(?![0-9.eE])"
+    return f"CASE WHEN {is_long(text, rare)} THEN regexp_replace({cut}, {sql_str(number)}, '0') ELSE {text} END"
+
+
+def parse_strict(text: str, keep: int = 64, rare: str | None = None) -> str:
+    """Variant array of the document (its ``skeleton``) and its end mark, NULL on malformed text.
 
     The mark stands behind the text: a stray ``]`` closes the array before it,
     a second value comes between. So the text is one value exactly if the mark
     is element 1 and there is no element 2.
     """
-    return f"try_parse_json(concat('[', {text_expr}, ',', {end_mark(text_expr)}, ']'))"
+    return f"try_parse_json(concat('[', {skeleton(text, keep, rare)}, ',', {end_mark(text)}, ']'))"
 
 
 def parsed_ok(w: str, mark: str) -> str:
@@ -86,14 +145,13 @@ def parsed_ok(w: str, mark: str) -> str:
     )
 
 
-# Spark's JSON parser reads no string of more characters, and no document above the
-# Variant size limit (which takes a longer text still); a shorter text never meets them.
-PARSER_TEXT_LIMIT = 20_000_000
+# A Variant holds 128 MB; a text whose skeleton is shorter than this always fits.
+VARIANT_LIMIT = 100_000_000
 
 
-def maybe_too_large(text_expr: str, w: str) -> str:
-    """The text was not parsed and is long enough to be beyond the parser's limits."""
-    return f"({ident(w)} IS NULL AND octet_length({text_expr}) > {PARSER_TEXT_LIMIT})"
+def maybe_too_large(text: str, w: str, keep: int = 64, rare: str | None = None) -> str:
+    """The text was not parsed, and even its skeleton may be beyond the size of a Variant."""
+    return f"({ident(w)} IS NULL AND octet_length({text}) > {VARIANT_LIMIT} AND octet_length({skeleton(text, keep, rare)}) > {VARIANT_LIMIT})"
 
 
 def top_is_object(w: str) -> str:

@@ -110,7 +110,7 @@ def _path_ddl(keys: list[str], last: str) -> str:
 
 
 def _from_json(text: str, ddl: str) -> str:
-    return f"from_json({text}, {V.sql_str(ddl)})"
+    return f"from_json({text}, {V.sql_str(ddl)}, {V.READ_ALL})"
 
 
 class _Plan:
@@ -125,6 +125,7 @@ class _Plan:
     def __init__(self, spec: FlattenSpec, strict: bool):
         self.spec = spec
         self.strict = strict
+        self.key_length = max([64, *(len(s.key) for g in spec.groups for s in g.steps)])
         self.nodes = spec.nodes()
         self.legs = _legs_per_node(spec)
         self.tree = _value_tree(spec)
@@ -278,8 +279,10 @@ class _Plan:
         out = df.selectExpr(
             *[f"CAST({V.ident(k)} AS STRING) AS {V.ident(k)}" for k in keys],
             *extra,
-            f"CAST({V.ident(payload)} AS STRING) AS {_T}",
-        ).selectExpr(*carry, _T, f"{V.parse_strict(_T)} AS {_W}", f"{_from_json(_T, self.tree.ddl())} AS {_V}")
+            f"CAST({V.ident(payload)} AS STRING) AS __given",
+        ).selectExpr(*carry, "__given", f"{V.rare_text('__given')} AS __rare"
+        ).selectExpr(*carry, "__rare", f"{V.finite_text('__given', '__rare')} AS {_T}"
+        ).selectExpr(*carry, _T, f"{V.parse_strict(_T, self.key_length, '__rare')} AS {_W}", f"{_from_json(_T, self.tree.ddl())} AS {_V}")
         firsts: list[str] = []
         for steps in self.first_col:  # outer before inner
             out = out.selectExpr(*carry, _T, _W, _V, *firsts, self.first_expr(steps))
@@ -288,12 +291,12 @@ class _Plan:
 
 
 def too_large_action(how: str) -> str:
-    """SQL of the row filter for a payload that may be beyond the parser's limits."""
+    """SQL of the row filter for a payload that may be beyond the size of a Variant."""
     if how == "drop":
         return "CAST(NULL AS ARRAY<BOOLEAN>)"
     if how != "error":
         raise ValueError("too_large is 'error' or 'drop'")
-    return "CAST(raise_error('a payload is malformed or beyond the limits of the parser (20,000,000 characters); too_large=\"drop\" leaves it out') AS ARRAY<BOOLEAN>)"
+    return "CAST(raise_error('a payload is malformed or has over 100,000,000 bytes beside its long strings, which is beyond the limits of a Variant; too_large=\"drop\" leaves it out') AS ARRAY<BOOLEAN>)"
 
 
 def flatten_json(
@@ -318,9 +321,11 @@ def flatten_json(
     a first element is read, ...); a *missing* node only yields NULL leaves.
     ``strict=False`` turns those wrong-kind nodes into NULL leaves instead.
 
-    A document beyond the JSON parser's limits (a string of over 20,000,000
-    characters, or the Variant size limit) cannot be told from a malformed
-    one of that length; it stops the job with an error that says so, or is dropped
+    ``NaN``, ``Infinity`` and ``-Infinity`` are numbers, as are numbers that overflow a
+    double: their leaf text is the literal's (inside a nested leaf, a JSON string).
+    Strings and numbers may have any length. Only a document with over 100,000,000 bytes
+    beside its long strings may be beyond the size of a Variant; it cannot be told from a
+    malformed one then, and stops the job with an error that says so, or is dropped
     with ``too_large="drop"`` (``json_rejects`` labels it ``too_large``).
     """
     keys = tuple(spec.key_columns if keys is None else keys)
@@ -328,7 +333,7 @@ def flatten_json(
     with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
         cols = plan.build(df.where(f"{V.ident(payload)} IS NOT NULL"), payload, keys)
     ok = plan.keep_condition()
-    keep = f"CASE WHEN {V.maybe_too_large(_T, _W)} THEN {too_large_action(too_large)} WHEN {ok} THEN array(true) END"
+    keep = f"CASE WHEN {V.maybe_too_large(_T, _W, plan.key_length)} THEN {too_large_action(too_large)} WHEN {ok} THEN array(true) END"
     kept = cols.selectExpr(*[V.ident(k) for k in keys], *plan.columns(), f"explode({keep}) AS __keep")
     payload_cols = set(spec.payload_columns())
     return kept.selectExpr(
@@ -353,7 +358,7 @@ def json_rejects(
     with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
         cols = plan.build(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS payload",))
     whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in plan.checks())
-    reason = f"CASE WHEN payload IS NULL THEN 'null_payload' WHEN {V.maybe_too_large('payload', _W)} THEN 'too_large' {whens} END"
+    reason = f"CASE WHEN payload IS NULL THEN 'null_payload' WHEN {V.maybe_too_large(_T, _W, plan.key_length)} THEN 'too_large' {whens} END"
     # explode instead of a filter, so the document is parsed once (see module doc)
     tagged = cols.selectExpr(*[V.ident(k) for k in keys], "payload", f"{reason} AS __reason")
     return tagged.selectExpr(

@@ -241,7 +241,7 @@ def _source_sql(doc_sql: str, payload: str) -> str:
             SELECT l_orderkey, sort_array(collect_list({LEG_STRUCT})) AS legs
             FROM {{lineitem}} GROUP BY l_orderkey),
         carried AS (
-            SELECT orders.*, legs.legs FROM {{orders}} orders LEFT JOIN legs ON o_orderkey = l_orderkey)
+            SELECT /*+ MERGE(legs) */ orders.*, legs.legs FROM {{orders}} orders LEFT JOIN legs ON o_orderkey = l_orderkey)
         SELECT {SPARK_KEYS}, {doc_sql} AS {payload}
         FROM carried o LEFT JOIN {{customer}} c ON o.o_custkey = c.c_custkey
     """
@@ -250,8 +250,10 @@ def _source_sql(doc_sql: str, payload: str) -> str:
 def payload_table(spark: SparkSession, sf_dir: str, doc_sql: str, payload: str) -> DataFrame:
     """One payload document per order, with all of the order's lines.
 
-    Lines are grouped by order once; orders join on that partitioning, then
-    customers. A document is one row by nature, so its lines meet in one task.
+    Lines are grouped by order once; orders join on that partitioning (a merge join:
+    Spark's size estimate does not see the collected lines and would broadcast them), then
+    customers, so documents are built in as many tasks as there are partitions of
+    orders. A document is one row by nature, so its lines meet in one task.
     """
     frames = {name: _t(spark, sf_dir, name) for name in ("orders", "customer", "lineitem")}
     return sql_over(spark, _source_sql(doc_sql, payload), frames)
