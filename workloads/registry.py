@@ -565,8 +565,21 @@ def q_read_export_all(spark, sf_dir):
     return read_export(spark, _export_folder(spark, sf_dir))
 
 
+NESTED_LEVELS = 12
+
+
 def q_unnest_nested(spark, sf_dir):
-    return read_export(spark, _export_folder(spark, sf_dir), ["pk", "place"])
+    # maps and lists in turn around a text with line separators, sets and binary
+    deep = "named_struct('S', concat(c_name, '\u2028x\u0085'))"
+    for level in range(NESTED_LEVELS):
+        deep = f"named_struct('M', named_struct('k', {deep}))" if level % 2 else f"named_struct('L', array({deep}))"
+    path = _scratch(spark, "export-nested")
+    _t(spark, sf_dir, "customer").where("c_nationkey <> 3").selectExpr(
+        "to_json(named_struct('Item', named_struct('pk', named_struct('S', c_name), "
+        "'place', named_struct('M', named_struct('nation', named_struct('N', CAST(c_nationkey AS STRING)), 'tags', named_struct('L', array(named_struct('S', c_mktsegment))))), "
+        f"'deep', {deep}, 'seen', named_struct('SS', array(c_mktsegment, c_name)), 'counts', named_struct('NS', array(CAST(c_custkey AS STRING), '1')), 'raw', named_struct('B', 'AA==')))) AS value"
+    ).write.option("compression", "gzip").text(path)
+    return read_export(spark, path, ["pk", "place", "deep", "seen", "counts", "raw"])
 
 
 def q_export_reject_count(spark, sf_dir):
@@ -610,7 +623,40 @@ def q_bm_xml_every_field(spark, sf_dir):
     return flatten_xml(_filled(spark, sf_dir, "bm.xml", "bmPayload"), "bmPayload", BM_XML)
 
 
+NON_FINITE_SPEC = FlattenSpec("non_finite", (Group("n", ("v", "w")), Group("n/legs", ("v",), "leg_", "legs", 2)), key_columns=("order_id", "line_no"))
+
+
+def q_json_non_finite(spark, sf_dir):
+    # what lenient writers emit: literals without digits, numbers that overflow; texts that only look like them; malformed uses
+    lines = _t(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS order_id", "CAST(l_linenumber AS STRING) AS line_no",
+        "concat('{\"n\":{\"w\":', CAST(l_suppkey AS STRING), ',', CASE l_partkey % 8 WHEN 0 THEN '\"v\":NaN' WHEN 1 THEN '\"v\": -Infinity ' WHEN 2 THEN '\"v\":1e400' "
+        "WHEN 3 THEN concat('\"v\":\"NaN \\\\\" Infinity ', CAST(l_partkey AS STRING), '\"') WHEN 4 THEN '\"legs\":[{\"v\":Infinity},{\"v\":-2.5E+999},NaN]' "
+        "WHEN 5 THEN 'NaN:1' WHEN 6 THEN '\"v\":-NaN' ELSE '\"v\":{\"x\":[NaN,1]}' END, '}}') AS doc")
+    return flatten_json(lines, "doc", NON_FINITE_SPEC)
+
+
+NAMES_SPEC = FlattenSpec("names", (Group("Envelope/Body", ("tagNbr", "status")),), key_columns=("pk",))
+
+
+def q_xml_scopes(spark, sf_dir):
+    # prefixes in and out of scope, document types with and without entities, names in another case, prefixed attributes
+    orders = _t(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS pk", "to_json(named_struct('text', concat("
+        "CASE o_custkey % 10 WHEN 0 THEN '<!DOCTYPE Envelope>' WHEN 1 THEN '<?xml version=\"1.0\"?><!DOCTYPE Envelope [<!ENTITY s \"entity\">]>' ELSE '' END, "
+        "CASE o_custkey % 10 WHEN 2 THEN '<Envelope xmlns:q=\"urn:q\">' WHEN 3 THEN '<ENVELOPE>' ELSE '<Envelope>' END, "
+        "CASE o_custkey % 10 WHEN 4 THEN '<Body TAGNBR=\"9\">' WHEN 5 THEN '<Body xmlns:n=\"urn:n\" n:tagNbr=\"9\">' ELSE '<Body>' END, "
+        "CASE o_custkey % 10 WHEN 2 THEN concat('<q:tagNbr>', CAST(o_orderkey AS STRING), '</q:tagNbr>') WHEN 6 THEN concat('<q:tagNbr>', CAST(o_orderkey AS STRING), '</q:tagNbr>') "
+        "WHEN 7 THEN concat('<a xmlns:q=\"urn:q\"/><q:tagNbr>', CAST(o_orderkey AS STRING), '</q:tagNbr>') WHEN 8 THEN concat('<TagNbr>', CAST(o_orderkey AS STRING), '</TagNbr>') "
+        "ELSE concat('<tagNbr>', CAST(o_orderkey AS STRING), '</tagNbr>') END, "
+        "CASE o_custkey % 10 WHEN 1 THEN '<status>&s;</status>' WHEN 9 THEN '<status>&s;</status>' ELSE concat('<status>', o_orderstatus, '</status>') END, "
+        "'</Body>', CASE o_custkey % 10 WHEN 3 THEN '</ENVELOPE>' ELSE '</Envelope>' END))) AS doc")
+    return flatten_xml(orders, "doc", NAMES_SPEC)
+
+
 QUERIES = {
+    "json_non_finite": q_json_non_finite,
+    "xml_scopes": q_xml_scopes,
     "json_object": q_json_object,
     "scan_flat": q_scan_flat,
     "bm_flat": q_bm_flat,
@@ -740,12 +786,25 @@ ORACLE = {
         "(l_suppkey + 1) || '00000000000000000000001' AS digits, l_suppkey || '.0' AS leg_0_v, '-0.0' AS leg_1_v, "
         "CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"
     ),
+    "json_non_finite": (
+        "SELECT CASE l_partkey % 8 WHEN 0 THEN 'NaN' WHEN 1 THEN '-Infinity' WHEN 2 THEN 'Infinity' WHEN 3 THEN 'NaN \" Infinity ' || l_partkey "
+        "WHEN 7 THEN '{\"x\":[\"NaN\",1]}' END AS v, CAST(l_suppkey AS VARCHAR) AS w, CASE WHEN l_partkey % 8 = 4 THEN 'Infinity' END AS leg_0_v, "
+        "CASE WHEN l_partkey % 8 = 4 THEN '-Infinity' END AS leg_1_v, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no "
+        "FROM lineitem WHERE l_partkey % 8 NOT IN (5, 6)"
+    ),
+    "xml_scopes": (
+        "SELECT CASE WHEN o_custkey % 10 NOT IN (3, 8) THEN CAST(o_orderkey AS VARCHAR) END AS \"tagNbr\", "
+        "CASE o_custkey % 10 WHEN 1 THEN 'entity' WHEN 3 THEN NULL ELSE o_orderstatus END AS status, CAST(o_orderkey AS VARCHAR) AS pk "
+        "FROM orders WHERE o_custkey % 10 NOT IN (6, 7, 9)"
+    ),
     "read_export_all": (
         "SELECT c_name AS pk, c_mktsegment AS \"stationCode\", CAST(c_acctbal > 0 AS VARCHAR) AS active, "
         "'{\"nation\":' || c_nationkey || ',\"tags\":[\"' || c_mktsegment || '\"]}' AS place FROM customer WHERE c_nationkey <> 3"
     ),
     "unnest_nested": (
-        "SELECT c_name AS pk, '{\"nation\":' || c_nationkey || ',\"tags\":[\"' || c_mktsegment || '\"]}' AS place FROM customer WHERE c_nationkey <> 3"
+        "SELECT c_name AS pk, '{\"nation\":' || c_nationkey || ',\"tags\":[\"' || c_mktsegment || '\"]}' AS place, "
+        f"'{'{"k":[' * (NESTED_LEVELS // 2)}\"' || c_name || chr(8232) || 'x' || chr(133) || '\"{']}' * (NESTED_LEVELS // 2)}' AS deep, "
+        "'[\"' || c_mktsegment || '\",\"' || c_name || '\"]' AS seen, '[' || c_custkey || ',1]' AS counts, 'AA==' AS raw FROM customer WHERE c_nationkey <> 3"
     ),
     "export_reject_count": "SELECT '{\"Item\":{\"pk\"' AS line, count(*) AS n FROM customer WHERE c_nationkey = 3 HAVING count(*) > 0",
     "read_table": "SELECT s_suppkey, s_nationkey FROM supplier",
