@@ -17,7 +17,8 @@ and the table of files (one row a file) holds those of tasks that succeeded. Sta
 offsets come from a running sum over that table.
 
 The tokenizers library encodes whole texts; with a byte-level vocabulary a task gives it
-each distinct part between single spaces once and remembers its ids (bounded;
+each distinct part between single spaces once: texts are split, and their parts numbered and replaced
+by ids, with vector operations over some texts at once. The ids of short parts are remembered (a bounded number;
 forgetting changes no result).
 
 Defined cases: a NULL text has the end id alone; rows with equal ids follow each
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -46,11 +48,12 @@ from .files import NewFile, open_file
 
 MAGIC = b"PFORTOK1"
 BLOCK, PERCENTILE, FILE_TOKENS, END_ID = 1024, 0.9, 1 << 23, 2
-#: Parts that a task remembers.
-REMEMBERED = 1_000_000
+#: Parts that a task remembers, and the characters of the longest that it does: some 250 MB of Python objects at most.
+REMEMBERED, LONGEST_PART = 1_000_000, 32
 _TRAILER = struct.Struct("<8sIQQQ")
 _HEAD = struct.Struct("<IBH")
 _AT_ONCE = 256  # blocks packed or unpacked together
+_TEXTS = 512  # texts encoded together
 
 
 # ---- blocks -------------------------------------------------------------------
@@ -226,43 +229,66 @@ class LibraryEncoder:
         self.n_bytes = np.zeros(1 + max(vocabulary.values(), default=0), np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # parts of up to LONGEST_PART characters
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learned(self, parts: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
         for at in range(0, len(parts), 2048):
             some = parts[at:at + 2048]
             (e,) = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
             ids = np.array(e.ids, "<u4")
             ends = np.cumsum([1 + len(p.encode("utf-8", "surrogatepass")) for p in some])
             raw, cuts = ids.tobytes(), [0, *(4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()]
-            self.known.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+            out.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+        return out
+
+    def _ids_of(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of different parts ``" part"``; None for those that white space other than single spaces touches."""
+        found = list(map(self.known.get, parts))
+        unknown = [i for i, x in enumerate(found) if x is None]
+        new = [p for p in map(parts.__getitem__, unknown) if p and not p[0].isspace() and not p[-1].isspace()]
+        if new:
+            learned = self._learned(new)
+            for i in unknown:
+                found[i] = learned.get(parts[i])
+            short = {p: x for p, x in learned.items() if len(p) <= LONGEST_PART}
+            if len(self.known) + len(short) > REMEMBERED:
+                self.known.clear()
+            if len(short) <= REMEMBERED:
+                self.known.update(short)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_part:
+        if not self.by_part or not texts:
             return self._whole(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, new, split = self.known, set(), []
-        for text in texts:
-            parts = text.split(" ")
-            split.append(parts)
-            new.update(set(parts[1:]).difference(known))
-        new = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        self._learn(new)
-        firsts = self._whole([p[0] for p in split])
-        out: list[bytes | None] = []
-        for parts, first in zip(split, firsts):
-            try:
-                ok = len(parts) == 1 or (parts[0] and not parts[0][-1].isspace())
-                out.append(b"".join([first, *map(known.__getitem__, parts[1:])]) if ok else None)
-            except KeyError:  # other white space
-                out.append(None)
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._whole([texts[i] for i in rest])):
-            out[i] = x
+        n = len(texts)
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets, coded = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+        codes, parts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        first = codes[offsets[:-1]]
+        rest = np.ones(len(codes), bool)
+        rest[offsets[:-1]] = False
+        rest = codes[rest]
+        cuts = offsets - np.arange(n + 1)  # the parts after the first, before each text
+        ids = self._ids_of(parts)
+        odd = np.array([x is None for x in ids], bool)
+        size = np.array([len(x) // 4 if x else 0 for x in ids], np.int64)
+        joined, starts = np.frombuffer(b"".join([x or b"" for x in ids]), "<u4"), np.cumsum(size) - size
+        length = size[rest]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        tokens = joined[np.repeat(starts[rest] - ends[:-1], length) + np.arange(ends[-1])]
+        n_odd = np.concatenate(([0], np.cumsum(odd[rest]))) if len(rest) else np.zeros(1, np.int64)
+        alone = np.diff(cuts) == 0
+        # the first part has to end in no white space, unless it is the whole text
+        bad_end = np.array([not parts[i] or parts[i][-1].isspace() for i in first.tolist()], bool)
+        whole = ~alone & (bad_end | (n_odd[cuts[1:]] > n_odd[cuts[:-1]]))
+        out: list[bytes] = self._whole([texts[i] if whole[i] else parts[first[i]] for i in range(n)])
+        bounds = ends[cuts]
+        for i in np.flatnonzero(~whole & ~alone).tolist():
+            out[i] += tokens[bounds[i]:bounds[i + 1]].tobytes()
         return out
 
 
@@ -295,9 +321,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int
                                               pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                ids = b.column(0).slice(at, 64).to_pylist()
-                for i, raw in zip(ids, enc.encode([t or "" for t in b.column(1).slice(at, 64).to_pylist()])):
+            for at in range(0, b.num_rows, _TEXTS):
+                ids = b.column(0).slice(at, _TEXTS).to_pylist()
+                for i, raw in zip(ids, enc.encode([t or "" for t in b.column(1).slice(at, _TEXTS).to_pylist()])):
                     if writer is None:
                         path = f"{out_dir}/part-{part:06d}-{number:04d}-{attempt}.tok"
                         writer = TokenFileWriter(path)
