@@ -17,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.json_flatten import flatten_json, json_rejects
-from .operators.xml_flatten import flatten_xml, xml_rejects
+from .operators.json_flatten import flatten_json, json_outcomes
+from .operators.xml_flatten import flatten_xml, xml_outcomes
 from .operators.relational import apply_mapping, previous_day, sql_file
 from .plans.catalog import BM, BM_XML, CEP_XML, SCAN
+from .session import scratch_path
 from .sinks.files import write_parquet, write_single_csv
+from .sinks.outcomes import write_outcomes
 from .sources.export import export_lines, export_rejects, read_export
 
 JSON_MAPPING = [(c, "string", c, "string") for c in ("sk", "pk", "scanResponse", "bmResponse", "upsertTimestamp")]
@@ -51,16 +53,20 @@ def extract_previous_day(spark: SparkSession, export_path: str, out_path: str, *
 
 def flatten_responses(spark: SparkSession, table: DataFrame, scan_out: str, bm_out: str, *,
                       query_path: str | None = None, strict: bool = True, rejects_out: str | None = None):
-    """``rejects_out``: also write the dropped rows with their reason under
-    ``rejects_out/<scan|bm>`` (a second pass over the payloads; off by default)."""
+    """``rejects_out``: also write the dropped rows with their reason under ``rejects_out/<scan|bm>``;
+    payloads are still parsed once, kept and dropped rows are copied from one tagged table."""
     src = apply_mapping(table, JSON_MAPPING)
     counts = {}
     for name, col, spec, out in (("scan", "scanResponse", SCAN, scan_out), ("bm", "bmResponse", BM, bm_out)):
+        if rejects_out:
+            done = write_outcomes(json_outcomes(src, col, spec, strict=strict), scratch_path(spark, f"outcomes-{name}"), spec)
+            write_parquet(done.kept, out)
+            write_parquet(done.rejects, f"{rejects_out}/{name}")
+            counts[name] = done.counts.get("kept", 0)
+            continue
         df, obs = _counted(flatten_json(src, col, spec, strict=strict), name)
         write_parquet(df, out)
         counts[name] = obs.get["rows"]
-        if rejects_out:
-            write_parquet(json_rejects(src, col, spec, strict=strict), f"{rejects_out}/{name}")
     result = None
     if query_path:
         frames = {"scan": spark.read.parquet(scan_out), "bm": spark.read.parquet(bm_out)}
@@ -79,9 +85,13 @@ def flatten_payloads(spark: SparkSession, table: DataFrame, cep_out: str, bm_out
     sink = write_single_csv if single_file else write_csv
     counts = {}
     for name, col, spec, out in (("cep", "cepPayload", CEP_XML, cep_out), ("bm", "bmPayload", BM_XML, bm_out)):
+        if rejects_out:
+            done = write_outcomes(xml_outcomes(src, col, spec, strict=strict, single_leg=single_leg), scratch_path(spark, f"outcomes-{name}"), spec)
+            sink(done.kept, out)
+            write_parquet(done.rejects, f"{rejects_out}/{name}")
+            counts[name] = done.counts.get("kept", 0)
+            continue
         df, obs = _counted(flatten_xml(src, col, spec, strict=strict, single_leg=single_leg), name)
         sink(df, out)
         counts[name] = obs.get["rows"]
-        if rejects_out:
-            write_parquet(xml_rejects(src, col, spec, strict=strict, single_leg=single_leg), f"{rejects_out}/{name}")
     return counts

@@ -366,3 +366,37 @@ def json_rejects(
         "payload",
         "explode(CASE WHEN __reason IS NOT NULL THEN array(__reason) END) AS reject_reason",
     )
+
+
+def json_outcomes(
+    df: DataFrame,
+    payload: str,
+    spec: FlattenSpec,
+    *,
+    keys: tuple[str, ...] | None = None,
+    strict: bool = True,
+    duplicate_keys: str = "last",
+) -> DataFrame:
+    """Every row of ``df`` with its outcome, from one parse: the columns of ``flatten_json``, then
+    ``payload`` and ``reject_reason`` as in ``json_rejects``, both NULL for the rows that are kept.
+
+    ``unfurl.sinks.outcomes.write_outcomes`` splits it into the two tables.
+    """
+    keys = tuple(spec.key_columns if keys is None else keys)
+    plan = _Plan(spec, strict)
+    with duplicate_keys_last(df.sparkSession, duplicate_keys == "last"):
+        cols = plan.build(df, payload, keys, extra=(f"CAST({V.ident(payload)} AS STRING) AS __payload",))
+    whens = " ".join(f"WHEN NOT {c} THEN '{label}'" for label, c in plan.checks())
+    # kept rows answer by the nested condition; only others look for the first failed check
+    reason = (f"CASE WHEN __payload IS NULL THEN 'null_payload' WHEN {V.maybe_too_large(_T, _W, plan.key_length)} THEN 'too_large' "
+              f"WHEN {plan.keep_condition()} THEN NULL ELSE CASE {whens} END END")
+    tagged = cols.selectExpr(*[V.ident(k) for k in keys], "__payload", *plan.columns(), f"{reason} AS reject_reason")
+    payload_cols = set(spec.payload_columns())
+    leaf = lambda e: "CASE WHEN reject_reason IS NULL THEN {} END AS {}".format(*e.rsplit(" AS ", 1))
+    return tagged.selectExpr(
+        *map(leaf, plan.leaf_exprs()),
+        *[V.ident(k) for k in keys if k not in payload_cols],
+        *[f"CAST(NULL AS STRING) AS {V.ident(c)}" for c in spec.null_columns],
+        "CASE WHEN reject_reason IS NOT NULL THEN __payload END AS payload",
+        "reject_reason",
+    )

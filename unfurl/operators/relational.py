@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.variant import ident
 
@@ -37,6 +38,32 @@ def map_to_columns(df: DataFrame, map_col: str, keys: Iterable[str], *, keep: It
     return df.select(*keep, *[F.col(map_col).getItem(k).alias(k) for k in keys])
 
 
+_LAST = "\U0010ffff"
+
+
+def _day_ranges(s: str, day: str) -> str:
+    """A condition on the text ``s`` that holds for every text that reads as a timestamp from the day before
+    ``day`` to ``day``, made of comparisons with constants, so that it reaches file statistics.
+
+    A zone in the text may be 18 hours from UTC and the session's 14, so its date may be two days off on either side. Within
+    these days padded dates are one range; months or days of one digit, dates without day or month, and times without a
+    date have ranges of their own. Texts that start with another character than 1 to 9 (blanks, signs, zeros, ``T``)
+    are all kept. Years beyond four digits: everything is kept.
+    """
+    days = [f"date_add({day}, {k})" for k in range(-3, 3)]
+    form = lambda d, f: f"date_format({d}, '{f}')"
+    between = lambda low, high: f"({s} >= {low} AND {s} < {high})"
+    ranges = [f"{s} < '1'", f"{s} >= ':'", between(form(days[0], "yyyy-MM-dd"), form(f"date_add({day}, 3)", "yyyy-MM-dd"))]
+    for d in days:
+        ranges.append(f"(month({d}) < 10 AND {s} >= concat({form(d, 'yyyy-M')}, '-') AND {s} < concat({form(d, 'yyyy-M')}, '.'))")
+        short = form(d, "yyyy-MM-d")
+        ranges.append(f"(day({d}) < 10 AND (({s} >= {short} AND {s} < concat({short}, '0')) OR ({s} >= concat({short}, ':') AND {s} < concat({short}, '{_LAST}'))))")
+        ranges.append(f"(day({d}) = 1 AND ({between(form(d, 'yyyy-MM'), f"concat({form(d, 'yyyy-MM')}, '-')")} OR (month({d}) < 10 AND {between(form(d, 'yyyy-M'), f"concat({form(d, 'yyyy-M')}, '-')")}) "
+                      f"OR (month({d}) = 1 AND {between(form(d, 'yyyy'), f"concat({form(d, 'yyyy')}, '-')")})))")
+    ranges += [between(f"'{h}:'", f"'{h};'") for h in range(1, 24)]  # times without a date: today's
+    return f"(NOT year({day}) BETWEEN 1001 AND 9998 OR {' OR '.join(ranges)})"
+
+
 def previous_day(
     df: DataFrame,
     ts_col: str = "upsertTimestamp",
@@ -50,7 +77,9 @@ def previous_day(
     default, so a row stamped exactly at midnight belongs to two daily runs;
     ``inclusive_end=False`` gives the half-open day. Text that does not read
     as a timestamp (``try_cast``) is excluded, never an error. ``run_date``
-    defaults to ``current_date()``.
+    defaults to ``current_date()``. On text columns a wider condition of plain string
+    ranges goes before the exact one (``_day_ranges``), so files and row groups whose
+    statistics rule the days out are not read.
     """
     if run_date is None:
         day = "current_date()"
@@ -60,6 +89,8 @@ def previous_day(
     end = f"{start} + INTERVAL 1 DAY"
     ts = f"try_cast({ident(ts_col)} AS TIMESTAMP)"
     cond = f"{ts} BETWEEN {start} AND {end}" if inclusive_end else f"{ts} >= {start} AND {ts} < {end}"
+    if any(f.name.lower() == ts_col.lower() and f.dataType == StringType() for f in df.schema):
+        df = df.where(_day_ranges(ident(ts_col), day))
     return df.where(cond)
 
 

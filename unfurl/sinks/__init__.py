@@ -1,3 +1,4 @@
 from .files import CSV_OPTIONS, write_csv, write_parquet, write_single_csv
+from .outcomes import Outcomes, write_outcomes
 
-__all__ = ["CSV_OPTIONS", "write_csv", "write_parquet", "write_single_csv"]
+__all__ = ["CSV_OPTIONS", "Outcomes", "write_csv", "write_outcomes", "write_parquet", "write_single_csv"]

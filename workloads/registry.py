@@ -21,6 +21,7 @@ from unfurl import (
     apply_mapping,
     flatten_json,
     flatten_xml,
+    json_outcomes,
     json_rejects,
     map_to_columns,
     previous_day,
@@ -29,7 +30,9 @@ from unfurl import (
     sql_file,
     sql_over,
     unnest_typed,
+    write_outcomes,
     write_parquet,
+    xml_outcomes,
     xml_rejects,
 )
 from unfurl.plans.spec import FlattenSpec, Group
@@ -654,7 +657,35 @@ def q_xml_scopes(spark, sf_dir):
     return flatten_xml(orders, "doc", NAMES_SPEC)
 
 
+def _outcomes(spark, name, tagged, spec):
+    """Rows by outcome, counted in both tables that one write made."""
+    done = write_outcomes(tagged, _scratch(spark, name), spec)
+    return done.kept.agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("n")).unionByName(
+        done.rejects.groupBy(F.col("reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_json_outcomes(spark, sf_dir):
+    return _outcomes(spark, "json-outcomes", json_outcomes(damaged_scan_payloads(spark, sf_dir), "scanResponse", SCAN), SCAN)
+
+
+def q_xml_outcomes(spark, sf_dir):
+    return _outcomes(spark, "xml-outcomes", xml_outcomes(cep_payloads(spark, sf_dir), "cepPayload", CEP_XML), CEP_XML)
+
+
+def q_prev_day_offsets(spark, sf_dir):
+    # texts with an hour and a zone of their own, stored, so that the window's string ranges meet file statistics
+    path = _scratch(spark, "stamped")
+    _t(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "concat(CAST(CAST(o_orderdate AS DATE) AS STRING), CASE o_custkey % 3 WHEN 0 THEN 'T' ELSE ' ' END, lpad(CAST(o_orderkey % 24 AS STRING), 2, '0'), ':30:00', "
+        "CASE WHEN o_custkey % 37 < 18 THEN '-' ELSE '+' END, lpad(CAST(abs(o_custkey % 37 - 18) AS STRING), 2, '0'), ':00') AS upsertTimestamp",
+    ).repartitionByRange("upsertTimestamp").write.parquet(path)
+    return previous_day(spark.read.parquet(path), run_date=PREV_DAY_RUN)
+
+
 QUERIES = {
+    "json_outcomes": q_json_outcomes,
+    "xml_outcomes": q_xml_outcomes,
+    "prev_day_offsets": q_prev_day_offsets,
     "json_non_finite": q_json_non_finite,
     "xml_scopes": q_xml_scopes,
     "json_object": q_json_object,
@@ -786,6 +817,14 @@ ORACLE = {
         "(l_suppkey + 1) || '00000000000000000000001' AS digits, l_suppkey || '.0' AS leg_0_v, '-0.0' AS leg_1_v, "
         "CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"
     ),
+    "json_outcomes": f"SELECT reject_reason AS outcome, n FROM ({_JSON_REJECTS}) UNION ALL SELECT 'kept', count(*) FROM orders WHERE o_orderpriority = '5-LOW'",
+    "xml_outcomes": (f"SELECT reject_reason AS outcome, n FROM ({_XML_REJECTS}) WHERE n > 0 UNION ALL SELECT 'kept', count(*) FROM orders o "
+                     f"LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) lc ON o.o_orderkey = lc.l_orderkey {_XML_WHERE}"),
+    "prev_day_offsets": (
+        "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || CASE o_custkey % 3 WHEN 0 THEN 'T' ELSE ' ' END || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00' "
+        "|| CASE WHEN o_custkey % 37 < 18 THEN '-' ELSE '+' END || lpad(CAST(abs(o_custkey % 37 - 18) AS VARCHAR), 2, '0') || ':00' AS \"upsertTimestamp\" FROM orders "
+        "WHERE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_minutes(CAST((o_orderkey % 24) * 60 + 30 - (o_custkey % 37 - 18) * 60 AS INTEGER)) BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-01-02'"
+    ),
     "json_non_finite": (
         "SELECT CASE l_partkey % 8 WHEN 0 THEN 'NaN' WHEN 1 THEN '-Infinity' WHEN 2 THEN 'Infinity' WHEN 3 THEN 'NaN \" Infinity ' || l_partkey "
         "WHEN 7 THEN '{\"x\":[\"NaN\",1]}' END AS v, CAST(l_suppkey AS VARCHAR) AS w, CASE WHEN l_partkey % 8 = 4 THEN 'Infinity' END AS leg_0_v, "
