@@ -1,0 +1,78 @@
+"""A table is replaced whole or not at all."""
+
+import os
+import signal
+import subprocess
+import sys
+import time
+
+import pytest
+from pyspark.errors import PySparkException
+
+from unfurl import read_table
+from unfurl.sinks.versions import current_version, drop_old_versions, read_current, replace_table, roll_back
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_replace_read_and_roll_back(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, path)
+    replace_table(spark.range(3), path)
+    planned = read_table(spark, path)
+    replace_table(read_table(spark, path).selectExpr("id + 10 AS id"), path)  # reads what it replaces
+    assert _ids(read_table(spark, path)) == [10, 11, 12] and _ids(planned) == [0, 1, 2]
+    roll_back(spark, path)
+    assert _ids(read_table(spark, path)) == [0, 1, 2]
+    replace_table(spark.range(0), path)
+    assert _ids(read_table(spark, path)) == []
+    assert drop_old_versions(spark, path) == 2 and _ids(read_table(spark, path)) == []
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    replace_table(spark.range(5), path)
+    bad = spark.range(0, 1000, 1, 4).selectExpr("CASE WHEN id = 999 THEN raise_error('stop') ELSE id END AS id")
+    with pytest.raises(PySparkException, match="stop"):
+        replace_table(bad, path)
+    assert _ids(read_table(spark, path)) == [0, 1, 2, 3, 4]
+
+
+def test_plain_tables_are_read_as_before(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "plain")
+    spark.range(2).write.parquet(path)
+    assert current_version(spark, path) is None and _ids(read_table(spark, path)) == [0, 1]
+
+
+_WRITER = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from unfurl.session import get_session
+from unfurl.sinks.versions import replace_table
+spark = get_session("writer", master="local[2]", shuffle_partitions=2)
+print("READY", flush=True)
+replace_table(spark.range(0, 40, 1, 40).selectExpr("id + 100 AS id", "java_method('java.lang.Thread', 'sleep', 250L) AS s"), sys.argv[2])
+"""
+
+
+def test_killed_writer_leaves_the_old_table(spark, tmp_dir):
+    """The writer is killed when parts of its version are there."""
+    path = os.path.join(tmp_dir, "t")
+    replace_table(spark.range(3), path)
+    writer = subprocess.Popen([sys.executable, "-c", _WRITER, ROOT, path], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True, start_new_session=True)
+    try:
+        assert writer.stdout.readline().strip() == "READY"
+        versions, end = os.path.join(path, "versions"), time.time() + 60
+        while time.time() < end and not any("_temporary" in folder and any(f.startswith("part-") for f in files) for folder, _, files in os.walk(versions)):
+            time.sleep(0.05)
+    finally:
+        os.killpg(writer.pid, signal.SIGKILL)
+        writer.wait()
+    assert len(os.listdir(versions)) == 2
+    assert _ids(read_table(spark, path)) == [0, 1, 2]
+    assert drop_old_versions(spark, path) == 1 and _ids(read_table(spark, path)) == [0, 1, 2]

@@ -12,11 +12,12 @@ from .plans.catalog import BM, BM_XML, CEP_XML, SCAN, SPECS
 from .plans.spec import FlattenSpec, Group
 from .sinks.files import write_csv, write_parquet, write_single_csv
 from .sinks.outcomes import Outcomes, write_outcomes
+from .sinks.versions import replace_table
 from .sources.export import read_export, read_table, unnest_typed
 
 __all__ = [
     "BM", "BM_XML", "CEP_XML", "SCAN", "SPECS", "FlattenSpec", "Group",
     "Outcomes", "apply_mapping", "flatten_json", "json_outcomes", "write_outcomes", "xml_outcomes", "json_leaf_text", "parse_json_strict", "flatten_xml", "json_rejects", "map_to_columns", "previous_day",
-    "read_export", "read_table", "sql_file", "sql_over", "unnest_typed", "write_csv", "write_parquet",
+    "replace_table", "read_export", "read_table", "sql_file", "sql_over", "unnest_typed", "write_csv", "write_parquet",
     "write_single_csv", "xml_rejects",
 ]

@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.variant import end_mark, ident, parse_strict, parsed_ok, quoted_key, sql_str
+from ..sinks.versions import current_version
 
 # public export format: tags of scalars (binary is base64 text), of sets, and of nested values
 TEXT_TAGS, BARE_TAGS = ("S", "B"), ("N", "BOOL")
@@ -171,7 +172,9 @@ def read_export(spark: SparkSession, path: str, attributes: Iterable[str] | None
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table by name, or a file table by path (``/``, ``:`` in the name)."""
+    """A catalog table by name, or a file table by path (``/``, ``:`` in the name): the committed
+    version of a table that ``replace_table`` writes, or else the files there."""
     if "/" in name_or_path or ":" in name_or_path:
-        return spark.read.format(fmt).load(name_or_path)
+        version = current_version(spark, name_or_path) if fmt == "parquet" else None
+        return spark.read.format(fmt).load(version or name_or_path)
     return spark.table(name_or_path)

@@ -8,8 +8,10 @@ compared with plain SQL over the same tables.
 
 from __future__ import annotations
 
+import contextlib
 import os
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from unfurl import (
     previous_day,
     read_export,
     read_table,
+    replace_table,
     sql_file,
     sql_over,
     unnest_typed,
@@ -682,7 +685,18 @@ def q_prev_day_offsets(spark, sf_dir):
     return previous_day(spark.read.parquet(path), run_date=PREV_DAY_RUN)
 
 
+def q_replace_table(spark, sf_dir):
+    # two runs over one table: the second reads what the first wrote and replaces it; the third fails on its way
+    path = _scratch(spark, "replaced")
+    replace_table(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path)
+    replace_table(read_table(spark, path).where("o_orderstatus <> 'P'"), path)
+    with contextlib.suppress(PySparkException):
+        replace_table(read_table(spark, path).selectExpr("o_orderkey", "CASE WHEN o_orderkey % 2 = 0 THEN raise_error('stopped') ELSE o_orderstatus END AS o_orderstatus"), path)
+    return read_table(spark, path)
+
+
 QUERIES = {
+    "replace_table": q_replace_table,
     "json_outcomes": q_json_outcomes,
     "xml_outcomes": q_xml_outcomes,
     "prev_day_offsets": q_prev_day_offsets,
@@ -817,6 +831,7 @@ ORACLE = {
         "(l_suppkey + 1) || '00000000000000000000001' AS digits, l_suppkey || '.0' AS leg_0_v, '-0.0' AS leg_1_v, "
         "CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"
     ),
+    "replace_table": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
     "json_outcomes": f"SELECT reject_reason AS outcome, n FROM ({_JSON_REJECTS}) UNION ALL SELECT 'kept', count(*) FROM orders WHERE o_orderpriority = '5-LOW'",
     "xml_outcomes": (f"SELECT reject_reason AS outcome, n FROM ({_XML_REJECTS}) WHERE n > 0 UNION ALL SELECT 'kept', count(*) FROM orders o "
                      f"LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) lc ON o.o_orderkey = lc.l_orderkey {_XML_WHERE}"),
