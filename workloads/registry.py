@@ -26,10 +26,12 @@ from unfurl import (
     json_outcomes,
     json_rejects,
     map_to_columns,
+    path_census,
     previous_day,
     read_export,
     read_table,
     replace_table,
+    spec_from_census,
     sql_file,
     sql_over,
     unnest_typed,
@@ -695,7 +697,20 @@ def q_replace_table(spark, sf_dir):
     return read_table(spark, path)
 
 
+def q_path_census(spark, sf_dir):
+    return path_census(_filled(spark, sf_dir, "scan.json", "scanResponse"), "scanResponse")
+
+
+def q_census_flatten(spark, sf_dir):
+    # the spec comes from the documents themselves
+    events = _t(spark, sf_dir, "events")
+    spec = spec_from_census(path_census(events, "props").collect(), "from_data", key_columns=("event_id", "user_id", "event_type"))
+    return flatten_json(events, "props", spec)
+
+
 QUERIES = {
+    "path_census": q_path_census,
+    "census_flatten": q_census_flatten,
     "replace_table": q_replace_table,
     "json_outcomes": q_json_outcomes,
     "xml_outcomes": q_xml_outcomes,
@@ -831,6 +846,9 @@ ORACLE = {
         "(l_suppkey + 1) || '00000000000000000000001' AS digits, l_suppkey || '.0' AS leg_0_v, '-0.0' AS leg_1_v, "
         "CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"
     ),
+    "path_census": "SELECT path, kind, k * (SELECT count(*) FROM orders) AS n FROM (VALUES {}) t(path, kind, k)".format(
+        ", ".join(f"('{path}', '{kind}', {n})" for (path, kind), n in templates.census("scan.json").items())),
+    "census_flatten": _EVENTS_ORACLE,
     "replace_table": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
     "json_outcomes": f"SELECT reject_reason AS outcome, n FROM ({_JSON_REJECTS}) UNION ALL SELECT 'kept', count(*) FROM orders WHERE o_orderpriority = '5-LOW'",
     "xml_outcomes": (f"SELECT reject_reason AS outcome, n FROM ({_XML_REJECTS}) WHERE n > 0 UNION ALL SELECT 'kept', count(*) FROM orders o "
