@@ -54,6 +54,9 @@ _TRAILER = struct.Struct("<8sIQQQ")
 _HEAD = struct.Struct("<IBH")
 _AT_ONCE = 256  # blocks packed or unpacked together
 _TEXTS = 512  # texts encoded together
+_PUNCTUATION = ".,;:!?"
+# Fixed: byte-level vocabularies write the bytes 80 to A0 and AD, which have no visible letter, from U+0122 on.
+_BYTE_LETTERS = {b: chr(0x122 + i) for i, b in enumerate([*range(0x80, 0xA1), 0xAD])}
 
 
 # ---- blocks -------------------------------------------------------------------
@@ -230,14 +233,35 @@ class LibraryEncoder:
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
         self.known: dict[str, bytes] = {}  # parts of up to LONGEST_PART characters
+        self.tails: dict[str, bytes] = {}  # punctuation without a space before it
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learned(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of new parts. A word of Latin letters, with or without punctuation behind it, is one piece of the pre-tokenizer
+        and one of punctuation, so the library's model takes it by itself; others are encoded with the space, many as one text."""
         out: dict[str, bytes] = {}
-        for at in range(0, len(parts), 2048):
-            some = parts[at:at + 2048]
+        rest: list[str] = []
+        known, tails, tokenize = self.known, self.tails, self.library.model.tokenize
+        for p in parts:
+            word = p.rstrip(_PUNCTUATION)
+            if not word.isalpha() or max(word) >= "\u0250":
+                rest.append(p)
+                continue
+            ids = known.get(word) or out.get(word)
+            if ids is None:
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                out[word] = ids = struct.pack(f"<{len(made)}I", *made) if (made := [t.id for t in tokenize("\u0120" + spelt)]) else b""
+            if len(word) < len(p):
+                tail = p[len(word):]
+                if tail not in tails:
+                    if len(tails) >= 10_000:
+                        tails.clear()
+                    tails[tail] = self._whole([tail])[0]
+                out[p] = ids + tails[tail]
+        for at in range(0, len(rest), 64):
+            some = rest[at:at + 64]
             (e,) = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
             ids = np.array(e.ids, "<u4")
             ends = np.cumsum([1 + len(p.encode("utf-8", "surrogatepass")) for p in some])
@@ -254,11 +278,8 @@ class LibraryEncoder:
             learned = self._learned(new)
             for i in unknown:
                 found[i] = learned.get(parts[i])
-            short = {p: x for p, x in learned.items() if len(p) <= LONGEST_PART}
-            if len(self.known) + len(short) > REMEMBERED:
-                self.known.clear()
-            if len(short) <= REMEMBERED:
-                self.known.update(short)
+            if len(self.known) < REMEMBERED:  # frequent parts come early and stay
+                self.known.update((p, x) for p, x in learned.items() if len(p) <= LONGEST_PART)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
