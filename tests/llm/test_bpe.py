@@ -61,3 +61,15 @@ def test_odd_rows(spark):
     assert [(r.n_tokens, r.ids_sha256 == empty) for r in got] == [(0, True)] * 3 + [(2, False)]
     assert bpe.encode_documents(docs, PATH, P.PATTERN, keep=("doc_id",)).columns == ["doc_id", "token_ids"]
     assert bpe.encode_report(docs.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_memory_of_matches_is_bounded():
+    """Long different matches are encoded rightly and not remembered."""
+    path = P.path("byte_bpe_50k.tiktoken")
+    codec = bpe.Codec(bpe.read_ranks(path), P.PATTERN, remembered=100)
+    library = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    rnd = random.Random(2)
+    for _ in range(60):
+        text = base64.b64encode(rnd.randbytes(3000)).decode().translate({43: 97, 47: 98}) + " short words " + str(rnd.random())
+        assert codec.encode(text) == library.encode_ordinary(text)
+    assert len(codec.known) <= 100 and max(map(len, codec.known)) <= bpe.LONGEST

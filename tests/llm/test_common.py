@@ -37,3 +37,21 @@ def test_words(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [list(r.w) for r in df.select(words(F.col("t")).alias("w")).collect()]
     assert got == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+
+
+def test_columns_with_the_operators_own_names_pass_through(spark):
+    import public_tokenizers
+
+    from unfurl.llm import bpe, langid, quality, simhash_dedup
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = ["__text", "__id", "__hash", "__rows", "__kept", "__words", "__lang", "__rejected", "root", "fp", "token_ids", "column_3_aside"]
+    more = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in odd])
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    stages = [quality.kept_documents, langid.accepted_documents, simhash_dedup.deduplicated, lambda d: bpe.encode_documents(d, path, public_tokenizers.PATTERN)]
+    for stage in stages:
+        plain, got = stage(docs), stage(more)
+        kept = [c for c in odd if c != "token_ids" or "token_ids" not in plain.columns]
+        assert got.columns == [*docs.columns, *kept, *plain.columns[len(docs.columns):]]
+        assert sorted(map(repr, got.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in got.collect() for c in kept)

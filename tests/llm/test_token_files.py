@@ -86,3 +86,14 @@ def test_odd_rows_and_many_files(spark, tmp_dir):
     assert [r.n_tokens for r in got] == [2, 9002, 3, 3, 1, 1]
     assert [r.start for r in got] == [0, 2, 9004, 9007, 9010, 9011]
     assert T.token_file_report(docs.limit(0), PATH).count() == 0
+
+
+def test_memory_of_parts_is_bounded():
+    """Five thousand long different parts: right ids, none of them remembered."""
+    enc = T.LibraryEncoder(P.path("byte_bpe_50k.json"))
+    rnd = random.Random(3)
+    texts = [" ".join(["short", "words,"] + [rnd.randbytes(100).hex() for _ in range(50)]) for _ in range(100)]
+    assert enc.encode(texts) == enc._whole(texts)
+    assert set(enc.known) <= {"short", "words", "words,"}
+    odd = ["", " ", "a", "a b", " a b", "a  b", "a\tb c", "naïve, déjà vu!? x", "it's we'll 'tis", "é.\u0301 b", "\u0250x y", "1,2 a.b. c;;", "\x85a b", "Straße. \u01c5a, \xadb"]
+    assert enc.encode(odd) == enc._whole(odd)

@@ -18,8 +18,8 @@ Two levels, both built from the same step, encode the halves and join them:
 
 Decoding joins the tokens' bytes up the tree.
 
-Spark reads and deals the rows; a task keeps the tokens of matches it has seen in a
-dictionary of bounded size, which changes no result. Texts of any length take memory
+Spark reads and deals the rows; a task keeps the tokens of short matches it has seen in a
+dictionary of bounded size (entries and length of each), which changes no result. Texts of any length take memory
 in proportion to the text; work is linear in its length times the tree's depth at the
 cuts only.
 
@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 LEAF_BYTES, LEAF_CHARS = 32, 1 << 15
 #: Characters beyond its end that may decide a match: the longest contraction has three.
 LOOK = 4
-#: Matches whose tokens a task remembers.
-REMEMBERED = 250_000
+#: Matches whose tokens a task remembers, and the characters of the longest that it does: some 100 MB of Python objects at most.
+REMEMBERED, LONGEST = 250_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -148,9 +148,10 @@ class Codec:
             piece = match.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(piece)
             got = (whole,) if whole is not None else tuple(self.tokens(piece))
-            if len(self.known) >= self.remembered:
-                self.known.clear()
-            self.known[match] = got
+            if len(match) <= LONGEST:
+                if len(self.known) >= self.remembered:
+                    self.known.clear()
+                self.known[match] = got
         return got
 
     # ---- matches of one text ------------------------------------------------
@@ -205,19 +206,21 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """``keep`` (default: all columns) and ``token_ids`` (array of ints) for each row."""
-    names = list(docs.columns if keep is None else keep)
+    """``keep`` (default: all columns) and ``token_ids`` (array of ints) for each row; a column of that name gives way."""
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() != "token_ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                ids = [c.encode(t or "") for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(ids, pa.list_(pa.int32()))], names=[*names, "token_ids"])
+                ids = [c.encode(t or "") for t in part.column(len(part.columns) - 1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], names=[*aside, "token_ids"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(F.col(text).alias("__text"), *names).mapInArrow(run, f"{schema}, token_ids array<int>" if schema else "token_ids array<int>")
+    aside = [f"column_{i}" for i in range(len(names))]
+    read = docs.select(*[F.col(c).alias(a) for c, a in zip(names, aside)], F.col(text).alias("text"))
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in read.schema[:-1])
+    return read.mapInArrow(run, f"{schema}token_ids array<int>").toDF(*names, "token_ids")
 
 
 def encode_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:

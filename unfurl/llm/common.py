@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_columns_aside(docs: DataFrame, used: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage(docs)``, which keeps the columns of ``docs`` first and in order, with all columns but ``used``
+    under names of no meaning meanwhile: whatever they are called, they never meet a name of the operator's own."""
+    names = docs.columns
+    out = stage(docs.toDF(*[c if c in used else f"column_{i}_aside" for i, c in enumerate(names)]))
+    return out.toDF(*names, *out.columns[len(names):])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, whatever the
     optimizer merges."""

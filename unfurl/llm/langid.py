@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, with_columns_aside
 
 DIM, MAX_N = 1 << 12, 3
 CLUSTERS, ROUNDS, SAMPLE, MAX_LANGS = 4, 12, 1500, 256
@@ -249,4 +249,4 @@ def language_report(docs: DataFrame) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """Documents whose language is found, columns as in ``docs``; learned from the rows not held out."""
     model = fit(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
-    return predict(docs, model).where("NOT __rejected").select(*docs.columns)
+    return with_columns_aside(docs, ("text",), lambda d: predict(d, model).where("NOT __rejected").select(*d.columns))

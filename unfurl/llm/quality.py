@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, stored, words
+from .common import SPACES, let, stored, with_columns_aside, words
 
 COMMON = 12
 CANDIDATES, SKETCH_ITEMS = 4 * COMMON, 16384
@@ -229,4 +229,4 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, columns as in ``docs``."""
-    return judged(docs, docs.columns).where("__kept").select(*docs.columns)
+    return with_columns_aside(docs, ("doc_id", "text", "lang"), lambda d: judged(d, d.columns).where("__kept").select(*d.columns))

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, connected_components, stored
+from .common import LOWER_AZ, connected_components, stored, with_columns_aside
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Lists of more members are linked without pairs. A comparison inside a join costs a
@@ -164,6 +164,10 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component, that with the smallest id (of equal ids, one text;
     of equal rows, one); columns as in ``docs``."""
+    return with_columns_aside(docs, ("doc_id", "text"), lambda d: _deduplicated(d, shingle, distance))
+
+
+def _deduplicated(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
     each = components(docs, shingle, distance).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
     first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "rows")).alias("x"))
     chosen = stored(first.select(F.col("x.doc_id").alias("__id"), F.col("x.text_hash").alias("__hash"), F.col("x.rows").alias("__rows")), "simhash-chosen")
