@@ -26,3 +26,11 @@ def test_nothing_else_imports_the_subpackage():
                 for f in files:
                     if f.endswith(".py"):
                         assert "llm" not in open(os.path.join(folder, f), encoding="utf-8").read(), f
+
+
+def test_entry_without_a_library_of_the_subpackage(tmp_dir):
+    """A missing third-party library takes the optional queries with it, no others."""
+    code = ("import sys; sys.modules['xxhash'] = None; import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as e; "
+            "assert 'scan_flat' in e.queries() and not any(n.startswith('op1_') for n in e.queries()); assert set(e.oracle_sql()) <= set(e.queries())")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120, env={**os.environ, "PYTHONPATH": ROOT})
+    assert out.returncode == 0, out.stderr
