@@ -60,6 +60,20 @@ def test_random_corpus(spark, bits, chunk, bucket_bytes):
     assert found(spark.createDataFrame(rows, SCHEMA).repartition(4), max_bits=bits, chunk=chunk, bucket_bytes=bucket_bytes) == want
 
 
+@pytest.mark.parametrize("partitions", ["2", "11"])
+def test_streams_of_many_ranges(spark, partitions):
+    """What a range's first rows follow stands in a range before, in both streams."""
+    rows = corpus(250, 3)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert found(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_words_of_small_buffers_are_those_of_whole_texts():
     texts = [r[1].encode() for r in corpus(60, 5)] + [b"word " * 500, b"", b"a.b" * 300]
     for size in (1, 7, 100, 1 << 20):

@@ -335,23 +335,24 @@ def lockstep(stream: DataFrame) -> DataFrame:
     spark = stream.sparkSession
     ensure_checkpoint_dir(spark)
     order = ["lang", "x1", "x2", "x3"]
-    ordered = stream.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()  # keeps its partitions
+    # the range's number stands in its rows: a task's own number is another one where the result is part of a union
+    ordered = stream.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("p", F.spark_partition_id()).checkpoint()  # keeps its partitions
     # the last word and the last pair of each range: two rows a range
-    seen = ordered.where("x3 IS NULL").groupBy(F.spark_partition_id().alias("p"), F.col("x2").isNull().alias("word")).agg(
+    seen = ordered.where("x3 IS NULL").groupBy("p", F.col("x2").isNull().alias("word")).agg(
         F.max(F.struct("lang", "x1", "x2", "c")).alias("last")).orderBy("p").collect()
     carried: dict[bool, list[tuple[int, int]]] = {True: [], False: []}
     for r in seen:
         carried[r.word].append((r.p, r.last.c))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        p = TaskContext.get().partitionId()
-        # what stands last in the ranges before: it is what the first rows here follow, if they follow any
-        one, two = (next((c for q, c in reversed(carried[w]) if q < p), 0) for w in (True, False))
-        key: tuple | None = None
+        one = two = None
         for b in batches:
             if not b.num_rows:
                 continue
+            if one is None:  # what stands last in the ranges before: it is what the first rows here follow, if they follow any
+                p = b.column(5)[0].as_py()
+                one, two = (next((c for q, c in reversed(carried[w]) if q < p), 0) for w in (True, False))
+            b = b.select([0, 1, 2, 3, 4])
             c = b.column(4).to_numpy()
             word, triple = (b.column(k).is_null().to_numpy(zero_copy_only=False) for k in (2, 3))
             triple = ~triple
