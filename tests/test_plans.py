@@ -97,3 +97,14 @@ def test_document_builder_joins_legs_first(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 4  # lines, orders, both by customer
+
+
+def test_each_document_is_built_once(spark):
+    # the condition on the payload stands over the finished text: not below a repartition, not beside a second copy of the document's expression
+    from conftest import SF_SMALL
+    from workloads import registry as R
+
+    for name, start in (("scan_flat", "to_json|StructsToJson"), ("json_strict_drop", "to_json|StructsToJson"), ("cep_xml_flat", "concat(<Envelope"), ("bm_every_field", "replace({")):
+        plan = R.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        builders = [line for line in plan.split("\n") if any(s in line for s in start.split("|"))]
+        assert len(builders) == 1 and "Generate explode(array(" in builders[0], (name, [b[:100] for b in builders])
