@@ -108,3 +108,13 @@ def test_each_document_is_built_once(spark):
         plan = R.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         builders = [line for line in plan.split("\n") if any(s in line for s in start.split("|"))]
         assert len(builders) == 1 and "Generate explode(array(" in builders[0], (name, [b[:100] for b in builders])
+
+
+def test_export_files_are_dealt_by_number(spark):
+    # compressed files are not split: as many as there are splits of a small table would leave most tasks without work
+    from conftest import SF_SMALL
+    from workloads import registry as R
+
+    for name in ("unnest_nested", "read_export_all"):
+        files = R.QUERIES[name](spark, SF_SMALL).inputFiles()
+        assert len(files) == spark.sparkContext.defaultParallelism, (name, files)

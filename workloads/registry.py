@@ -562,10 +562,20 @@ def q_json_numbers(spark, sf_dir):
     return flatten_json(lines, "doc", NUMBERS_SPEC)
 
 
+#: Rows that one task or one file takes: documents of up to 150 MB of text, made one at a time; items of an export file, which is not split.
+ORDERS_PER_TASK, ITEMS_PER_FILE = 8_000, 25_000
+
+
+def _dealt(rows: DataFrame, per_task: int) -> DataFrame:
+    """Small rows, often few splits, dealt by number before larger texts are made of them."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // per_task))
+    return rows.repartition(tasks)
+
+
 def _export_folder(spark, sf_dir):
     """Customers as export files: type-tagged JSON lines, written by Spark."""
     path = _scratch(spark, "export")
-    _t(spark, sf_dir, "customer").selectExpr(
+    _dealt(_t(spark, sf_dir, "customer"), ITEMS_PER_FILE).selectExpr(
         "CASE WHEN c_nationkey = 3 THEN '{\"Item\":{\"pk\"' ELSE to_json(named_struct('Item', named_struct("
         "'pk', named_struct('S', c_name), 'stationCode', named_struct('S', c_mktsegment), "
         "'active', named_struct('BOOL', c_acctbal > 0), "
@@ -588,7 +598,7 @@ def q_unnest_nested(spark, sf_dir):
     for level in range(NESTED_LEVELS):
         deep = f"named_struct('M', named_struct('k', {deep}))" if level % 2 else f"named_struct('L', array({deep}))"
     path = _scratch(spark, "export-nested")
-    _t(spark, sf_dir, "customer").where("c_nationkey <> 3").selectExpr(
+    _dealt(_t(spark, sf_dir, "customer").where("c_nationkey <> 3"), ITEMS_PER_FILE).selectExpr(
         "to_json(named_struct('Item', named_struct('pk', named_struct('S', c_name), "
         "'place', named_struct('M', named_struct('nation', named_struct('N', CAST(c_nationkey AS STRING)), 'tags', named_struct('L', array(named_struct('S', c_mktsegment))))), "
         f"'deep', {deep}, 'seen', named_struct('SS', array(c_mktsegment, c_name)), 'counts', named_struct('NS', array(CAST(c_custkey AS STRING), '1')), 'raw', named_struct('B', 'AA==')))) AS value"
@@ -617,17 +627,11 @@ def q_prev_day_default(spark, sf_dir):
     return previous_day(stamped).select("o_orderkey")
 
 
-#: Orders that one task makes documents of: up to 150 MB of text, one document at a time.
-ORDERS_PER_TASK = 8_000
-
-
 def _filled(spark, sf_dir, name, payload):
-    # orders are few splits of small rows; the documents made of them are not, so they are dealt by number first
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_PER_TASK))
+    orders = _dealt(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"), ORDERS_PER_TASK)
     *keys, document = templates.spark_sql(name, payload)
     text, alias = document.rsplit(" AS ", 1)
-    return orders.repartition(tasks).selectExpr(*keys, f"{_once(text)} AS {alias}")
+    return orders.selectExpr(*keys, f"{_once(text)} AS {alias}")
 
 
 def q_scan_every_field(spark, sf_dir):
