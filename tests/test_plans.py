@@ -118,3 +118,9 @@ def test_export_files_are_dealt_by_number(spark):
     for name in ("unnest_nested", "read_export_all"):
         files = R.QUERIES[name](spark, SF_SMALL).inputFiles()
         assert len(files) == spark.sparkContext.defaultParallelism, (name, files)
+
+
+def test_xml_names_are_looked_up_in_sets(spark):
+    # not searched one by one in arrays, nor put into a new set for every document
+    plan = flatten_xml(_src(spark), "cepPayload", CEP_XML)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("INSET") >= 4 and "array_except(transform(split(" not in plan
