@@ -51,3 +51,9 @@ def test_too_many_attributes_are_an_error(spark, monkeypatch):
     with pytest.raises(ValueError, match="different attributes"):
         export_attributes(df, "value")
     assert export_attributes(df.limit(3), "value") == ["a0", "a1", "a2"]
+
+
+def test_escaped_quotes_do_not_hide_how_deep_an_item_is(spark):
+    item = json.dumps({"Item": {"a": {"M": {"s": {"S": 'x "q"\\'}, "l": {"L": [{"M": {"k": {"S": "v"}}}]}}}}})
+    row = unnest_typed(spark.createDataFrame([(item,)], "value string"), "value").collect()[0]
+    assert json.loads(row.a) == {"s": 'x "q"\\', "l": [{"k": "v"}]}

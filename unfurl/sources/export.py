@@ -82,7 +82,8 @@ def _deep_plans(spark: SparkSession, depth: int):
 def _nesting(line: str) -> str:
     """Levels of maps and lists inside the attributes of an item: half of the brackets open at once, beside those of
     the line, the item and an attribute's tag. Strings do not count."""
-    brackets = f"regexp_replace(regexp_replace({line}, {sql_str(r'\"[^\"\\\\]*+(?:\\\\.[^\"\\\\]*+)*+\"')}, ''), {sql_str(r'[^\[\]{{}}]+'.replace('{{}}', '{}'))}, '')"
+    strings, others = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', r"[^\[\]{}]+"
+    brackets = f"regexp_replace(regexp_replace({line}, {sql_str(strings)}, ''), {sql_str(others)}, '')"
     deepest = (f"aggregate(split({brackets}, ''), named_struct('d', 0, 'm', 0), (s, c) -> named_struct('d', s.d + CASE WHEN c IN ('{{', '[') THEN 1 WHEN c = '' THEN 0 ELSE -1 END, "
                "'m', greatest(s.m, s.d + CASE WHEN c IN ('{', '[') THEN 1 WHEN c = '' THEN 0 ELSE -1 END)), s -> s.m)")
     return f"CASE WHEN {line} RLIKE {sql_str('\"[ML]\"')} THEN CAST(ceil(greatest({deepest} - 3, 0) / 2) AS INT) ELSE 0 END"
