@@ -7,7 +7,7 @@ Plan shape (one narrow stage, no shuffle, no Python)::
     Project   keys, w, g_i = node_i of v          <- plain struct field reads
     Project   keys, w = try_parse_json('[' || payload || ',mark]') unless fine,
               v = o.d[1], or from_json(payload, struct of the whole spec)
-    Project   keys, o, fine(o)
+    Project   keys, o, taken(o), fine(o)
     Project   keys, o = from_json('{"d":[mark,' || payload || ',mark]}')
     Filter    payload IS NOT NULL                 <- pushed to the scan
     Scan      (payload and key columns only)
@@ -47,7 +47,7 @@ from ..plans.spec import FlattenSpec, Step
 _W = "__doc"
 _V = "__values"
 _T = "__text"
-_FINE = "__fine"
+_FINE, _TAKEN = "__fine", "__taken"
 _ONE, _MARK, _UNREAD = "__one", "__mark", "__unread"
 _DUP_KEYS_CONF = "spark.sql.variant.allowDuplicateKeys"
 
@@ -192,14 +192,19 @@ class _Plan:
     def no_read(self) -> str:
         return f"CAST(NULL AS struct<d: array<{self.tree.ddl()}>, {_UNREAD}: string>)"
 
-    def fine(self, text: str, mark: str) -> str:
-        """``read_once`` took one value, an object, as the spec has it: nothing is left to check."""
+    def taken(self, mark: str) -> str:
+        """``read_once`` took one value, an object, and nothing in it was of another kind than declared."""
         element = lambda i: f"get({_ONE}.d, {i})"
         same = lambda i: f"{element(i)}.{V.ident(self.mark)} = CAST({mark} AS STRING)"
         conds = [f"{_ONE} IS NOT NULL", f"{_ONE}.{_UNREAD} IS NULL", f"size({_ONE}.d) = 3", same(0), same(2), f"{element(1)} IS NOT NULL"]
+        return f"coalesce({' AND '.join(conds)}, false)"
+
+    def fine(self, text: str) -> str:
+        """What was taken is as the spec has it: nothing is left to check."""
+        conds = [_TAKEN]
         if self.strict:
             for steps in self.first_col:
-                arr = element(1)
+                arr = f"get({_ONE}.d, 1)"
                 for s in steps[:-1]:
                     arr += f".{V.ident(s.key)}"
                     arr = f"get({arr}, 0)" if s.first else arr
@@ -330,11 +335,12 @@ class _Plan:
             f"CAST({V.ident(payload)} AS STRING) AS __given",
         ).selectExpr(*carry, "__given", f"{V.end_mark('__given')} AS {_MARK}"
         ).selectExpr(*carry, "__given", _MARK, f"{self.read_once('__given', _MARK) if once else self.no_read()} AS {_ONE}"
-        ).selectExpr(*carry, "__given", _ONE, f"{self.fine('__given', _MARK)} AS {_FINE}"
-        ).selectExpr(*carry, "__given", _ONE, _FINE, f"NOT {_FINE} AND {V.rare_text('__given')} AS __rare"
-        ).selectExpr(*carry, _ONE, _FINE, "__rare", f"{V.finite_text('__given', '__rare')} AS {_T}"
-        ).selectExpr(*carry, _FINE, _T, f"CASE WHEN NOT {_FINE} THEN {V.parse_strict(_T, self.key_length, '__rare')} END AS {_W}",
-                     f"CASE WHEN {_FINE} THEN get({_ONE}.d, 1) ELSE {_from_json(_T, self.tree.ddl())} END AS {_V}")
+        ).selectExpr(*carry, "__given", _ONE, f"{self.taken(_MARK)} AS {_TAKEN}"
+        ).selectExpr(*carry, "__given", _ONE, _TAKEN, f"{self.fine('__given')} AS {_FINE}"
+        ).selectExpr(*carry, "__given", _ONE, _TAKEN, _FINE, f"NOT {_TAKEN} AND {V.rare_text('__given')} AS __rare"
+        ).selectExpr(*carry, _ONE, _TAKEN, _FINE, "__rare", f"{V.finite_text('__given', '__rare')} AS {_T}"
+        ).selectExpr(*carry, _ONE, _TAKEN, _FINE, _T, f"CASE WHEN NOT {_FINE} THEN {V.parse_strict(_T, self.key_length, '__rare')} END AS {_W}"
+        ).selectExpr(*carry, _FINE, _T, _W, f"CASE WHEN {_TAKEN} THEN get({_ONE}.d, 1) WHEN {_W} IS NOT NULL AND {V.parsed_ok(_W, V.end_mark(_T))} THEN {_from_json(_T, self.tree.ddl())} END AS {_V}")
         firsts: list[str] = []
         for steps in self.first_col:  # outer before inner
             out = out.selectExpr(*carry, _FINE, _T, _W, _V, *firsts, self.first_expr(steps))
