@@ -1,0 +1,58 @@
+"""Documents are made where their lines are grouped, in tasks dealt by the number of orders."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from workloads import registry
+
+
+@pytest.fixture()
+def tables(spark, tmp_dir):
+    # order 2 is there twice, order 3 has no lines, order 4 no customer, customer 7 two rows; keys may be NULL
+    orders = [(k, c, "F", 1.5, dt.date(1995, 1, 1), "5-LOW") for k, c in ((1, 7), (2, 8), (2, 8), (3, 8), (4, None), (None, 8))]
+    customers = [(7, "a", 1, "M"), (7, "b", 1, "M"), (8, "c", 2, "M"), (None, "d", 3, "M")]
+    lines = [(k, p, 5, n, 1.0, 2.0, "R", "O", dt.date(1995, 2, 1)) for k, p, n in ((1, 11, 2), (1, 12, 1), (2, 13, 1), (4, 14, 1), (None, 15, 1), (9, 16, 1))]
+    for name, rows, ddl in (
+        ("orders", orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"),
+        ("customer", customers, "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"),
+        ("lineitem", lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate date"),
+    ):
+        spark.createDataFrame(rows, ddl).write.parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    return tmp_dir
+
+
+def _made(spark, folder):
+    doc = "to_json(named_struct('k', o.o_orderkey, 'c', c.c_name, 'parts', transform(coalesce(legs, array()), l -> l.l_partkey)))"
+    return registry.payload_table(spark, folder, doc, "payload")
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10485760"])
+def test_documents_hold_customer_and_lines_and_are_not_shuffled(spark, tables, broadcast):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df = _made(spark, tables)
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        rows = sorted(json.dumps(json.loads(r.payload), sort_keys=True) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = [{"k": 1, "c": "a", "parts": [12, 11]}, {"k": 1, "c": "b", "parts": [12, 11]}, {"k": 2, "c": "c", "parts": [13]}, {"k": 2, "c": "c", "parts": [13]},
+            {"k": 3, "c": "c", "parts": []}, {"k": 4, "parts": [14]}, {"c": "c", "parts": []}]
+    assert rows == sorted(json.dumps(w, sort_keys=True) for w in want)
+    above: list[tuple[int, str]] = []  # the operators around a line of the plan
+    for line in plan:
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(d, x) for d, x in above if d < depth]
+        if "collect_list" in line and line.lstrip(" :+-").startswith(("ObjectHashAggregate", "SortAggregate", "*")):
+            assert not any("Exchange" in x for _, x in above), line[:200]
+        above.append((depth, line.split("(")[0]))
+
+
+def test_tasks_follow_the_number_of_orders(spark, tables, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert _made(spark, tables).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(registry, "DOCUMENTS_PER_TASK", 1)
+    assert _made(spark, tables).rdd.getNumPartitions() == max(cores, 6)
