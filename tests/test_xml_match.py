@@ -1,0 +1,172 @@
+"""Plain XML documents are read by one match: which they are, and that their rows are those that ``from_xml`` gives."""
+
+import json
+
+import pytest
+
+from unfurl import CEP_XML, flatten_xml, xml_outcomes, xml_rejects
+from unfurl.operators import xml_flatten
+from unfurl.plans.spec import FlattenSpec, Group
+
+SPEC = FlattenSpec("plain", (Group("E", ("top",)), Group("E/h", ("id", "ver")), Group("E/b", ("n",)), Group("E/b/legs/leg", ("f", "g"), "leg_", "legs", 1)),
+                   key_columns=("pk",), extra={"scan_detail": ("E/b/scans/scan", ("s", "t"))})
+LEG, LEG2 = "<leg><f>1</f><g>2</g></leg>", "<leg><f>3</f></leg>"
+SCANS = "<scans><scan><s>x</s><u>y</u></scan></scans>"
+
+
+def _doc(h="<id>1</id><ver>2</ver>", b="<n>3</n>", legs=LEG + LEG2, scans=SCANS, head="", h_at="", before="", after=""):
+    inner = f"<h{h_at}>{h}</h>" if h is not None else ""
+    return f"{before}<E{head}>{inner}<b>{b}" + (f"<legs>{legs}</legs>" if legs is not None else "") + f"{scans}</b></E>{after}"
+
+
+# text, read by the match
+DOCS = {
+    "whole": (_doc(), True),
+    "other order": ("<E>\n <b>\t<legs>" + LEG + "\n" + LEG2 + LEG + "</legs>\r\n" + SCANS + "<n> 3</n></b><h><ver>2</ver><id>1</id></h><top>t</top></E>\n", False),
+    "spaces between": ("\n<E>\n <b>\t<legs>\n" + LEG + "\n" + LEG2 + LEG + "</legs>\r\n" + SCANS + "<n>3 \n4</n></b><h><ver>2</ver><id>1</id></h><top>t</top></E>\n", True),
+    "declaration": (_doc(before='<?xml version="1.0"?>\n'), True),
+    "missing nodes": ("<E><top>1</top></E>", True),
+    "no legs": (_doc(legs=None), True),
+    "one leg": (_doc(legs=LEG), False),
+    "empty leaf": (_doc(h="<id></id><ver>2</ver>"), True),
+    "blank leaf": (_doc(h="<id>  </id>"), False),
+    "closed leaf": (_doc(h="<id/><ver>2</ver>"), False),
+    "letters": (_doc(h="<id>Zoë 😀\u0085  \"q\" 'a' \\ {1} $1</id>"), True),
+    "no character": (_doc(h="<id>￾</id>"), False),
+    "no character in a later leg": (_doc(legs=LEG + "<leg><f>￿</f></leg>"), False),
+    "control": (_doc(h="<id>\x01</id>"), False),
+    "control first": ("\x01" + _doc(), False),
+    "marks alone": ("\x01" * 12, False),
+    "carriage return": (_doc(h="<id>1\r\n2</id>"), False),
+    "entity": (_doc(h="<id>a&amp;b</id>"), False),
+    "cdata": (_doc(h="<id><![CDATA[x]]></id>"), False),
+    "comment": (_doc(h="<!-- c --><id>1</id>"), False),
+    "document type": (_doc(before="<!DOCTYPE E>"), False),
+    "end of cdata": (_doc(h="<id>]]></id>"), False),
+    "text beside": (_doc(h="text<id>1</id>"), False),
+    "repeated leaf": (_doc(h="<id>1</id><id>2</id>"), False),
+    "repeated empty leaf": (_doc(h="<id></id><id></id>"), False),
+    "repeated node": ("<E><h><id>1</id></h><h><id>2</id></h></E>", False),
+    "legs apart": (_doc(legs=LEG + "<x>1</x>" + LEG2), False),
+    "two lists": ("<E><b><legs>" + LEG + LEG2 + "</legs><legs>" + LEG + LEG2 + "</legs></b></E>", False),
+    "leaf among legs": (_doc(legs="<x>1</x>" + LEG + LEG2), False),
+    "repeated leaf in a later leg": (_doc(legs=LEG + "<leg><f>1</f><f>2</f></leg>"), True),
+    "empty later leg": (_doc(legs=LEG + "<leg></leg>"), True),
+    "empty first leg": (_doc(legs="<leg></leg>" + LEG), False),
+    "leaf of a leg beside": (_doc(b="<n>3</n><f>9</f>"), False),
+    "other leaf": (_doc(h="<id>1</id><x>1</x>"), False),
+    "other case": (_doc(h="<ID>1</ID>"), False),
+    "empty node": (_doc(h=""), False),
+    "node as leaf": ("<E><h>text</h></E>", False),
+    "repeated detail": (_doc(scans="<scans><scan><s>1</s></scan><scan><s>2</s></scan></scans>"), False),
+    "text in detail": (_doc(scans="<scans><scan>1</scan></scans>"), False),
+    "node in detail": (_doc(scans="<scans><scan><s><u>1</u></s></scan></scans>"), False),
+    "wrong end": ("<E><h><id>1</ver></h></E>", False),
+    "wrong end of a node": ("<E><h><id>1</id></b></E>", False),
+    "wrong end in a later leg": (_doc(legs=LEG + "<leg><f>1</g></leg>"), False),
+    "cut": (_doc()[:-3], False),
+    "tail": (_doc(after=" x"), False),
+    "second root": (_doc(after="<E/>"), False),
+    "closes the wrapper": (_doc(after="</w><w>"), False),
+    "other root": ("<F><h><id>1</id></h></F>", False),
+    "attribute": (_doc(h_at=' ver="9"'), True),
+    "attribute without its child": (_doc(h="<id>1</id>", h_at=' ver="9 > 8"'), False),
+    "attribute alone": (_doc(h="<id>1</id>", h_at='\n ver="9 8"'), True),
+    "empty attribute": (_doc(h_at=' ver=""'), False),
+    "two attributes": (_doc(h_at=' ver="9" id="8"'), False),
+    "repeated attribute": (_doc(h_at=' ver="9" ver="8"'), False),
+    "other attribute": (_doc(h_at=' x="9"'), False),
+    "single quotes": (_doc(h_at=" ver='9'"), False),
+    "attribute named like a node": ('<E><b legs="1"><n>3</n></b></E>', False),
+    "attribute of a leg": (_doc(legs='<leg g="7"><f>1</f></leg>' + LEG2), True),
+    "attribute of a later leg": (_doc(legs=LEG + '<leg g="7"><f>1</f></leg>'), False),
+    "default namespace": (_doc(head=' xmlns="urn:a"'), True),
+    "prefixes": ('<p:E xmlns:p="urn:p" xmlns="urn:a"><p:h><id>1</id><p:ver>2</p:ver></p:h></p:E>', True),
+    "prefix not declared": ("<E><p:h><id>1</id></p:h></E>", False),
+    "other prefix at the end": ('<E xmlns:p="urn:p" xmlns:q="urn:q"><p:h><id>1</id></q:h></E>', False),
+    "prefix in a later leg": (_doc(legs=LEG + "<p:leg><f>1</f></p:leg>"), False),
+    "prefix in detail": (_doc(head=' xmlns:p="urn:p"', scans="<scans><scan><p:s>1</p:s></scan></scans>"), True),
+    "leaf by two prefixes": ('<E xmlns:p="urn:p"><h><id>1</id><p:id>2</p:id></h></E>', False),
+    "prefix declared twice": ('<E xmlns:p="urn:p" xmlns:p="urn:q"><h><p:id>1</p:id></h></E>', False),
+    "namespace twice": ('<E xmlns="urn:p" xmlns="urn:q"><h><id>1</id></h></E>', False),
+    "reserved prefix": ('<E xmlns:xmlns="urn:p"><h><id>1</id></h></E>', False),
+    "reserved namespace": ('<E xmlns:p="http://www.w3.org/XML/1998/namespace"><h><id>1</id></h></E>', False),
+    "colon in text": (_doc(h="<id>a:b</id>"), True),
+}
+
+
+def _table(spark, docs=DOCS):
+    # a character that a JSON text may not have is escaped by json.dumps
+    return spark.createDataFrame([(k, json.dumps({"text": v[0]})) for k, v in docs.items()], "pk string, doc string")
+
+
+def _rows(spark):
+    df = _table(spark)
+    out = {}
+    for strict in (True, False):
+        for leg in ("drop", "keep"):
+            for detail in (False, True):
+                out["flat", strict, leg, detail] = sorted(map(repr, flatten_xml(df, "doc", SPEC, strict=strict, single_leg=leg, emit_scan_detail=detail).collect()))
+            out["rejects", strict, leg] = sorted(map(repr, xml_rejects(df, "doc", SPEC, strict=strict, single_leg=leg).collect()))
+            out["outcomes", strict, leg] = sorted(map(repr, xml_outcomes(df, "doc", SPEC, strict=strict, single_leg=leg).collect()))
+    return out
+
+
+def test_which_documents_are_read_by_the_match(spark):
+    _, reader, xml = xml_flatten._prepare(_table(spark), "doc", SPEC, ("pk",))
+    found = {r.pk: (r["__read"], r.parsed) for r in xml.selectExpr("pk", "__read", "__xml IS NOT NULL AS parsed").collect()}
+    assert reader and {k: read for k, (read, _) in found.items()} == {k: v[1] for k, v in DOCS.items()}
+    assert not any(read and parsed for read, parsed in found.values())
+
+
+def test_rows_are_those_of_the_parser(spark, monkeypatch):
+    matched = _rows(spark)
+    monkeypatch.setattr(xml_flatten.Reader, "make", classmethod(lambda cls, spec, root: None))
+    parsed = _rows(spark)
+    for k, rows in parsed.items():
+        assert matched[k] == rows, (k, set(matched[k]) ^ set(rows))
+
+
+@pytest.mark.parametrize("spec", [
+    FlattenSpec("two roots", (Group("a", ("x",)), Group("b", ("y",)))),
+    FlattenSpec("two slots", (Group("a/l", ("x",), "l_", "legs", 2),)),
+    FlattenSpec("name", (Group("a", ("é",)),)),
+])
+def test_trees_that_the_match_is_not_for(spark, spec):
+    text = "<a><b><x>1</x></b><x>2</x></a>"
+    _, reader, _ = xml_flatten._prepare(_table(spark, {"1": (text, False)}), "doc", spec, ("pk",))
+    assert reader is None
+    assert flatten_xml(_table(spark, {"1": (text, False)}), "doc", spec, keys=("pk",), strict=False).count() == 1
+
+
+def test_long_texts_do_not_exhaust_the_stack(spark):
+    long = _doc(h=f"<id>{'x' * 300_000}</id>", legs=LEG * 20_000)
+    df = _table(spark, {"1": (long, True), "2": (long[:-1], False), "3": (long.replace("</h>", "<z>1</z></h>"), False)})
+    rows = {r.pk: len(r.id) for r in flatten_xml(df, "doc", SPEC).collect()}
+    assert rows == {"1": 300_000, "3": 300_000}
+
+
+WRAPPERS = {
+    "plain": ('{"text":"<E><h><id>1</id></h></E>"}', True), "spaces": (' \n{ "text" :\t"<E><h><id>1</id></h></E>" }\r\n', True), "escapes": ('{"text":"<E><h><id>\\u0031</id><\\/h></E>"}', True),
+    "other member": ('{"text":"<E><h><id>1</id></h></E>","x":1}', False), "twice": ('{"text":"<E/>","text":"<E><h><id>1</id></h></E>"}', False), "twice, a number": ('{"text":"<E/>","text":5}', False),
+    "other key": ('{"x":"<E/>"}', False), "number": ('{"text":5}', False), "null": ('{"text":null}', False), "object": ('{"text":{"a":"b"}}', False), "tail": ('{"text":"<E/>"} x', False), "second": ('{"text":"<E/>"},{"text":"<E/>"}', False),
+    "closes": ('{"text":"<E/>"}]} x', False), "opens anew": ('{"text":"<E/>"},{"mark":1}],"d":[{"mark":1},{"text":"<E/>"}', False), "single quotes": ("{'text':'<E/>'}", False), "raw control": ('{"text":"<E>\n</E>"}', False), "bad escape": ('{"text":"\\x"}', False),
+    "cut": ('{"text":"<E/>', False), "no comma": ('{"text":"<E/>" "x"}', False), "array": ('["text"]', False), "empty": ("", False),
+}
+
+
+def test_wrappers_of_one_string_need_no_variant(spark):
+    from unfurl.functions import variant as V
+
+    df = spark.createDataFrame([(k, v[0]) for k, v in WRAPPERS.items()], "pk string, doc string")
+    only = df.selectExpr("pk", "doc", f"{V.read_members('doc')} AS m").selectExpr("pk", f"{V.only_member('doc', 'm', 'text')} IS NOT NULL AS only")
+    assert {r.pk: r.only for r in only.collect()} == {k: v[1] for k, v in WRAPPERS.items()}
+    kept = {r.pk for r in flatten_xml(df, "doc", SPEC).collect()}
+    assert kept == {"plain", "spaces", "escapes", "other member", "twice"}
+
+
+def test_the_catalog_has_a_reader():
+    from unfurl import BM_XML
+    from unfurl.functions import xml as X
+
+    assert all(xml_flatten.Reader.make(s, X.element_tree(s, d)) for s in (CEP_XML, BM_XML) for d in (False, True))
