@@ -159,7 +159,7 @@ def test_wrappers_of_one_string_need_no_variant(spark):
     from unfurl.functions import variant as V
 
     df = spark.createDataFrame([(k, v[0]) for k, v in WRAPPERS.items()], "pk string, doc string")
-    only = df.selectExpr("pk", "doc", f"{V.read_members('doc')} AS m").selectExpr("pk", f"{V.only_member('doc', 'm', 'text')} IS NOT NULL AS only")
+    only = df.selectExpr("pk", "doc", f"{V.read_members('doc')} AS m").selectExpr("pk", f"{V.only_member('doc', 'text', 'm')} IS NOT NULL AS only")
     assert {r.pk: r.only for r in only.collect()} == {k: v[1] for k, v in WRAPPERS.items()}
     kept = {r.pk for r in flatten_xml(df, "doc", SPEC).collect()}
     assert kept == {"plain", "spaces", "escapes", "other member", "twice"}
