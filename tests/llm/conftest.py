@@ -4,3 +4,5 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF_SMALL = "/root/testdata/sf0.001"  # tests of the folder above import it from conftest, which is this one in a run of all tests
